@@ -1,0 +1,5 @@
+"""No streaming work exists in this workload: every job is a batch over review tables.
+
+The row-wise parts (casts, verified filter, sentiment labels) hold no state and can be applied to a
+streaming DataFrame unchanged; nothing else is offered here.
+"""
