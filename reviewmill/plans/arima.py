@@ -9,12 +9,15 @@ likelihood, so coefficients differ a little from likelihood fits. Seasonal terms
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewmill.operators.metrics import best_by_metric, param_grid, percentage_error
 from reviewmill.plans.diagnostics import series_arrays
@@ -29,6 +32,9 @@ LONG_HORIZON = 365
 # A forecast this many times beyond the largest known value counts as exploded.
 EXPLODED = 1e3
 
+# Send the functions below to the workers by value, so that they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _lagged(x: np.ndarray, lags: list[int], start: int) -> np.ndarray:
     return np.column_stack([x[start - k : len(x) - k] for k in lags]) if lags else np.empty((len(x) - start, 0))
@@ -91,7 +97,7 @@ def forecast_values(y: np.ndarray, order: Sequence[int], seasonal: Sequence[int]
     return path if np.isfinite(path).all() and np.abs(path).max() <= limit else np.full(steps, np.nan)
 
 
-@F.pandas_udf("array<array<double>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
 def _forecasts(values: pd.Series, orders: pd.DataFrame, origins: pd.Series, steps: pd.Series) -> pd.Series:
     """For each row and each origin, the forecast of the next steps from the values before the origin."""
     result = []

@@ -7,11 +7,14 @@ functions then work on it inside the JVM, with a single shuffle by series.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewmill.functions.columns import vector_sum
 from reviewmill.plans.panel import DAY, SERIES, VALUE, by_day, diffs
@@ -32,23 +35,30 @@ ADF_P_SMALL = (2.1659, 1.4412, 0.038269)
 ADF_P_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
 ADF_P_SWITCH, ADF_P_ZERO, ADF_P_ONE = -1.61, -18.83, 2.74
 
+ADF_RESULT = T.StructType(
+    [
+        T.StructField("adf", T.DoubleType()),
+        T.StructField("adf_p", T.DoubleType()),
+        T.StructField("adf_lag", T.IntegerType()),
+        T.StructField("adf_nobs", T.IntegerType()),
+    ]
+)
+# Send the functions below to the workers by value, so that they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def series_arrays(panel: DataFrame, value: str = VALUE, keys: tuple[str, ...] = (SERIES,)) -> DataFrame:
-    """One row per series with its days and values in order."""
+    """One row per series with its days and values in order, and their mean."""
     points = F.array_sort(F.collect_list(F.struct(DAY, value)))
-    ordered = panel.groupBy(*keys).agg(points.alias("_points"))
+    ordered = panel.groupBy(*keys).agg(points.alias("_points"), F.avg(value).alias("mean"))
     return ordered.select(
         *keys,
         F.col(f"_points.{DAY}").alias("days"),
         F.col(f"_points.{value}").alias("values"),
+        "mean",
     )
 
 
-def _centred(values: Column) -> Column:
-    mean = vector_sum(values) / F.size(values)
-    return F.transform(values, lambda v: v - mean)
-
-
 def _lag_product(centred: Column, lag: Column) -> Column:
     """Sum of products of values ``lag`` places apart."""
     length = F.size(centred) - lag
@@ -57,9 +67,10 @@ def _lag_product(centred: Column, lag: Column) -> Column:
 
 
 def _with_centred(panel: DataFrame, value: str, keys: tuple[str, ...] = (SERIES,)) -> DataFrame:
-    """Series with at least two values that are not all equal have an autocorrelation."""
+    """Deviations from the mean of the series, in order."""
     arrays = series_arrays(panel.filter(F.col(value).isNotNull()), value, keys)
-    return arrays.select(*keys, _centred(F.col("values")).alias("_c"), F.size("values").alias("n"))
+    centred = F.transform("values", lambda v: v - F.col("mean"))
+    return arrays.select(*keys, centred.alias("_c"), F.size("values").alias("n"))
 
 
 def acf_arrays(panel: DataFrame, lags: int, value: str = VALUE) -> DataFrame:
@@ -85,7 +96,7 @@ def acf(panel: DataFrame, lags: int = 40, value: str = VALUE) -> DataFrame:
     return rows.select(SERIES, "lag", "acf", band.alias("band"))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _partial(r: pd.Series) -> pd.Series:
     """Durbin-Levinson recursion on the autocorrelations of each series."""
 
@@ -222,7 +233,7 @@ def adf_p_value(stat: float) -> float:
     return 0.5 * math.erfc(-point / math.sqrt(2.0))
 
 
-@F.pandas_udf("adf double, adf_p double, adf_lag int, adf_nobs int")
+@F.pandas_udf(ADF_RESULT)
 def _adf(values: pd.Series) -> pd.DataFrame:
     rows = []
     for v in values:
@@ -235,7 +246,7 @@ def adf(panel: DataFrame, value: str = VALUE, keys: tuple[str, ...] = (SERIES,))
     """Unit-root test per series: statistic, p-value, lag, critical values at 1, 5 and 10%."""
     arrays = series_arrays(panel.filter(F.col(value).isNotNull()), value, keys)
     tested = arrays.withColumn("_t", _adf("values")).select(*keys, "_t.*")
-    n = F.col("adf_nobs")
+    n = F.col("adf_nobs").cast("double")
     critical = {
         name: F.lit(c[0]) + c[1] / n + c[2] / (n * n) + c[3] / (n * n * n) for name, c in ADF_CRITICAL.items()
     }

@@ -134,29 +134,27 @@ def transform(panel: DataFrame, value: str = VALUE) -> DataFrame:
     return panel.withColumn(f"{value}_ln", safe_ln(F.col(value))).withColumn(f"{value}_sqrt", safe_sqrt(F.col(value)))
 
 
-def diff(panel: DataFrame, order: int = 1, value: str = VALUE, name: str | None = None) -> DataFrame:
-    """Difference of the given order; the first ``order`` days of a series are dropped.
-
-    An n-th difference is a sum of n + 1 lags with binomial weights, so one window pass does it.
-    """
-    return _difference_column(panel, order, value, name or value).filter(F.col(name or value).isNotNull())
-
-
-def _difference_column(panel: DataFrame, order: int, value: str, name: str) -> DataFrame:
-    window = by_day()
+def _difference(order: int, value: str) -> Column:
+    """An n-th difference as a sum of n + 1 lags (columns ``_lag_k``) with binomial weights."""
     total = F.col(value)
     for k in range(1, order + 1):
-        total = total + F.lag(value, k).over(window) * float((-1) ** k * comb(order, k))
-    return panel.withColumn(name, total)
+        total = total + F.col(f"_lag_{k}") * float((-1) ** k * comb(order, k))
+    return total
 
 
 def diffs(panel: DataFrame, orders: Sequence[int], value: str = VALUE) -> DataFrame:
-    """Differences of several orders in one pass, long: ``(series_id, ds, order, y)``."""
-    wide = panel
-    for order in orders:
-        wide = _difference_column(wide, order, value, f"_d{order}")
-    rows = [F.struct(F.lit(n).alias("order"), F.col(f"_d{n}").alias(VALUE)) for n in orders]
-    return wide.select(SERIES, DAY, F.inline(F.array(*rows))).filter(F.col(VALUE).isNotNull())
+    """Differences of several orders in one window pass, long: ``(series_id, ds, order, y)``.
+
+    The first ``order`` days of a series have no difference and are dropped.
+    """
+    lags = {f"_lag_{k}": F.lag(value, k).over(by_day()) for k in range(1, max(orders) + 1)}
+    rows = [F.struct(F.lit(n).alias("order"), _difference(n, value).alias(VALUE)) for n in orders]
+    return panel.withColumns(lags).select(SERIES, DAY, F.inline(F.array(*rows))).filter(F.col(VALUE).isNotNull())
+
+
+def diff(panel: DataFrame, order: int = 1, value: str = VALUE) -> DataFrame:
+    """Difference of one order."""
+    return diffs(panel, [order], value).drop("order")
 
 
 def lag_columns(panel: DataFrame, lags: int, value: str = VALUE) -> DataFrame:
