@@ -127,10 +127,11 @@ def _run(series: DataFrame, origins: Column, steps: int) -> DataFrame:
     order = F.struct(*ORDER, *SEASONAL)
     solved = tasks.withColumn("_paths", _forecasts("values", order, "_origins", F.lit(steps)))
     keys = [SERIES, *ORDER, *SEASONAL]
+    # Outer generators: the plain ones would test the computed arrays first, and so fit twice.
     per_origin = solved.select(
-        *keys, "days", "values", F.inline(F.arrays_zip(F.col("_origins").alias("origin"), F.col("_paths").alias("path")))
+        *keys, "days", "values", F.inline_outer(F.arrays_zip(F.col("_origins").alias("origin"), F.col("_paths").alias("path")))
     )
-    rows = per_origin.select(*keys, "days", "values", "origin", F.posexplode("path").alias("_step", "_predicted"))
+    rows = per_origin.select(*keys, "days", "values", "origin", F.posexplode_outer("path").alias("_step", "_predicted"))
     place = F.col("origin") + F.col("_step")
     last_day = F.element_at("days", -1)
     known = F.get("days", place)

@@ -2,6 +2,9 @@
 
 A series is one row with an array of its values (no longer than the calendar, see ``panel``); array
 functions then work on it inside the JVM, with a single shuffle by series.
+
+Computed arrays are unfolded by the ``outer`` generators: the plain ones make the optimizer test the
+size of the array first, which would compute it a second time. The arrays are never empty.
 """
 
 from __future__ import annotations
@@ -89,7 +92,7 @@ def acf_arrays(panel: DataFrame, lags: int, value: str = VALUE) -> DataFrame:
 def acf(panel: DataFrame, lags: int = 40, value: str = VALUE) -> DataFrame:
     """Autocorrelation per lag with the half-width of its 95% band (Bartlett)."""
     arrays = acf_arrays(panel, lags, value)
-    rows = arrays.select(SERIES, "n", "r", F.posexplode("r").alias("lag", "acf"))
+    rows = arrays.select(SERIES, "n", "r", F.posexplode_outer("r").alias("lag", "acf"))
     earlier = F.when(F.col("lag") > 1, F.slice("r", F.lit(2), F.col("lag") - 1)).otherwise(F.array().cast("array<double>"))
     squares = vector_sum(F.transform(earlier, lambda v: v * v))
     band = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(NORMAL_975 * F.sqrt((1 + 2 * squares) / F.col("n")))
@@ -116,7 +119,7 @@ def _partial(r: pd.Series) -> pd.Series:
 def pacf(panel: DataFrame, lags: int = 40, value: str = VALUE) -> DataFrame:
     """Partial autocorrelation per lag with its 95% half-width; only ``lags`` numbers per series reach Python."""
     band = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(NORMAL_975 / F.sqrt("n"))
-    rows = acf_arrays(panel, lags, value).select(SERIES, "n", F.posexplode(_partial("r")).alias("lag", "pacf"))
+    rows = acf_arrays(panel, lags, value).select(SERIES, "n", F.posexplode_outer(_partial("r")).alias("lag", "pacf"))
     return rows.select(SERIES, "lag", "pacf", band.alias("band"))
 
 

@@ -85,7 +85,8 @@ def recursive_forecast(model: RandomForestRegressionModel, starts: DataFrame, st
         )
         if step % STEPS_PER_CHECKPOINT == 0 and step < steps:
             state = cut_lineage(state)
-    rows = state.select(*keys, F.posexplode("_path").alias("_step", "predicted"))
+    # The outer generator keeps the optimizer from testing, and so computing, the path twice.
+    rows = state.select(*keys, F.posexplode_outer("_path").alias("_step", "predicted"))
     return rows.select(
         *[k for k in keys if k != "origin"],
         F.date_add("origin", F.col("_step") + 1).alias(DAY),

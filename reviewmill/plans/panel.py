@@ -149,7 +149,8 @@ def diffs(panel: DataFrame, orders: Sequence[int], value: str = VALUE) -> DataFr
     """
     lags = {f"_lag_{k}": F.lag(value, k).over(by_day()) for k in range(1, max(orders) + 1)}
     rows = [F.struct(F.lit(n).alias("order"), _difference(n, value).alias(VALUE)) for n in orders]
-    return panel.withColumns(lags).select(SERIES, DAY, F.inline(F.array(*rows))).filter(F.col(VALUE).isNotNull())
+    # The outer generator keeps the optimizer from testing, and so computing, the array twice.
+    return panel.withColumns(lags).select(SERIES, DAY, F.inline_outer(F.array(*rows))).filter(F.col(VALUE).isNotNull())
 
 
 def diff(panel: DataFrame, order: int = 1, value: str = VALUE) -> DataFrame:
