@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.checks.registry import CLEANED_PARTS, query, rounded
-from reviewmill.checks.tables import COLUMNS, DESCRIBE, cleaned
+from reviewmill.checks.tables import COLUMNS, DESCRIBE, refined
 from reviewmill.functions import columns as fn
 from reviewmill.operators import metrics, profiling, recommend, splitting, text
 from reviewmill.session import cut_lineage, scratch_path
@@ -17,7 +17,7 @@ TOP_N = recommend.TOP_N
 
 def coded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cleaned reviews, the item codes, and the masked split with codes, each written out once."""
-    rows = cleaned(spark, sf_dir)
+    rows = refined(spark, sf_dir)
     index = cut_lineage(recommend.fit_item_index(rows))
     splits = splitting.split_mask(rows, fraction=splitting.MASK_FRACTION)
     return rows, index, cut_lineage(recommend.encode_items(splits, index).select(*COLUMNS, "item_id", "split"))
@@ -41,14 +41,14 @@ def trained(spark: SparkSession, sf_dir: str):
       FROM cleaned GROUP BY product_id) USING (product_id)""",
 )
 def encode_items(spark, sf_dir):
-    rows = cleaned(spark, sf_dir)
+    rows = refined(spark, sf_dir)
     return recommend.encode_items(rows, recommend.fit_item_index(rows)).select("review_id", "product_id", "item_id")
 
 
 @query("decode_items", CLEANED_PARTS + "SELECT review_id, product_id FROM cleaned")
 def decode_items(spark, sf_dir):
     """Codes turned back into products give the reviews again."""
-    rows = cleaned(spark, sf_dir)
+    rows = refined(spark, sf_dir)
     index = cut_lineage(recommend.fit_item_index(rows))
     codes = recommend.encode_items(rows, index).select("review_id", "item_id")
     return recommend.decode_items(codes, index).select("review_id", "product_id")
@@ -62,7 +62,7 @@ def decode_items(spark, sf_dir):
       FROM cleaned) WHERE place = 1""",
 )
 def product_titles(spark, sf_dir):
-    return recommend.product_titles(cleaned(spark, sf_dir))
+    return recommend.product_titles(refined(spark, sf_dir))
 
 
 @query("als_train")
@@ -103,7 +103,7 @@ def als_evaluate(spark, sf_dir):
 
 
 def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cleaned(spark, sf_dir)
+    rows = refined(spark, sf_dir)
     index = cut_lineage(recommend.fit_item_index(rows))
     splits = recommend.encode_items(splitting.split_mask_nested(rows), index)
     return cut_lineage(splits.select("customer_id", "item_id", "star_rating", "split"))
@@ -121,7 +121,7 @@ def als_grid_search(spark, sf_dir):
 @query("als_grid_search_small")
 def als_grid_search_small(spark, sf_dir):
     """The form with 9 combinations of rank one, on the leave-last split."""
-    rows = cleaned(spark, sf_dir)
+    rows = refined(spark, sf_dir)
     index = cut_lineage(recommend.fit_item_index(rows))
     splits = cut_lineage(recommend.encode_items(splitting.split_leave_last(rows), index))
     errors = recommend.grid_search_als(part(splits, "train"), part(splits, "validation"), recommend.SMALL_GRID)

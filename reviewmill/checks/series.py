@@ -514,8 +514,8 @@ def ts_rf_backtest(spark, sf_dir):
 
 @query("ts_rf_backtest_refit")
 def ts_rf_backtest_refit(spark, sf_dir):
-    """A new forest for each of the folds of the last year or so."""
-    return forecast.backtest_metrics(forecast.backtest_rf(written(spark, sf_dir), 2000, 180, refit=True))
+    """A new forest for each 30-day fold of the last months."""
+    return forecast.backtest_metrics(forecast.backtest_rf(written(spark, sf_dir), 2320, 30, refit=True))
 
 
 @query("ts_rf_grid")

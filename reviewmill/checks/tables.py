@@ -22,7 +22,7 @@ from reviewmill.functions import columns as fn
 from reviewmill.operators import cleaning, metrics, numbering, profiling, sampling, splitting
 from reviewmill.operators.recommend import fit_item_index
 from reviewmill.plans import panel
-from reviewmill.session import scratch_path
+from reviewmill.session import cut_lineage, scratch_path
 from reviewmill.sources import readers, writers
 from reviewmill.sources.fixture import reviews, table
 
@@ -64,6 +64,11 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_reviews(reviews(spark, sf_dir))
 
 
+def refined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned reviews written out once, for operators that read them several times."""
+    return cut_lineage(cleaned(spark, sf_dir), "refined")
+
+
 # Sources and sinks
 
 
@@ -262,7 +267,7 @@ SPLIT = """split_rows AS (
     WHERE customer_id IN (SELECT c_custkey FROM customer)""",
 )
 def user_history(spark, sf_dir):
-    splits = splitting.split_mask(cleaned(spark, sf_dir), fraction=splitting.MASK_FRACTION)
+    splits = splitting.split_mask(refined(spark, sf_dir), fraction=splitting.MASK_FRACTION)
     users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
     return cleaning.user_history(splits, users)
 
@@ -277,7 +282,7 @@ def filter_date_after(spark, sf_dir):
     extended(CLEANED_PARTS, MASKED) + f"SELECT {ALL}, product_rank FROM masked WHERE product_rank <= 3",
 )
 def filter_by_rank(spark, sf_dir):
-    ranked = numbering.ranked(cleaned(spark, sf_dir), ["customer_id"], "product_id")
+    ranked = numbering.ranked(refined(spark, sf_dir), ["customer_id"], "product_id")
     return ranked.filter(F.col("product_rank") <= 3).drop("number_of_products")
 
 
@@ -597,7 +602,7 @@ def accuracy(spark, sf_dir):
     CLEANED_PARTS + f"SELECT {ALL}, count(*) OVER (PARTITION BY customer_id) AS number_of_products FROM cleaned",
 )
 def win_count_per_user(spark, sf_dir):
-    return numbering.with_key_count(cleaned(spark, sf_dir), ["customer_id"])
+    return numbering.with_key_count(refined(spark, sf_dir), ["customer_id"])
 
 
 @query(
@@ -605,7 +610,7 @@ def win_count_per_user(spark, sf_dir):
     extended(CLEANED_PARTS, MASKED) + f"SELECT {ALL}, number_of_products, product_rank FROM masked",
 )
 def win_rank_products(spark, sf_dir):
-    return numbering.ranked(cleaned(spark, sf_dir), ["customer_id"], "product_id")
+    return numbering.ranked(refined(spark, sf_dir), ["customer_id"], "product_id")
 
 
 RECENCY = 'CAST(row_number() OVER (PARTITION BY customer_id ORDER BY review_date DESC, review_id DESC) AS INT) AS "index"'
@@ -613,7 +618,7 @@ RECENCY = 'CAST(row_number() OVER (PARTITION BY customer_id ORDER BY review_date
 
 @query("win_row_number_recent", CLEANED_PARTS + f"SELECT {ALL}, {RECENCY} FROM cleaned")
 def win_row_number_recent(spark, sf_dir):
-    return numbering.numbered(cleaned(spark, sf_dir), ["customer_id"], ["review_date", "review_id"], descending=True)
+    return numbering.numbered(refined(spark, sf_dir), ["customer_id"], ["review_date", "review_id"], descending=True)
 
 
 @query(
@@ -830,7 +835,7 @@ def sample_customers(spark, sf_dir):
 )
 def sample_customers_capped(spark, sf_dir):
     """The cap on customers is part of the operator."""
-    return sampling.sample_entities(cleaned(spark, sf_dir), "customer_id", cap=50)
+    return sampling.sample_entities(refined(spark, sf_dir), "customer_id", cap=50)
 
 
 @query(
@@ -848,7 +853,7 @@ def split_random(spark, sf_dir):
     + f"SELECT {ALL}, number_of_products, product_rank, number_of_products_to_mask, split FROM split_rows",
 )
 def split_mask_fraction(spark, sf_dir):
-    return splitting.split_mask(cleaned(spark, sf_dir), fraction=splitting.MASK_FRACTION)
+    return splitting.split_mask(refined(spark, sf_dir), fraction=splitting.MASK_FRACTION)
 
 
 @query(
@@ -859,7 +864,7 @@ def split_mask_fraction(spark, sf_dir):
                  row_number() OVER (PARTITION BY customer_id ORDER BY product_id DESC, review_id DESC) AS place FROM cleaned)""",
 )
 def split_mask_row_number(spark, sf_dir):
-    splits = splitting.split_mask(cleaned(spark, sf_dir), fraction=splitting.MASK_FRACTION, ties="row_number")
+    splits = splitting.split_mask(refined(spark, sf_dir), fraction=splitting.MASK_FRACTION, ties="row_number")
     return splits.select(*COLUMNS, "split")
 
 
@@ -875,7 +880,7 @@ nested AS (
 
 @query("split_mask_nested", extended(CLEANED_PARTS, MASKED, SPLIT, NESTED) + f"SELECT {ALL}, split FROM nested")
 def split_mask_nested(spark, sf_dir):
-    return splitting.split_mask_nested(cleaned(spark, sf_dir))
+    return splitting.split_mask_nested(refined(spark, sf_dir))
 
 
 LEAVE_LAST = f"""left_out AS (
@@ -885,7 +890,7 @@ LEAVE_LAST = f"""left_out AS (
 
 @query("split_leave_last", extended(CLEANED_PARTS, LEAVE_LAST) + f"SELECT {ALL}, split FROM left_out")
 def split_leave_last(spark, sf_dir):
-    return splitting.split_leave_last(cleaned(spark, sf_dir))
+    return splitting.split_leave_last(refined(spark, sf_dir))
 
 
 @query(
@@ -906,7 +911,7 @@ def split_holdout_text(spark, sf_dir):
 )
 def split_counts(spark, sf_dir):
     """Rows per split, for all customers (null) and for each."""
-    per_customer = splitting.split_counts(splitting.split_leave_last(cleaned(spark, sf_dir)), ["customer_id", "split"])
+    per_customer = splitting.split_counts(splitting.split_leave_last(refined(spark, sf_dir)), ["customer_id", "split"])
     overall = per_customer.groupBy("split").agg(F.sum("rows").alias("rows"))
     return overall.withColumn("customer_id", F.lit(None).cast("int")).unionByName(per_customer)
 
@@ -918,4 +923,4 @@ def split_counts(spark, sf_dir):
     FROM (SELECT product_id, count(*) AS item_rows FROM cleaned GROUP BY product_id)""",
 )
 def index_items(spark, sf_dir):
-    return fit_item_index(cleaned(spark, sf_dir))
+    return fit_item_index(refined(spark, sf_dir))

@@ -39,14 +39,19 @@ def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "le
     return df.join(F.broadcast(renamed), same, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def _range_borders(df: DataFrame, keys: Sequence[str], order: Column, hot: DataFrame) -> DataFrame:
+def hot_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """The rows of hot keys. Without a hot key adaptive execution drops all that is built on this."""
+    return _attach(df, hot, keys, "inner")
+
+
+def _range_borders(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     """Per hot key an ascending array of borders, taken at even steps from a sample.
 
     Rows are drawn by a hash of their ordering value, so a recomputed task draws the same rows.
     """
     drawn = F.pmod(F.xxhash64(order), F.lit(1 << 30)) / F.lit(float(1 << 30))
     wanted = F.col("_ranges") * SAMPLES_PER_RANGE / F.col("_rows")
-    sample = _attach(df, hot, keys, "inner").filter(drawn < wanted).withColumn("_o", order)
+    sample = rows.filter(drawn < wanted).withColumn("_o", order)
     borders = sample.groupBy(*keys).agg(
         F.array_sort(F.collect_set("_o")).alias("_sorted"), F.first("_ranges").alias("_ranges")
     )
@@ -55,9 +60,8 @@ def _range_borders(df: DataFrame, keys: Sequence[str], order: Column, hot: DataF
         F.sequence(F.lit(1), (F.col("_ranges") - 1).cast("int")),
         lambda i: F.get(F.col("_sorted"), F.floor(i * step).cast("int")),
     )
-    return borders.filter(F.size("_sorted") >= F.col("_ranges")).select(
-        *keys, F.filter(picks, lambda border: border.isNotNull()).alias("_borders")
-    )
+    # Few distinct values give repeated borders, hence fewer ranges; any set of borders is right.
+    return borders.select(*keys, F.array_distinct(F.filter(picks, lambda border: border.isNotNull())).alias("_borders"))
 
 
 def running_total(
@@ -69,36 +73,43 @@ def running_total(
     before: str = "before",
     total: str = "total",
     max_group: int = MAX_GROUP,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per key, the weight of all rows that come earlier and the weight of the whole key.
 
-    ``order`` must tell the rows of a key apart. ``weight`` is 1 per row by default.
+    ``order`` must tell the rows of a key apart. ``weight`` is 1 per row by default. ``hot`` may
+    hold the rows of hot keys (with ``_rows`` and ``_ranges``) where the caller gets them cheaper.
     """
     keys, weight = list(keys), F.lit(1) if weight is None else weight
     position = F.struct(*order)
-    hot = hot_keys(df, keys, max_group)
-    borders = _range_borders(df, keys, position, hot)
-
+    hot = hot_rows(df, keys, hot_keys(df, keys, max_group)) if hot is None else hot
+    borders = _range_borders(hot, keys, position)
     passed = F.size(F.filter(F.coalesce(F.col("_borders"), F.array()), lambda border: border <= position))
-    ranged = _attach(df, borders, keys).withColumn("_range", passed).withColumn("_w", weight.cast("bigint"))
-    if descending:
-        ranged = ranged.withColumn("_range", -F.col("_range"))
 
-    hot_sums = ranged.filter(F.col("_borders").isNotNull()).groupBy(*keys, "_range").agg(F.sum("_w").alias("_sum"))
+    def in_ranges(rows: DataFrame) -> DataFrame:
+        place = -passed if descending else passed
+        tagged = _attach(rows, borders, keys).withColumn("_range", place)
+        return tagged.withColumn("_w", weight.cast("bigint")).drop("_borders")
+
     within_key = Window.partitionBy(*keys)
     earlier = within_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hot_sums.select(
-        *keys,
-        "_range",
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_sum").over(within_key).alias("_whole"),
+    offsets = (
+        in_ranges(hot)
+        .groupBy(*keys, "_range")
+        .agg(F.sum("_w").alias("_sum"))
+        .select(
+            *keys,
+            "_range",
+            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
+            F.sum("_sum").over(within_key).alias("_whole"),
+        )
     )
 
     local = Window.partitionBy(*keys, "_range")
     ordering = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     local_earlier = local.orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
     counted = (
-        ranged.drop("_borders")
+        in_ranges(df)
         .withColumn("_local", F.coalesce(F.sum("_w").over(local_earlier), F.lit(0)))
         .withColumn("_here", F.sum("_w").over(local))
     )
@@ -149,7 +160,11 @@ def ranked(
     """
     keys = list(keys)
     values = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    placed = running_total(values, keys, [value], F.col("_n"), descending, "_before", count_name, max_group)
+    hot = hot_rows(df.select(*keys, value), keys, hot_keys(df, keys, max_group))
+    hot_values = hot.groupBy(*keys, value, "_rows", "_ranges").agg(F.count("*").alias("_n"))
+    placed = running_total(
+        values, keys, [value], F.col("_n"), descending, "_before", count_name, max_group, hot=hot_values
+    )
     ranks = placed.select(*keys, value, count_name, (F.col("_before") + 1).cast("int").alias(name))
     renamed = ranks.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, value)})
     same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(renamed[f"_r_{c}"]) for c in (*keys, value)])

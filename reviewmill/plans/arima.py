@@ -31,6 +31,7 @@ CHOSEN_ORDER, CHOSEN_SEASONAL = (0, 1, 3), (2, 0, 0, 7)
 LONG_HORIZON = 365
 # A forecast this many times beyond the largest known value counts as exploded.
 EXPLODED = 1e3
+TASKS_PER_CORE = 4
 
 # Send the functions below to the workers by value, so that they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -122,8 +123,10 @@ def with_orders(series: DataFrame, orders: Iterable[tuple], seasonal: tuple | No
 def _run(series: DataFrame, origins: Column, steps: int) -> DataFrame:
     """Forecast rows: one per series, order, origin and step."""
     tasks = series.withColumn("_origins", origins).filter(F.size("_origins") > 0)
-    # Fits cost far more than the values that are moved: spread the pairs evenly.
-    tasks = tasks.repartition(SERIES, *ORDER, *SEASONAL)
+    # Fits cost far more than the few values that are moved. A stated number of partitions keeps
+    # adaptive execution from packing the small rows into one task.
+    parts = TASKS_PER_CORE * series.sparkSession.sparkContext.defaultParallelism
+    tasks = tasks.repartition(parts, SERIES, *ORDER, *SEASONAL)
     order = F.struct(*ORDER, *SEASONAL)
     solved = tasks.withColumn("_paths", _forecasts("values", order, "_origins", F.lit(steps)))
     keys = [SERIES, *ORDER, *SEASONAL]
