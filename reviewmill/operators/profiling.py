@@ -166,7 +166,7 @@ def histogram(df: DataFrame, value: str, bins: int = DEFAULT_BINS) -> DataFrame:
     high = counted.agg(F.max("_v")).scalar()
     width = (high - low) / F.lit(float(bins))
     position = F.floor(F.try_divide(F.col("_v") - low, width)).cast("int")
-    bin_no = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0))
+    bin_no = F.when(position.isNull(), F.lit(0)).otherwise(F.least(position, F.lit(bins - 1)))
     return (
         counted.withColumn("bin", bin_no)
         .withColumn("bin_start", low + F.col("bin") * width)

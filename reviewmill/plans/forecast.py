@@ -25,7 +25,7 @@ FOREST_SEED = 123
 LAGS = 7
 # Parameter lists of the forest search (depths within the limit of Spark ML).
 FOREST_GRID = {"lags": [3, 7, 10], "trees": [1, 2, 3, 5], "depth": [5, 10, 30]}
-STEPS_PER_CHECKPOINT = 10
+STEPS_PER_CHECKPOINT = 15
 
 
 def naive_forecast(panel: DataFrame, n_test: int = TEST_DAYS, season: int = 1) -> DataFrame:
@@ -149,7 +149,7 @@ def backtest_metrics(forecasts: DataFrame) -> DataFrame:
 
 
 def grid_search_rf(
-    panel: DataFrame, initial: int, steps: int = TEST_DAYS, grid: Mapping[str, Sequence] | None = None, parallelism: int = 4
+    panel: DataFrame, initial: int, steps: int = TEST_DAYS, grid: Mapping[str, Sequence] | None = None, parallelism: int = 8
 ) -> DataFrame:
     """Backtest errors per parameter combination, without refit. The panel should be written or persisted."""
     combinations = grid_combinations(dict(grid or FOREST_GRID))
