@@ -162,7 +162,7 @@ def users_without_recs(spark, sf_dir):
     """Customers the model has no factors for: those without training rows."""
     _, _, splits, model = trained(spark, sf_dir)
     users = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("customer_id"))
-    return recommend.users_without_recommendations(users, model.recommendForUserSubset(users, TOP_N))
+    return recommend.users_without_recommendations(users, model)
 
 
 @query("model_io")
@@ -198,13 +198,9 @@ def text_model(spark: SparkSession, sf_dir: str):
 )
 def text_profile(spark, sf_dir):
     """Length statistics per label."""
-    rows = labelled_documents(spark, sf_dir).select("label", F.length("text").alias("text_length"))
-    result = None
-    for name, number in fn.LABEL_TO_ID.items():
-        stats = profiling.describe(rows.filter(F.col("label") == number), "text_length").filter("count > 0")
-        stats = stats.withColumn("label", F.lit(name))
-        result = stats if result is None else result.unionByName(stats)
-    return rounded(result, "mean", "std", "q1", "median", "q3")
+    name = fn.decode(F.col("label").cast("int"), fn.LABEL_TO_ID).alias("label")
+    rows = labelled_documents(spark, sf_dir).select(name, F.length("text").alias("text_length"))
+    return rounded(profiling.describe(rows, "text_length", ["label"]), "mean", "std", "q1", "median", "q3")
 
 
 @query("text_features")

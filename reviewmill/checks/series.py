@@ -538,6 +538,63 @@ def ts_arima_rolling(spark, sf_dir):
     return arima.arima_rolling(daily(spark, sf_dir), [(2, 1, 1)], 30)
 
 
+SIMPLE_ORDERS = [(1, 0, 0), (0, 1, 0), (1, 1, 0)]
+# Orders whose least-squares fit is one running regression: predictions use the fit up to the day before.
+SIMPLE = """steps AS (
+  SELECT *, y - lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS w, lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS y1,
+         row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS place FROM daily),
+changes AS (SELECT *, lag(w) OVER (PARTITION BY series_id ORDER BY ds) AS w1 FROM steps),
+fits AS (
+  SELECT *, regr_slope(y, y1) OVER upto AS slope, regr_intercept(y, y1) OVER upto AS intercept,
+         sum(w * w1) OVER upto / sum(w1 * w1) FILTER (WHERE w IS NOT NULL) OVER upto AS change_slope
+  FROM changes WINDOW upto AS (PARTITION BY series_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+rolled AS (
+  SELECT series_id, 1 AS p, 0 AS d, 0 AS q, ds, y, intercept + slope * y1 AS predicted FROM fits WHERE place <= 30
+  UNION ALL SELECT series_id, 0 AS p, 1 AS d, 0 AS q, ds, y, y1 AS predicted FROM fits WHERE place <= 30
+  UNION ALL SELECT series_id, 1 AS p, 1 AS d, 0 AS q, ds, y, y1 + change_slope * w1 AS predicted FROM fits WHERE place <= 30)"""
+
+
+@query(
+    "ts_arima_rolling_simple",
+    extended(DAILY_PARTS, SIMPLE) + "SELECT series_id, p, d, q, ds, y, round(predicted, 6) AS predicted FROM rolled",
+)
+def ts_arima_rolling_simple(spark, sf_dir):
+    """Orders with a closed form, refitted at each of the last 30 days."""
+    rows = arima.arima_rolling(daily(spark, sf_dir), SIMPLE_ORDERS, 30)
+    return rounded(rows.select("series_id", "p", "d", "q", "ds", "y", "predicted"), "predicted")
+
+
+@query(
+    "ts_arima_search_simple",
+    extended(DAILY_PARTS, SIMPLE)
+    + """SELECT series_id, p, d, q, rmse, mae, predictions FROM (
+      SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY exact) AS place FROM (
+        SELECT series_id, p, d, q, sqrt(avg((y - predicted) ** 2)) AS exact, round(sqrt(avg((y - predicted) ** 2)), 6) AS rmse,
+               round(avg(abs(y - predicted)), 6) AS mae, count(*) AS predictions FROM rolled GROUP BY series_id, p, d, q)) WHERE place = 1""",
+)
+def ts_arima_search_simple(spark, sf_dir):
+    best = arima.arima_search(daily(spark, sf_dir), SIMPLE_ORDERS, 30)
+    return rounded(best.select("series_id", "p", "d", "q", "rmse", "mae", "predictions"), "rmse", "mae")
+
+
+@query(
+    "ts_arima_fit_simple",
+    extended(
+        DAILY_PARTS,
+        "numbered AS (SELECT *, lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS y1 FROM daily)",
+        """ends AS (SELECT series_id, regr_slope(y, y1) AS slope, regr_intercept(y, y1) AS intercept,
+                max(ds) AS last_day, arg_max(y, ds) AS last_y FROM numbered GROUP BY series_id)""",
+    )
+    + """SELECT series_id, CAST(last_day + CAST(h AS INT) AS DATE) AS ds, CAST(h AS INT) AS step,
+           round(slope ** h * last_y + intercept * (1 - slope ** h) / (1 - slope), 6) AS predicted
+    FROM ends, (SELECT unnest(range(1, 31)) AS h)""",
+)
+def ts_arima_fit_simple(spark, sf_dir):
+    """Thirty days beyond the end by a first-order autoregression."""
+    rows = arima.arima_forecast(daily(spark, sf_dir), [(1, 0, 0)], 30, holdout=False)
+    return rounded(rows.select("series_id", "ds", "step", "predicted"), "predicted")
+
+
 @query("ts_arima_order_search")
 def ts_arima_order_search(spark, sf_dir):
     return arima.arima_search(daily(spark, sf_dir))

@@ -129,14 +129,15 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, value: str) -> DataFrame:
-    """Count, mean, standard deviation, extremes and exact quartiles of an integral column.
+def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Count, mean, standard deviation, extremes and exact quartiles of an integral column, per group.
 
     Works on the counts of distinct values (text lengths: no more than the longest text).
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    known = df.filter(F.col(value).isNotNull())
+    counted = known.groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     v, n = F.col("_v").cast("double"), F.col("_n")
-    totals = counted.agg(
+    totals = counted.groupBy(*by).agg(
         F.sum(n).alias("count"),
         F.sum(v * n).alias("_s"),
         F.sum(v * v * n).alias("_ss"),
@@ -147,6 +148,7 @@ def describe(df: DataFrame, value: str) -> DataFrame:
     count, total = F.col("count"), F.col("_s")
     variance = F.try_divide(F.col("_ss") - total * total / count, count - 1)
     return totals.select(
+        *by,
         "count",
         (total / count).alias("mean"),
         F.sqrt(variance).alias("std"),

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators.metrics import regression_metrics
 from reviewmill.operators.numbering import MAX_GROUP, running_total
+from reviewmill.session import shared_folder
 
 ALS_SEED = 42
 TOP_N = 10
+MIN_BLOCKS, MAX_BLOCKS = 10, 1000
 # Parameter lists of the search.
 GRID = {"max_iter": [5, 10, 15], "reg": [0.1, 0.01, 0.001], "rank": [5, 10, 15]}
 SMALL_GRID = {"max_iter": [5, 10, 15], "reg": [0.001, 0.01, 0.1], "rank": [1]}
@@ -53,9 +55,19 @@ def train_als(
     user: str = "customer_id",
     item: str = "item_id",
     rating: str = "star_rating",
+    blocks: int | None = None,
 ) -> ALSModel:
-    """Explicit-feedback factors, non-negative; users or items without training rows get no score."""
+    """Explicit-feedback factors, non-negative; users or items without training rows get no score.
+
+    The factors are cut into ``blocks``, by default one per core of the session up to a thousand. With
+    the shared folder known, Spark writes them out every ten rounds, which bounds what a lost
+    executor costs.
+    """
+    shared_folder(train.sparkSession)
+    blocks = blocks or max(MIN_BLOCKS, min(MAX_BLOCKS, train.sparkSession.sparkContext.defaultParallelism))
     als = ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         userCol=user,
         itemCol=item,
         ratingCol=rating,
@@ -121,8 +133,10 @@ def recommend_all(model: ALSModel, n: int, index: DataFrame, products: DataFrame
     return _flatten(model.recommendForAllUsers(n), index, products)
 
 
-def users_without_recommendations(users: DataFrame, recommendations: DataFrame) -> DataFrame:
-    return users.select("customer_id").distinct().join(recommendations, "customer_id", "left_anti")
+def users_without_recommendations(users: DataFrame, model: ALSModel) -> DataFrame:
+    """Users the model has no factors for, hence nothing to recommend; no scoring is needed to tell."""
+    known = model.userFactors.select(F.col("id").alias("customer_id"))
+    return users.select("customer_id").distinct().join(known, "customer_id", "left_anti")
 
 
 def save_model(model: ALSModel, index: DataFrame, path: str) -> None:

@@ -54,8 +54,12 @@ def test_recommendations_are_titled_once(trained):
 def test_unknown_user_has_no_recommendation(spark, trained):
     model = trained[3]
     users = spark.createDataFrame([(-5,), (-6,)], "customer_id int")
-    missing = recommend.users_without_recommendations(users, model.recommendForUserSubset(users, 3))
-    assert missing.count() == 2
+    assert recommend.users_without_recommendations(users, model).count() == 2
+    asked = users.union(trained[0].select("customer_id").distinct())
+    served = model.recommendForUserSubset(asked, 3)
+    expected = asked.join(served, "customer_id", "left_anti").distinct()
+    missing = recommend.users_without_recommendations(asked, model)
+    assert sorted(missing.collect()) == sorted(expected.collect())
 
 
 def test_stored_model_scores_the_same(spark, trained, tmp_path):
