@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from reviewmill.checks.registry import (
     DAILY_PARTS,
-    REVIEWS_ONLY,
     WIDE_PARTS,
     extended,
     hash_sql,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -194,7 +193,6 @@ def sample_paths(panel: DataFrame, steps: int, samples: int, season: int = SEASO
     phase = F.pmod(F.col("step") - 1, F.lit(season))
     rounds = F.sequence(phase + 1, F.col("step"), F.lit(season))
     y = F.aggregate(rounds, F.get(F.col("_season"), phase), lambda total, step: total + draw(step))
-    # The hashing is spread by sample, so that a few series still use all executors.
     return (
         known.withColumn("sample", F.explode(F.sequence(F.lit(1), F.lit(samples))))
         .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))

@@ -15,14 +15,16 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session, where driver and executors share one machine, may go without the setting.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    context = spark.sparkContext
+    folder, current = spark.conf.get(CHECKPOINT_SETTING, None), context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if current is not None:
+            return current
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="reviewmill-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if current is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
