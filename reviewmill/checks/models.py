@@ -206,10 +206,9 @@ def text_profile(spark, sf_dir):
 @query("text_features")
 def text_features(spark, sf_dir):
     """Number of distinct words and the largest weight of each document."""
-    from pyspark.ml.functions import vector_to_array
-
     featured = text.text_features(labelled_documents(spark, sf_dir))
-    weights = F.filter(vector_to_array("features"), lambda w: w > 0)
+    # The stored entries of the sparse vector; turning it into an array would fill up every place.
+    weights = F.filter(F.unwrap_udt("features").getField("values"), lambda w: w > 0)
     return featured.select("doc_id", F.size(weights).alias("terms"), F.array_max(weights).alias("largest"))
 
 

@@ -39,8 +39,8 @@ def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def _two_level(df: DataFrame) -> DataFrame:
-    """Counts per (customer, product) pair: what is left to shuffle for the distinct counts."""
+def _totals(df: DataFrame) -> DataFrame:
+    """Rows, distinct products and customers, and mean rating from one aggregation."""
     return df.agg(
         F.count("*").alias("rows"),
         F.count_distinct("product_id").alias("products"),
@@ -50,7 +50,7 @@ def _two_level(df: DataFrame) -> DataFrame:
 
 
 def average_reviews(df: DataFrame) -> DataFrame:
-    totals = _two_level(df)
+    totals = _totals(df)
     return totals.select(
         F.try_divide("rows", "customers").alias("per_user"),
         F.try_divide("rows", "products").alias("per_product"),
@@ -62,7 +62,7 @@ def summary_statistics(df: DataFrame) -> DataFrame:
     first = F.first
     # Names of the figures.
     return metric_table(
-        _two_level(df),
+        _totals(df),
         {
             "Distinct Products Count": first("products"),
             "Distinct Customers Count": first("customers"),
