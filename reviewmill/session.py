@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach, as named by the session's configuration.
 
-    Only a local session, where driver and executors share one machine, may go without the setting.
+    ``spark.checkpoint.dir`` comes first; without it, a folder set on the context, then a sub-folder of
+    the warehouse. A warehouse on a local disk is refused where the executors run on other machines.
     """
     context = spark.sparkContext
     folder, current = spark.conf.get(CHECKPOINT_SETTING, None), context.getCheckpointDir()
     if folder is None:
         if current is not None:
             return current
-        if not context.master.startswith("local"):
+        warehouse = spark.conf.get(WAREHOUSE_SETTING, "spark-warehouse")
+        on_disk = ":" not in warehouse or warehouse.startswith("file:")
+        if on_disk and not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="reviewmill-")
+        folder = f"{warehouse.rstrip('/')}/_intermediate"
     if current is None:
         context.setCheckpointDir(folder)
     return folder
@@ -41,3 +44,9 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that was written by :func:`scratch_path`, wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
