@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewmill.llm import near_dup
+from reviewmill.llm import near_dup, packing, token_files, tokens
+from reviewmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_token_files")
+def op3_token_files(spark, sf_dir):
+    """Token files of all documents, read back: place, number and checksum of each document's ids."""
+    path = scratch_path(spark, "token-files")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary, tokens.split_at_space, end_id=2)
+    read = token_files.read_token_files(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_packing")
+def op7_packing(spark, sf_dir):
+    """Pieces of all documents in sequences of 1024 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query("op8_near_duplicates")
 def op8_near_duplicates(spark, sf_dir):
     """Class of every document under weighted similarity of its word shingles."""
