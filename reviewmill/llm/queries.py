@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import near_dup, packing, token_files, tokens
+from reviewmill.llm import near_dup, packing, quality, token_files, tokens
 from reviewmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,12 @@ def op3_token_files(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op5_quality")
+def op5_quality(spark, sf_dir):
+    """Weight of every document and whether the sample has it."""
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_packing")
 def op7_packing(spark, sf_dir):
     """Pieces of all documents in sequences of 1024 tokens."""

@@ -70,21 +70,16 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = ALNUM):
-    """Starts, ends and row of every word; words end at the end of a row."""
-    inside = letters[data]
-    edge = np.empty(len(data) + 1, dtype=bool)
-    edge[0], edge[-1] = len(data) > 0, False
-    edge[1:-1] = ~inside[:-1]
-    edge[offsets[offsets < len(data)]] = True
-    starts = np.flatnonzero(inside & edge[:-1])
-    edge[:-1] = False
-    last = np.empty(len(data), dtype=bool)
-    if len(data):
-        last[:-1] = ~inside[1:]
-        last[-1] = True
-        inner = offsets[(offsets > 0) & (offsets < len(data))] - 1
-        last[inner] = True
-    ends = np.flatnonzero(inside & last) + 1
+    """Starts, ends and row of every word: runs of bytes of one class, where class 0 (or False) separates.
+
+    Words end at the end of a row.
+    """
+    kind = letters[data]
+    change = np.ones(len(data) + 1, dtype=bool)
+    change[1:-1] = kind[1:] != kind[:-1]
+    change[offsets] = True
+    starts = np.flatnonzero((kind != 0) & change[:-1])
+    ends = np.flatnonzero((kind != 0) & change[1:]) + 1
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
