@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import near_dup, packing, quality, token_files, tokens
+from reviewmill.llm import decontaminate, near_dup, packing, pseudonyms, quality, token_files, tokens
 from reviewmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op5_quality(spark, sf_dir):
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_decontamination")
+def op6_decontamination(spark, sf_dir):
+    """Documents and the benchmark passages they hold."""
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_packing")
 def op7_packing(spark, sf_dir):
     """Pieces of all documents in sequences of 1024 tokens."""
@@ -57,3 +63,14 @@ def op7_packing(spark, sf_dir):
 def op8_near_duplicates(spark, sf_dir):
     """Class of every document under weighted similarity of its word shingles."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# For the registered query and the pipeline; in use, the key is a secret.
+PSEUDONYM_KEY = b"documented key of the example"
+
+
+@query("op9_pseudonyms")
+def op9_pseudonyms(spark, sf_dir):
+    """All documents with pseudonyms, and the number of values replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymize(docs, PSEUDONYM_KEY, count="n_values")
