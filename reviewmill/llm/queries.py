@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import decontaminate, near_dup, packing, pseudonyms, quality, token_files, tokens
+from reviewmill.llm import decontaminate, embedding_dup, near_dup, packing, pseudonyms, quality, token_files, tokens
 from reviewmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_embedding_duplicates")
+def op2_embedding_duplicates(spark, sf_dir):
+    """Links and component of every vector."""
+    return embedding_dup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_token_files")
 def op3_token_files(spark, sf_dir):
     """Token files of all documents, read back: place, number and checksum of each document's ids."""
