@@ -7,8 +7,9 @@ import re
 
 import numpy as np
 
-# The cache is emptied beyond so many parts; parts longer than this are not kept.
-CACHE_PARTS = 200_000
+# The cache holds two generations of so many parts (about 200 bytes each): when the new one is full the old
+# one goes. Parts longer than this many characters are not kept.
+CACHE_PARTS = 500_000
 CACHE_CHARS = 48
 
 _SPACE_THEN_TEXT = re.compile(r" (?=\S)")
@@ -41,22 +42,26 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.split = split
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         parts = [self.split(text or "") for text in texts]
-        cache, long = self.cache, {}
-        missing = list({part for text in parts for part in text if part not in cache})
-        if missing:
-            if len(cache) + len(missing) > CACHE_PARTS:
-                cache.clear()
-                cache[""] = b""
-                missing = list({part for text in parts for part in text if part})
-            for part, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                (cache if len(part) <= CACHE_CHARS else long)[part] = np.array(found.ids, dtype=self.dtype).tobytes()
-        if not long:
+        if len(self.cache) > CACHE_PARTS:
+            self.cache, self.older = {}, self.cache
+        cache, older, found = self.cache, self.older, {}
+        wanted = {part for text in parts for part in text}
+        missing = []
+        for part in wanted.difference(cache):
+            if part in older:
+                cache[part] = older[part]
+            else:
+                missing.append(part)
+        for part, ids in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+            (cache if len(part) <= CACHE_CHARS else found)[part] = np.array(ids.ids, dtype=self.dtype).tobytes()
+        if not found:
             return [b"".join([cache[part] for part in text]) for text in parts]
-        return [b"".join([cache[part] if part in cache else long[part] for part in text]) for text in parts]
+        return [b"".join([cache[part] if part in cache else found[part] for part in text]) for text in parts]
 
 
 _encoders: dict[tuple, Encoder] = {}
