@@ -131,42 +131,68 @@ def align(passage: np.ndarray, regions: np.ndarray, width: int) -> tuple[np.ndar
     return row[np.arange(len(row)), best], best + len(passage)
 
 
+def located(column: pa.Array, passages: Passages) -> Iterator[tuple[int, int, int, int, int]]:
+    """``(row, passage, edits, first byte, end byte)`` of the best place of each passage in each text."""
+    for begin, raw, raw_offsets in words.slices(column):
+        data, offsets, where = normalized(raw, raw_offsets)
+        rows, items, bands = candidates(data, offsets, passages)
+        found = {}
+        order = np.argsort(items, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(items[order])) + 1) if len(order) else []:
+            item = int(items[part[0]])
+            passage, budget = passages.texts[item], int(passages.budget[item])
+            width = BAND + 2 * budget + 1
+            for low in range(0, len(part), 256):
+                some = part[low : low + 256]
+                left, first = bands[some] * BAND - budget, offsets[rows[some]]
+                place = left[:, None] + np.arange(len(passage) + width)
+                inside = (place >= 0) & (place < (offsets[rows[some] + 1] - first)[:, None])
+                letters = np.where(inside, data[np.where(inside, place + first[:, None], 0)], 0)
+                edits, ends = align(passage, letters, width)
+                for r, d, e in zip(rows[some].tolist(), edits.tolist(), (left + ends).tolist(), strict=True):
+                    if d <= budget and ((r, item) not in found or d < found[r, item][0]):
+                        end = int(min(e, offsets[r + 1] - offsets[r]) + offsets[r]) - 1
+                        start = int(max(end - len(passage) - d + 1, offsets[r]))
+                        found[r, item] = (d, int(where[start] - raw_offsets[r]), int(where[end] - raw_offsets[r]) + 1)
+        for (r, item), (d, start, end) in found.items():
+            yield begin + r, item, d, start, end
+
+
 def _find(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passages = shared.value
         for batch in batches:
-            ids = batch.column(0)
-            for begin, raw, raw_offsets in words.slices(batch.column(1)):
-                data, offsets, where = normalized(raw, raw_offsets)
-                rows, items, bands = candidates(data, offsets, passages)
-                found = {}
-                order = np.argsort(items, kind="stable")
-                for part in np.split(order, np.flatnonzero(np.diff(items[order])) + 1) if len(order) else []:
-                    item = int(items[part[0]])
-                    passage, budget = passages.texts[item], int(passages.budget[item])
-                    width = BAND + 2 * budget + 1
-                    for low in range(0, len(part), 256):
-                        some = part[low : low + 256]
-                        left = bands[some] * BAND - budget
-                        place = left[:, None] + np.arange(len(passage) + width)
-                        limit = (offsets[rows[some] + 1] - offsets[rows[some]])[:, None]
-                        inside = (place >= 0) & (place < limit)
-                        letters = data[np.where(inside, place + offsets[rows[some]][:, None], 0)] if len(data) else np.zeros(place.shape, np.uint8)
-                        edits, ends = align(passage, np.where(inside, letters, 0), width)
-                        for r, d, e in zip(rows[some], edits, left + ends, strict=True):
-                            if d <= budget and ((int(r), item) not in found or int(d) < found[int(r), item][0]):
-                                end = min(int(e), int(offsets[r + 1] - offsets[r])) + int(offsets[r]) - 1
-                                first = max(end - len(passage) - int(d) + 1, int(offsets[r]))
-                                found[int(r), item] = (int(d), int(where[first] - raw_offsets[r]), int(where[end] - raw_offsets[r]) + 1)
-                if found:
-                    at = pa.array([r + begin for r, _ in found])
-                    columns = [ids.take(at), pa.array([passages.ids[i] for _, i in found], pa.int64())]
-                    columns += [pa.array([v[j] for v in found.values()], pa.int64()) for j in range(3)]
-                    yield pa.record_batch(columns, names=["doc_id", "item_id", "edits", "first_byte", "end_byte"])
+            found = list(located(batch.column(1), passages))
+            at = pa.array([f[0] for f in found], pa.int64())
+            columns = [batch.column(0).take(at), pa.array([passages.ids[f[1]] for f in found], pa.int64())]
+            columns += [pa.array([f[j] for f in found], pa.int64()) for j in (2, 3, 4)]
+            yield pa.record_batch(columns, names=["doc_id", "item_id", "edits", "first_byte", "end_byte"])
+
+    return run
+
+
+def _clean(shared, column: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            keep[[f[0] for f in located(batch.column(column), shared.value)]] = False
+            yield batch.filter(pa.array(keep))
 
     return run
 
 
+def _blocks(benchmark: DataFrame, settings: Settings) -> Iterator:
+    """The passages in broadcast blocks of about ``block_bytes``; only one block passes through the driver at a time."""
+    spark = benchmark.sparkSession
+    benchmark = benchmark.select("item_id", "text").filter("text IS NOT NULL")
+    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-total // settings.block_bytes) or 1
+    numbered = benchmark.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    for block in range(blocks):
+        rows = numbered.filter(F.col("block") == block).orderBy("item_id", "text").collect()
+        yield spark.sparkContext.broadcast(Passages([(r.item_id, r.text) for r in rows], settings))
+
+
 def find_passages(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Which documents hold which passages: ``doc_id, item_id, edits, first_byte, end_byte``.
 
@@ -175,21 +201,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, settings: Settings = Se
     searched, null texts hold nothing. Repeated passages give a row each, repeated documents too. The
     passages are compared in blocks whose size in bytes is bounded, each against all documents.
     """
-    spark = docs.sparkSession
-    benchmark = benchmark.select("item_id", "text").filter("text IS NOT NULL")
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // settings.block_bytes) or 1
-    numbered = benchmark.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    results = []
-    for block in range(blocks):
-        items = [(r.item_id, r.text) for r in numbered.filter(F.col("block") == block).orderBy("item_id", "text").collect()]
-        shared = spark.sparkContext.broadcast(Passages(items, settings))
-        schema = "doc_id long, item_id long, edits long, first_byte long, end_byte long"
-        results.append(docs.select("doc_id", "text").mapInArrow(_find(shared), schema))
-    return reduce(DataFrame.unionAll, results)
+    schema = "doc_id long, item_id long, edits long, first_byte long, end_byte long"
+    texts = docs.select("doc_id", "text")
+    return reduce(DataFrame.unionAll, [texts.mapInArrow(_find(block), schema) for block in _blocks(benchmark, settings)])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents that hold no passage, with their columns; documents without an id are searched, too."""
-    found = find_passages(docs, benchmark, settings).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+    """The rows of ``docs`` whose ``text`` holds no passage, with their columns; nothing is shuffled."""
+    for block in _blocks(benchmark, settings):
+        docs = docs.mapInArrow(_clean(block, docs.columns.index("text")), docs.schema)
+    return docs

@@ -17,10 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewmill.llm import words
 from reviewmill.session import cut_lineage
 
+# Names of columns that a table under work gets for a while.
+WEIGHT, KEY = "_op5_log_weight", "_op5_sampling_key"
 # A repeat pattern is a period of up to so many tokens that goes on for so many tokens.
 PERIODS, RUN = 4, 6
 # Letters and digits make one kind of token, other signs another one.
@@ -116,17 +119,18 @@ def log_ratios(n: np.ndarray, target: np.ndarray, deviations: float, least_ratio
     return np.where(np.abs(cautious) < np.log(least_ratio), 0, cautious).astype(np.float32)
 
 
-def _score(settings: Settings, ratios):
+def _score(settings: Settings, ratios, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = ratios.value
         for batch in batches:
-            for begin, n, slot, row in _ngrams(batch.column(1), settings.slots):
+            for begin, n, slot, row in _ngrams(batch.column(column), settings.slots):
                 first, second = ratio[slot]
                 nearer = np.where(np.abs(first) < np.abs(second), first, second)
                 total = np.bincount(row, weights=np.where(first * second > 0, nearer, 0), minlength=n)
                 size = np.bincount(row, minlength=n)
                 weight = pa.array(np.minimum(total, 0.0), mask=size == 0)
-                yield pa.record_batch([batch.column(0).slice(begin, n), weight], names=["doc_id", "log_weight"])
+                part = batch.slice(begin, n)
+                yield pa.RecordBatch.from_arrays([*part.columns, weight], names=[*part.schema.names, WEIGHT])
 
     return run
 
@@ -150,34 +154,56 @@ def _kth_largest(rows: DataFrame, column: str, k: int) -> int:
     return prefix
 
 
-def resample(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per document: ``doc_id, log_weight, sampling_key, kept``.
+def _keyed(docs: DataFrame, settings: Settings, ratios) -> DataFrame:
+    """``docs`` with their log weight and sampling key."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(WEIGHT, T.DoubleType())])
+    weighted = docs.mapInArrow(_score(settings, ratios, docs.columns.index("text")), schema)
+    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    key = F.col(WEIGHT) * settings.sharpness - F.log(-F.log(uniform))
+    return weighted.withColumn(KEY, F.round(key * 1_000_000).cast("long"))
 
-    ``labels(doc_id, quality, toxic)`` marks target texts: quality 1 and toxic not 1. Without any, all weights
-    are 1. A text without tokens (null, empty) has a null weight and is rejected. The sampling noise
-    follows from ``doc_id``, so repeated rows fare alike and a repeated task gives the same rows; at the last
-    place all rows with the same key are kept. Keys are rounded to a millionth.
-    """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> np.ndarray:
+    """The log ratio of every slot, from counts over all documents."""
     good = labels.filter("quality = 1 AND coalesce(toxic, 0) <> 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
     # A bounded set by its own parameter, hence fit to be broadcast; a hash decides which labels it takes.
     chosen = good.orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id").limit(settings.target_rows)
     chosen = chosen.withColumn("target", F.lit(True))
-    marked = docs.join(F.broadcast(chosen), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")
+    marked = texts.select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counts = marked.mapInArrow(_counts(settings), "slot int, n long, target long")
     table = counts.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("target").alias("target")).toArrow()
     n, target = np.zeros(settings.slots, dtype=np.int64), np.zeros(settings.slots, dtype=np.int64)
     slot = table["slot"].to_numpy()
     n[slot], target[slot] = table["n"].to_numpy(), table["target"].to_numpy()
-    ratios = spark.sparkContext.broadcast(log_ratios(n, target, settings.deviations, settings.least_ratio))
-    weights = docs.mapInArrow(_score(settings, ratios), "doc_id long, log_weight double")
-    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    key = F.col("log_weight") * settings.sharpness - F.log(-F.log(uniform))
-    keyed = weights.withColumn("sampling_key", F.round(key * 1_000_000).cast("long"))
-    keyed = cut_lineage(keyed, "weights")
-    k = keyed.agg(F.round(F.sum(F.exp("log_weight"))).cast("long")).first()[0] or 0
-    known = keyed.filter("sampling_key IS NOT NULL")
-    least = _kth_largest(known, "sampling_key", k) if k else None
-    kept = F.coalesce(F.col("sampling_key") >= F.lit(least), F.lit(False)) if k else F.lit(False)
-    return keyed.withColumn("kept", kept)
+    return log_ratios(n, target, settings.deviations, settings.least_ratio)
+
+
+def _least_key(keyed: DataFrame) -> int | None:
+    """The sampling key of the last place; None if the sample is empty."""
+    k = keyed.agg(F.round(F.sum(F.exp(WEIGHT))).cast("long")).first()[0] or 0
+    return _kth_largest(keyed.filter(F.col(KEY).isNotNull()), KEY, k) if k else None
+
+
+def resample(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row per document: ``doc_id, log_weight, sampling_key, kept``.
+
+    ``labels(doc_id, quality, toxic)`` marks target texts: quality 1 and toxic not 1. Without any, all weights
+    are 1. A text without tokens (null, empty) has a null weight and is rejected. The sampling noise
+    follows from ``doc_id``, so repeated rows fare alike and a repeated task gives the same rows; at the last
+    place all rows with the same key are kept. Keys are rounded to a millionth.
+    """
+    ratios = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, settings))
+    keyed = cut_lineage(_keyed(docs.select("doc_id", "text"), settings, ratios).select("doc_id", WEIGHT, KEY), "weights")
+    kept = F.coalesce(F.col(KEY) >= F.lit(_least_key(keyed)), F.lit(False))
+    return keyed.select("doc_id", F.col(WEIGHT).alias("log_weight"), F.col(KEY).alias("sampling_key"), kept.alias("kept"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The sampled rows of ``docs`` with all their columns, as :func:`resample` keeps them.
+
+    Texts are scored a second time in place of a shuffle of all texts.
+    """
+    ratios = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, settings))
+    keyed = cut_lineage(_keyed(docs.select("doc_id", "text"), settings, ratios).select(WEIGHT, KEY), "weights")
+    return _keyed(docs, settings, ratios).filter(F.col(KEY) >= F.lit(_least_key(keyed))).drop(WEIGHT, KEY)

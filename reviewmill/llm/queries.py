@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import decontaminate, embedding_dup, near_dup, packing, pseudonyms, quality, token_files, tokens
-from reviewmill.session import scratch_path
+import corpus_pipeline
+from reviewmill.llm import chat, decontaminate, embedding_dup, licenses, near_dup, packing, pseudonyms, quality, token_files, tokens
+from reviewmill.session import cut_lineage, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_licenses", licenses.recognize_sql())
+def op1_licenses(spark, sf_dir):
+    """Known license sentences of every document and the license they mean."""
+    return licenses.recognize(table(spark, sf_dir, "documents"))
+
+
 @query("op2_embedding_duplicates")
 def op2_embedding_duplicates(spark, sf_dir):
     """Links and component of every vector."""
@@ -46,6 +53,43 @@ def op3_token_files(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+rendered AS (
+  SELECT *, length('<|turn|>' || '<|text|>' || '<|end|>'
+    || replace(replace(role, '\', '\\'), '<|', '<\|') || replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars
+  FROM turns),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         CAST(sum(chars) AS BIGINT) AS formatted_chars
+  FROM rendered GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM joined"""
+
+
+@query("op4_chat_format", CHAT_SQL)
+def op4_chat_format(spark, sf_dir):
+    """All conversations and one full of control strings, written as prefix trees and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long"), "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    read = chat.read_blocks(cut_lineage(chat.prefix_blocks(turns.union(extra)), "chat"))
+    whole = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    loss = F.concat_ws("", "loss")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query("op5_quality")
 def op5_quality(spark, sf_dir):
     """Weight of every document and whether the sample has it."""
@@ -71,12 +115,14 @@ def op8_near_duplicates(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-# For the registered query and the pipeline; in use, the key is a secret.
-PSEUDONYM_KEY = b"documented key of the example"
-
-
 @query("op9_pseudonyms")
 def op9_pseudonyms(spark, sf_dir):
     """All documents with pseudonyms, and the number of values replaced."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonyms.pseudonymize(docs, PSEUDONYM_KEY, count="n_values")
+    return pseudonyms.pseudonymize(docs, corpus_pipeline.PSEUDONYM_KEY, count="n_values")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    """Sequences of the corpus after all stages."""
+    return corpus_pipeline.run(spark, sf_dir)
