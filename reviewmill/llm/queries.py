@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import chat, decontaminate, embedding_dup, licenses, near_dup, packing, pseudonyms, quality, token_files, tokens
+from reviewmill.llm import chat, decontaminate, embedding_dup, language_model, licenses, near_dup, packing, pseudonyms, quality, token_files, tokens
 from reviewmill.session import cut_lineage, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +122,14 @@ def op9_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonymize(docs, corpus_pipeline.PSEUDONYM_KEY, count="n_values")
 
 
+@query("op10_language_model")
+def op10_language_model(spark, sf_dir):
+    """Scores of all documents by a model of nine tenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
+    return language_model.score_corpus(docs.withColumn("held_out", held_out))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """Sequences of the corpus after all stages."""
