@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import numpy as np
 
+# Low bits are read from eight bytes at any bit offset.
+WIDEST = 56
+
 
 class EliasFano:
     """A monotone sequence; ``low`` and ``high`` may be memory maps."""
@@ -19,7 +22,7 @@ class EliasFano:
     @classmethod
     def encode(cls, values: np.ndarray, bits: int) -> EliasFano:
         n = len(values)
-        width = max(0, bits - max(n, 1).bit_length())
+        width = min(WIDEST, max(0, bits - max(n, 1).bit_length()))
         values = values.astype(np.uint64)
         if width:
             places = np.arange(width, dtype=np.uint64)
