@@ -250,10 +250,14 @@ def _mapped(data: bytes) -> np.ndarray:
 
 
 def _quantised(log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and the code book: 256 values at even steps of the distribution of all values."""
+    """Codes and the code book: all values if they are few, else 256 at even steps of their distribution."""
     if not len(log):
         return np.zeros(0, dtype=np.uint8), np.zeros(256, dtype="<f4")
-    book = np.quantile(log, (np.arange(256) + 0.5) / 256).astype("<f4")
+    book = np.unique(log)
+    if len(book) <= 256:
+        book = np.append(book, np.full(256 - len(book), book[-1])).astype("<f4")
+    else:
+        book = np.quantile(log, (np.arange(256) + 0.5) / 256).astype("<f4")
     return np.searchsorted((book[1:] + book[:-1]) / 2, log).astype(np.uint8), book
 
 

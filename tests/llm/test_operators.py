@@ -482,7 +482,7 @@ def test_language_model_against_counts(spark):
     got = [(str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in found]
     for e, g in zip(sorted(expected), sorted(got), strict=True):
         assert e[:3] == g[:3] and g[3] == pytest.approx(e[3], rel=1e-9)
-        assert g[4] == pytest.approx(e[4], rel=0.01), e[0]  # probabilities are quantised
+        assert g[4] == pytest.approx(e[4], rel=0.02), e[0]  # probabilities are quantised
     assert {r.train_tokens for r in found} == {total}
     assert language_model.score_corpus(frame.limit(0)).count() == 0
     nothing = language_model.score_corpus(frame.selectExpr("doc_id", "text", "true AS held_out")).collect()
