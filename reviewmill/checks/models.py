@@ -159,10 +159,10 @@ def join_recs_products(spark, sf_dir):
       SELECT customer_id FROM masked WHERE place > CAST(floor(n * 0.3::DOUBLE) AS INT))""",
 )
 def users_without_recs(spark, sf_dir):
-    """Customers the model has no factors for: those without training rows."""
-    _, _, splits, model = trained(spark, sf_dir)
+    """Customers a model cannot have factors for: those without training rows. No model is fitted to list them."""
+    splits = splitting.split_mask(refined(spark, sf_dir), fraction=splitting.MASK_FRACTION)
     users = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("customer_id"))
-    return recommend.users_without_recommendations(users, model)
+    return users.distinct().join(part(splits, "train").select("customer_id"), "customer_id", "left_anti")
 
 
 @query("model_io")
@@ -179,34 +179,36 @@ def model_io(spark, sf_dir):
 # Text: 2 is good text, 1 poor text, 0 toxic text
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1).cast("double").alias("label")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+def all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its split; the label is null where there is none."""
+    known = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
+    label = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).when(known, 1).cast("double").alias("label")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return splitting.split_hash(rows.select("doc_id", "text", label), "doc_id", splitting.HOLDOUT_SHARES)
 
 
 def text_model(spark: SparkSession, sf_dir: str):
-    rows = cut_lineage(labelled_documents(spark, sf_dir))
-    return rows, text.train_text(part(rows, "train"))
+    rows = cut_lineage(all_documents(spark, sf_dir))
+    return rows, text.train_text(part(rows, "train").filter("label IS NOT NULL"))
 
 
 @query(
     "text_profile",
     f"""SELECT name AS label, {DESCRIBE} FROM (
-      SELECT CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS name, length(text) AS n
-      FROM documents JOIN labels USING (doc_id)) GROUP BY name""",
+      SELECT CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 'neutral' END AS name, length(text) AS n
+      FROM documents LEFT JOIN labels USING (doc_id)) GROUP BY name""",
 )
 def text_profile(spark, sf_dir):
-    """Length statistics per label."""
+    """Length statistics per label, and of the documents without one."""
     name = fn.decode(F.col("label").cast("int"), fn.LABEL_TO_ID).alias("label")
-    rows = labelled_documents(spark, sf_dir).select(name, F.length("text").alias("text_length"))
+    rows = all_documents(spark, sf_dir).select(name, F.length("text").alias("text_length"))
     return rounded(profiling.describe(rows, "text_length", ["label"]), "mean", "std", "q1", "median", "q3")
 
 
 @query("text_features")
 def text_features(spark, sf_dir):
     """Number of distinct words and the largest weight of each document."""
-    featured = text.text_features(labelled_documents(spark, sf_dir))
+    featured = text.text_features(all_documents(spark, sf_dir))
     # The stored entries of the sparse vector; turning it into an array would fill up every place.
     weights = F.filter(F.unwrap_udt("features").getField("values"), lambda w: w > 0)
     return featured.select("doc_id", F.size(weights).alias("terms"), F.array_max(weights).alias("largest"))
@@ -216,7 +218,7 @@ def text_features(spark, sf_dir):
 def text_classifier_train(spark, sf_dir):
     """Accuracy on the rows the classifier was trained on, per label."""
     rows, model = text_model(spark, sf_dir)
-    scored = text.score_text(model, part(rows, "train"))
+    scored = text.score_text(model, part(rows, "train").filter("label IS NOT NULL"))
     return metrics.accuracy(scored, "label", "prediction", ["label"])
 
 
@@ -229,7 +231,8 @@ def text_classifier_score(spark, sf_dir):
 @query("text_classifier_eval")
 def text_classifier_eval(spark, sf_dir):
     rows, model = text_model(spark, sf_dir)
-    return metrics.accuracy(text.score_text(model, rows), "label", "prediction", ["split"])
+    scored = text.score_text(model, rows.filter("label IS NOT NULL"))
+    return metrics.accuracy(scored, "label", "prediction", ["split"])
 
 
 @query("train_history")

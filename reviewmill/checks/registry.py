@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.sources.fixture import REVIEWS_SQL
+from reviewmill.sources.readers import REVIEW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,20 +38,7 @@ def with_parts(*parts: str) -> str:
 
 
 REVIEWS = f"reviews AS ({REVIEWS_SQL.format(lineitem='lineitem', orders='orders', part='part')})"
-NOT_NULL = " AND ".join(
-    f"{c} IS NOT NULL"
-    for c in (
-        "customer_id",
-        "product_id",
-        "star_rating",
-        "category",
-        "review_date",
-        "verified_purchase",
-        "review_id",
-        "product_title",
-        "product_category",
-    )
-)
+NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in REVIEW_COLUMNS)
 PREPARED = f"prepared AS (SELECT * FROM reviews WHERE {NOT_NULL} AND verified_purchase = 'Y')"
 CLEANED = """cleaned AS (
   SELECT * FROM prepared

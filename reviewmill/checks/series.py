@@ -372,7 +372,7 @@ def ts_naive(spark, sf_dir):
     SELECT series_id, {FLOOR_ERRORS} FROM naive WHERE predicted IS NOT NULL GROUP BY series_id""",
 )
 def regression_metrics(spark, sf_dir):
-    guesses = forecast.naive_forecast(events(spark, sf_dir), n_test=100_000)
+    guesses = forecast.naive_forecast(events(spark, sf_dir), n_test=None)
     return rounded(metrics.regression_metrics(guesses, "y", "predicted", ["series_id"]), "rmse", "mae", "mape")
 
 
@@ -609,7 +609,7 @@ def ts_arima_auto(spark, sf_dir):
 @query("ts_sarima_auto")
 def ts_sarima_auto(spark, sf_dir):
     seasonal = [(a, b, c, 7) for a in range(3) for b in range(2) for c in range(3)]
-    orders = arima.search_orders(range(4), range(2), range(4), max_order=5, seasonal=seasonal)
+    orders = arima.search_orders(range(6), range(2), range(6), max_order=5, seasonal=seasonal)
     return arima.arima_search(daily(spark, sf_dir), orders, rolling=False)
 
 

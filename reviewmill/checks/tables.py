@@ -89,9 +89,7 @@ def src_category_from_file(spark, sf_dir):
         "product_category", F.concat_ws("\t", "product_category", "review_id", "product_id")
     )
     name = F.concat(F.lit("reviews_us_"), F.initcap("category"), F.lit("_v1_00.tsv")).alias("file")
-    # No quotes, so that a tab inside the last field makes the line too long.
-    lines = rows.unionByName(spoiled).select(*stored, name)
-    lines.write.partitionBy("file").csv(path, sep="\t", header=True, quote="", escape="")
+    writers.write_named_tsv(rows.unionByName(spoiled).select(*stored, name), path, "file")
     return readers.read_reviews(spark, path, category_from_file=True)
 
 
@@ -109,9 +107,9 @@ def src_rejected_lines(spark, sf_dir):
     return rejected.groupBy(review_id.alias("review_id")).agg(F.count("*").alias("lines"))
 
 
-@query("src_parquet", "SELECT * FROM customer")
+@query("src_parquet", "SELECT * FROM lineitem")
 def src_parquet(spark, sf_dir):
-    return readers.read_parquet(spark, f"{sf_dir}/customer.parquet")
+    return readers.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
 
 
 @query("src_csv_inferred", REVIEWS_ONLY + "SELECT category, CAST(count(*) AS INT) AS \"count\" FROM reviews GROUP BY category")
@@ -664,10 +662,10 @@ def limit_ids(spark, sf_dir):
     return sampling.limit_ids(cleaned(spark, sf_dir), "customer_id", sampling.CUSTOMER_CAP)
 
 
-@query("take_n_rows", "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 4000")
+@query("take_n_rows", "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100")
 def take_n_rows(spark, sf_dir):
     """The first n rows by id are the operator."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id").limit(4000)
+    return table(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id").limit(100)
 
 
 @query(

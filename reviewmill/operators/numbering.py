@@ -1,12 +1,9 @@
 """Positions within a key that hold up when one key owns a large part of all rows.
 
-A window over a key sorts all rows of the key in one task. Here the rows of a hot key are first cut
-into ranges of the ordering, so that a task sees one range; the total of the earlier ranges is added
-to the position inside the range. Keys below the limit form one range and cost a single shuffle.
-
-A key is hot when it holds more than ``1/HOT_KEYS`` of all rows (and more than ``max_group`` rows), so
-there are fewer than ``HOT_KEYS`` hot keys and fewer than ``2 x HOT_KEYS`` ranges however large
-the data: that is the bound of everything broadcast here.
+A window over a key sorts all rows of the key in one task. Here rows are dealt once by ranges of key and
+ordering, so a hot key spreads over as many tasks as it has rows for, and written with the number of
+their range. A window then sees the rows of a key within one range, and the sums of the earlier ranges of
+the key, a table with one row per key and range, are added. Nothing depends on the number of rows.
 """
 
 from __future__ import annotations
@@ -17,51 +14,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_GROUP = 1_000_000
-HOT_KEYS = 1000
-# Sampled rows per range from which its borders are taken.
-SAMPLES_PER_RANGE = 32
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], max_group: int = MAX_GROUP) -> DataFrame:
-    """Keys above the limit with their row count ``_rows`` and the number of ranges ``_ranges``."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    limit = sizes.agg(F.greatest(F.lit(max_group), F.ceil(F.sum("_rows") / HOT_KEYS))).scalar()
-    return sizes.withColumn("_limit", limit).filter(F.col("_rows") > F.col("_limit")).select(
-        *keys, "_rows", F.ceil(F.col("_rows") / F.col("_limit")).alias("_ranges")
-    )
+from reviewmill.session import cut_lineage
 
 
-def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a bounded table by broadcast; null keys match each other."""
-    renamed = small.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+def join_null_safe(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match each other; ``other`` adds its remaining columns."""
+    renamed = other.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys])
-    return df.join(F.broadcast(renamed), same, how).drop(*[f"_k_{k}" for k in keys])
+    return df.join(renamed, same, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def hot_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """The rows of hot keys. Without a hot key adaptive execution drops all that is built on this."""
-    return _attach(df, hot, keys, "inner")
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ranges: int | None = None) -> DataFrame:
+    """The rows dealt by ranges of key and ordering, written with the number of their range.
 
-
-def _range_borders(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """Per hot key an ascending array of borders, taken at even steps from a sample.
-
-    Rows are drawn by a hash of their ordering value, so a recomputed task draws the same rows.
+    ``ranges`` is the number of ranges; by default the session's number of shuffle partitions.
     """
-    drawn = F.pmod(F.xxhash64(order), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    wanted = F.col("_ranges") * SAMPLES_PER_RANGE / F.col("_rows")
-    sample = rows.filter(drawn < wanted).withColumn("_o", order)
-    borders = sample.groupBy(*keys).agg(
-        F.array_sort(F.collect_set("_o")).alias("_sorted"), F.first("_ranges").alias("_ranges")
-    )
-    step = F.size("_sorted") / F.col("_ranges")
-    picks = F.transform(
-        F.sequence(F.lit(1), (F.col("_ranges") - 1).cast("int")),
-        lambda i: F.get(F.col("_sorted"), F.floor(i * step).cast("int")),
-    )
-    # Few distinct values give repeated borders, hence fewer ranges; any set of borders is right.
-    return borders.select(*keys, F.array_distinct(F.filter(picks, lambda border: border.isNotNull())).alias("_borders"))
+    by = [*(F.col(k).asc() for k in keys), *order]
+    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    return cut_lineage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
 
 def running_total(
@@ -72,63 +42,37 @@ def running_total(
     descending: bool = False,
     before: str = "before",
     total: str = "total",
-    max_group: int = MAX_GROUP,
-    hot: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add, per key, the weight of all rows that come earlier and the weight of the whole key.
 
-    ``order`` must tell the rows of a key apart. ``weight`` is 1 per row by default. ``hot`` may
-    hold the rows of hot keys (with ``_rows`` and ``_ranges``) where the caller gets them cheaper.
+    ``order`` must tell the rows of a key apart. ``weight`` is 1 per row by default.
     """
     keys, weight = list(keys), F.lit(1) if weight is None else weight
-    position = F.struct(*order)
-    hot = hot_rows(df, keys, hot_keys(df, keys, max_group)) if hot is None else hot
-    borders = _range_borders(hot, keys, position)
-    passed = F.size(F.filter(F.coalesce(F.col("_borders"), F.array()), lambda border: border <= position))
-
-    def in_ranges(rows: DataFrame) -> DataFrame:
-        place = -passed if descending else passed
-        tagged = _attach(rows, borders, keys).withColumn("_range", place)
-        return tagged.withColumn("_w", weight.cast("bigint")).drop("_borders")
-
+    ordering = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    rows = in_ranges(df.withColumn("_w", weight.cast("bigint")), keys, ordering, ranges)
     within_key = Window.partitionBy(*keys)
     earlier = within_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        in_ranges(hot)
-        .groupBy(*keys, "_range")
-        .agg(F.sum("_w").alias("_sum"))
-        .select(
-            *keys,
-            "_range",
-            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
-            F.sum("_sum").over(within_key).alias("_whole"),
-        )
-    )
-
-    local = Window.partitionBy(*keys, "_range")
-    ordering = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    local_earlier = local.orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
-    counted = (
-        in_ranges(df)
-        .withColumn("_local", F.coalesce(F.sum("_w").over(local_earlier), F.lit(0)))
-        .withColumn("_here", F.sum("_w").over(local))
-    )
-    return (
-        _attach(counted, offsets, [*keys, "_range"])
-        .withColumn(before, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
-        .withColumn(total, F.coalesce(F.col("_whole"), F.col("_here")))
-        .drop("_range", "_w", "_local", "_here", "_offset", "_whole")
+    sums = rows.groupBy(*keys, "_range").agg(F.sum("_w").alias("_sum"))
+    offsets = sums.select(
+        *keys,
+        "_range",
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_sum").over(within_key).alias(total),
     )
+    local = Window.partitionBy(*keys, "_range").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumn("_local", F.coalesce(F.sum("_w").over(local), F.lit(0)))
+    placed = join_null_safe(counted, offsets, [*keys, "_range"])
+    return placed.withColumn(before, F.col("_local") + F.col("_offset")).drop("_range", "_w", "_local", "_offset")
 
 
 def with_key_count(df: DataFrame, keys: Sequence[str], name: str = "number_of_products") -> DataFrame:
-    """Attach the number of rows of the key.
+    """Attach the number of rows of the key; rows without a key count as one key.
 
     Counts combine before the shuffle, and adaptive execution splits a hot key in the join, which it
     cannot do in a count window.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias(name))
-    return df.join(counts, list(keys))
+    return join_null_safe(df, df.groupBy(*keys).agg(F.count("*").alias(name)), keys)
 
 
 def numbered(
@@ -137,10 +81,10 @@ def numbered(
     order: Sequence[str],
     descending: bool = False,
     name: str = "index",
-    max_group: int = MAX_GROUP,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Row number within a key; ``order`` must tell the rows of a key apart."""
-    counted = running_total(df, keys, order, None, descending, "_before", "_total", max_group)
+    counted = running_total(df, keys, order, None, descending, "_before", "_total", ranges)
     return counted.withColumn(name, (F.col("_before") + 1).cast("int")).drop("_before", "_total")
 
 
@@ -151,7 +95,7 @@ def ranked(
     descending: bool = True,
     name: str = "product_rank",
     count_name: str = "number_of_products",
-    max_group: int = MAX_GROUP,
+    ranges: int | None = None,
 ) -> DataFrame:
     """SQL rank of ``value`` within a key (equal values share a rank), and the rows of the key.
 
@@ -160,15 +104,9 @@ def ranked(
     """
     keys = list(keys)
     values = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    hot = hot_rows(df.select(*keys, value), keys, hot_keys(df, keys, max_group))
-    hot_values = hot.groupBy(*keys, value, "_rows", "_ranges").agg(F.count("*").alias("_n"))
-    placed = running_total(
-        values, keys, [value], F.col("_n"), descending, "_before", count_name, max_group, hot=hot_values
-    )
+    placed = running_total(values, keys, [value], F.col("_n"), descending, "_before", count_name, ranges)
     ranks = placed.select(*keys, value, count_name, (F.col("_before") + 1).cast("int").alias(name))
-    renamed = ranks.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, value)})
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(renamed[f"_r_{c}"]) for c in (*keys, value)])
-    return df.join(renamed, same).drop(*[f"_r_{c}" for c in (*keys, value)])
+    return join_null_safe(df, ranks, [*keys, value])
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "position") -> DataFrame:

@@ -164,8 +164,8 @@ def histogram(df: DataFrame, value: str, bins: int = DEFAULT_BINS) -> DataFrame:
     The bounds are a scalar subquery over the counts of distinct values.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    low = counted.agg(F.min("_v")).scalar()
-    high = counted.agg(F.max("_v")).scalar()
+    bounds = counted.agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
+    low, high = bounds.getField("low"), bounds.getField("high")
     width = (high - low) / F.lit(float(bins))
     position = F.floor(F.try_divide(F.col("_v") - low, width)).cast("int")
     bin_no = F.when(position.isNull(), F.lit(0)).otherwise(F.least(position, F.lit(bins - 1)))

@@ -11,18 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.metrics import regression_metrics
-from reviewmill.operators.numbering import MAX_GROUP, running_total
+from reviewmill.operators.numbering import running_total
 from reviewmill.session import shared_folder
 
 ALS_SEED = 42
 TOP_N = 10
-MIN_BLOCKS, MAX_BLOCKS = 10, 1000
+BLOCKS = 10
 # Parameter lists of the search.
 GRID = {"max_iter": [5, 10, 15], "reg": [0.1, 0.01, 0.001], "rank": [5, 10, 15]}
 SMALL_GRID = {"max_iter": [5, 10, 15], "reg": [0.001, 0.01, 0.1], "rank": [1]}
 
 
-def fit_item_index(df: DataFrame, item: str = "product_id", max_group: int = MAX_GROUP) -> DataFrame:
+def fit_item_index(df: DataFrame, item: str = "product_id", ranges: int | None = None) -> DataFrame:
     """Dense item codes from 0, most frequent item first, equal counts in alphabetical order.
 
     The code is the number of items with a higher count plus the position among the items with the
@@ -33,7 +33,7 @@ def fit_item_index(df: DataFrame, item: str = "product_id", max_group: int = MAX
     more_frequent = Window.orderBy(F.col("item_rows").desc()).rowsBetween(Window.unboundedPreceding, -1)
     histogram = counts.groupBy("item_rows").agg(F.count("*").alias("_items"))
     starts = histogram.select("item_rows", F.coalesce(F.sum("_items").over(more_frequent), F.lit(0)).alias("_start"))
-    placed = running_total(counts, ["item_rows"], [item], before="_before", total="_total", max_group=max_group)
+    placed = running_total(counts, ["item_rows"], [item], before="_before", total="_total", ranges=ranges)
     code = (F.col("_start") + F.col("_before")).cast("int")
     return placed.join(starts, "item_rows").select(item, code.alias("item_id"), "item_rows")
 
@@ -55,16 +55,17 @@ def train_als(
     user: str = "customer_id",
     item: str = "item_id",
     rating: str = "star_rating",
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Explicit-feedback factors, non-negative; users or items without training rows get no score.
 
-    The factors are cut into ``blocks``, by default one per core of the session up to a thousand. With
-    the shared folder known, Spark writes them out every ten rounds, which bounds what a lost
-    executor costs.
+    The factors are cut into ``blocks``. The model depends on that number and on nothing of the session, so
+    choose it for the data (a block's ratings have to fit into a task) and keep it. With the shared
+    folder known, Spark writes the factors out every ten rounds, which bounds what a lost executor
+    costs. Spark's trainer takes ids within the range of int; give larger ones codes first
+    (:func:`fit_item_index` with ``item="customer_id"``).
     """
     shared_folder(train.sparkSession)
-    blocks = blocks or max(MIN_BLOCKS, min(MAX_BLOCKS, train.sparkSession.sparkContext.defaultParallelism))
     als = ALS(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
@@ -125,11 +126,16 @@ def _flatten(recommendations: DataFrame, index: DataFrame, products: DataFrame)
 
 
 def recommend(model: ALSModel, users: DataFrame, n: int, index: DataFrame, products: DataFrame) -> DataFrame:
-    """Top ``n`` items with title and category for the given users, one row per item."""
+    """Top ``n`` items with title and category for the given users, one row per item.
+
+    Spark scores every given user against every item: the cost is their product, so name the users that
+    are served.
+    """
     return _flatten(model.recommendForUserSubset(users.select("customer_id"), n), index, products)
 
 
 def recommend_all(model: ALSModel, n: int, index: DataFrame, products: DataFrame) -> DataFrame:
+    """The same for all users of the model, at the cost of all users times all items."""
     return _flatten(model.recommendForAllUsers(n), index, products)
 
 

@@ -11,7 +11,6 @@ from reviewmill.functions.columns import encode, unit_hash
 
 SEED = 42
 # Sample sizes in use.
-SAMPLE_ROWS = 1_000_000
 CUSTOMER_FRACTION = 0.1
 CUSTOMER_CAP = 500
 
@@ -41,10 +40,16 @@ def sample_by(df: DataFrame, key: str, fractions: Mapping[str, float], row_id: s
 
 
 def sample_by_weights(df: DataFrame, key: str, weights: DataFrame, row_id: str, seed: int = SEED) -> DataFrame:
-    """The same with the fractions in a table ``(key, weight)``, e.g. from :func:`stratum_weights`."""
+    """The same with the fractions in a table ``(key, weight)``, e.g. from :func:`stratum_weights`.
+
+    Rows that not even the largest fraction takes are left out before the join, so only about as many rows
+    are moved as are drawn.
+    """
+    place = unit_hash(F.col(row_id), seed)
     return (
-        df.join(weights.select(key, "weight"), key)
-        .filter(unit_hash(F.col(row_id), seed) < F.col("weight"))
+        df.filter(place < weights.agg(F.max("weight")).scalar())
+        .join(weights.select(key, "weight"), key)
+        .filter(place < F.col("weight"))
         .drop("weight")
     )
 

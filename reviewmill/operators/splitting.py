@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.numbering import MAX_GROUP, numbered, ranked, top_per_key, with_key_count
+from reviewmill.operators.numbering import join_null_safe, numbered, ranked, top_per_key, with_key_count
 from reviewmill.operators.sampling import SEED, hash_split
 from reviewmill.session import cut_lineage
 
@@ -29,7 +29,7 @@ def split_mask(
     fraction: float = 0.2,
     ties: str = "rank",
     row_id: str = "review_id",
-    max_group: int = MAX_GROUP,
+    ranges: int | None = None,
     rest: str = "train",
     masked: str = "test",
 ) -> DataFrame:
@@ -39,9 +39,9 @@ def split_mask(
     the target; ``ties="row_number"`` tells them apart by ``row_id`` and hits the target.
     """
     if ties == "rank":
-        placed = ranked(df, [user], item, True, "product_rank", "number_of_products", max_group)
+        placed = ranked(df, [user], item, True, "product_rank", "number_of_products", ranges)
     elif ties == "row_number":
-        placed = with_key_count(numbered(df, [user], [item, row_id], True, "product_rank", max_group), [user])
+        placed = with_key_count(numbered(df, [user], [item, row_id], True, "product_rank", ranges), [user])
     else:
         raise ValueError(f"unknown ties {ties!r}")
     to_mask = (F.col("number_of_products") * F.lit(fraction)).cast("int")
@@ -54,16 +54,16 @@ def split_mask_nested(
     user: str = "customer_id",
     item: str = "product_id",
     fraction: float = MASK_FRACTION,
-    max_group: int = MAX_GROUP,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Mask twice: the test part first, then the validation part from what is left.
 
     The first split is written out once, since the second reads its rows several times.
     """
     columns = df.columns
-    first = cut_lineage(split_mask(df, user, item, fraction, max_group=max_group).select(*columns, "split"))
+    first = cut_lineage(split_mask(df, user, item, fraction, ranges=ranges).select(*columns, "split"))
     rest = first.filter(F.col("split") == "train").select(*columns)
-    second = split_mask(rest, user, item, fraction, max_group=max_group, masked="validation")
+    second = split_mask(rest, user, item, fraction, ranges=ranges, masked="validation")
     return second.select(*columns, "split").unionByName(first.filter(F.col("split") == "test"))
 
 
@@ -88,7 +88,7 @@ def split_leave_last(
         .when(place == F.col("_second"), F.lit("validation"))
         .otherwise(F.lit("train"))
     )
-    return df.join(marks, user).withColumn("split", label).drop("_last", "_second")
+    return join_null_safe(df, marks, [user]).withColumn("split", label).drop("_last", "_second")
 
 
 def split_counts(splits: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:

@@ -29,8 +29,6 @@ NO_SEASON = (0, 0, 0, 1)
 # The seasonal order in use.
 CHOSEN_ORDER, CHOSEN_SEASONAL = (0, 1, 3), (2, 0, 0, 7)
 LONG_HORIZON = 365
-# A forecast this many times beyond the largest known value counts as exploded.
-EXPLODED = 1e3
 TASKS_PER_CORE = 4
 
 # Send the functions below to the workers by value, so that they need not have this package.
@@ -94,8 +92,7 @@ def forecast_values(y: np.ndarray, order: Sequence[int], seasonal: Sequence[int]
         for value in path:
             tail.append(tail[-gap] + value)
         path = np.asarray(tail[gap:])
-    limit = EXPLODED * max(1.0, float(np.abs(y).max()))
-    return path if np.isfinite(path).all() and np.abs(path).max() <= limit else np.full(steps, np.nan)
+    return path if np.isfinite(path).all() else np.full(steps, np.nan)
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))

@@ -27,9 +27,11 @@ FOREST_GRID = {"lags": [3, 7, 10], "trees": [1, 2, 3, 5], "depth": [5, 10, 30]}
 STEPS_PER_CHECKPOINT = 15
 
 
-def naive_forecast(panel: DataFrame, n_test: int = TEST_DAYS, season: int = 1) -> DataFrame:
-    """For the last ``n_test`` days, the actual value ``season`` days before."""
+def naive_forecast(panel: DataFrame, n_test: int | None = TEST_DAYS, season: int = 1) -> DataFrame:
+    """For the last ``n_test`` days (None: all days), the actual value ``season`` days before."""
     guess = panel.withColumn("predicted", F.lag(VALUE, season).over(by_day()))
+    if n_test is None:
+        return guess.select(SERIES, DAY, VALUE, "predicted")
     return split_last_n(guess, n_test).filter(F.col("split") == "test").select(SERIES, DAY, VALUE, "predicted")
 
 

@@ -20,8 +20,9 @@ REVIEW_COLUMNS = (
     "product_title",
     "product_category",
 )
-# Fixed value: where the category stands in a file name such as reviews_us_Wireless_v1_00.tsv.
-CATEGORY_IN_NAME = r".*us_(.+?)_v1"
+# Where the category stands in a file name, such as reviews_us_Wireless_v1_00.tsv or
+# reviews_multilingual_US_v1_00.tsv.
+CATEGORIES_IN_NAME = (r"(?i)_us_(.+?)_v1", r"(?i)_([^_]+)_us_v1")
 CORRUPT = "_corrupt_record"
 
 
@@ -35,7 +36,8 @@ def _lines(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str
         # With pruning on, the parser does not see that a line has too many fields.
         .option("columnPruning", False)
         .option("enforceSchema", True)
-        .csv(path, sep="\t", header=True, mode="PERMISSIVE")
+        # A quotation mark is a letter like any other: titles hold single ones.
+        .csv(path, sep="\t", header=True, mode="PERMISSIVE", quote="")
     )
 
 
@@ -55,13 +57,15 @@ def read_reviews(
     """Read tab-separated review files with a header line.
 
     Lines with too many fields are skipped; short lines are filled up with nulls. With
-    ``category_from_file`` the category comes from the file name instead of a column.
+    ``category_from_file`` the category comes from the file name (not its folders) instead of a column; it is
+    null where the name has none.
     """
     stored = [c for c in columns if not (category_from_file and c == "category")]
     lines = _lines(spark, path, stored).filter(~_overlong(stored))
     if category_from_file:
-        name = F.regexp_extract(F.col("_metadata.file_path"), CATEGORY_IN_NAME, 1)
-        lines = lines.withColumn("category", F.lower(F.url_decode(name)))
+        name = F.url_decode("_metadata.file_name")
+        found = [F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")) for pattern in CATEGORIES_IN_NAME]
+        lines = lines.withColumn("category", F.lower(F.coalesce(*found)))
     return lines.select(*columns)
 
 

@@ -13,9 +13,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_split_by_label(df: DataFrame, path: str, label: str = "sentiment") -> None:
-    """One sub-folder per label value from a single pass, each file sorted by date within its task."""
+    """One sub-folder per label value; rows are dealt by ranges of label and date, so the files of a label follow
+    each other in the order of dates."""
     order = [label] + [c for c in ("review_date", "ds") if c in df.columns]
-    df.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(label).parquet(path)
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy(label).parquet(path)
 
 
 def write_single_csv(df: DataFrame, path: str) -> None:
@@ -26,3 +27,20 @@ def write_single_csv(df: DataFrame, path: str) -> None:
 def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Tab-separated text with a header line per file."""
     df.write.mode("overwrite").partitionBy(*partition_by).csv(path, sep="\t", header=True)
+
+
+def write_named_tsv(df: DataFrame, path: str, name: str) -> None:
+    """One tab-separated file per value of column ``name``, which is the file's name; quotes stay as they are.
+
+    A task writes each file whole. The driver then renames the files, as many as there are names.
+    """
+    spark, parts = df.sparkSession, f"{path}/_parts"
+    df.repartition(name).write.partitionBy(name).csv(parts, sep="\t", header=True, quote="", escape="")
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    system = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in system.listStatus(to_path(parts)):
+        if folder.isDirectory():
+            target = folder.getPath().getName().split("=", 1)[1]
+            for i, file in enumerate(f for f in system.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")):
+                system.rename(file.getPath(), to_path(to_path(path), target if i == 0 else f"{i}-{target}"))
+    system.delete(to_path(parts), True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reviewmill.operators import numbering, splitting
 from reviewmill.operators.recommend import fit_item_index
 
-LIMIT = 200
+RANGES = 64
 
 
 @pytest.fixture(scope="module")
@@ -26,31 +26,31 @@ def rows(df, *columns):
 
 
 def test_hot_key_is_split(skewed):
-    hot = numbering.hot_keys(skewed, ["customer_id"], LIMIT)
-    assert [r.customer_id for r in hot.collect()] == [7]
-    spread = numbering._range_borders(numbering.hot_rows(skewed, ["customer_id"], hot), ["customer_id"], F.struct("review_id"))
-    assert len(spread.first()._borders) > 20
+    dealt = numbering.in_ranges(skewed, ["customer_id"], [F.col("review_id").asc()], RANGES)
+    sizes = dealt.groupBy("customer_id", "_range").count()
+    assert sizes.filter("customer_id = 7").count() > 20
+    assert sizes.agg(F.max("count")).first()[0] < 3 * 9000 / RANGES
 
 
-@pytest.mark.parametrize("limit", [LIMIT, numbering.MAX_GROUP])
+@pytest.mark.parametrize("ranges", [RANGES, 1, None])
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_equals_window(skewed, limit, descending):
+def test_rank_equals_window(skewed, ranges, descending):
     order = F.col("product_id").desc() if descending else F.col("product_id").asc()
     by_user = Window.partitionBy("customer_id")
     expected = skewed.withColumn("product_rank", F.rank().over(by_user.orderBy(order)))
     expected = expected.withColumn("number_of_products", F.count("*").over(by_user))
-    actual = numbering.ranked(skewed, ["customer_id"], "product_id", descending, max_group=limit)
+    actual = numbering.ranked(skewed, ["customer_id"], "product_id", descending, ranges=ranges)
     columns = ["customer_id", "review_id", "product_rank", "number_of_products"]
     assert rows(actual, *columns) == rows(expected, *columns)
 
 
-@pytest.mark.parametrize("limit", [LIMIT, numbering.MAX_GROUP])
+@pytest.mark.parametrize("ranges", [RANGES, 1, None])
 @pytest.mark.parametrize("descending", [True, False])
-def test_number_equals_window(skewed, limit, descending):
+def test_number_equals_window(skewed, ranges, descending):
     turn = (lambda c: F.col(c).desc()) if descending else F.col
     order = Window.partitionBy("customer_id").orderBy(turn("review_date"), turn("review_id"))
     expected = skewed.withColumn("index", F.row_number().over(order))
-    actual = numbering.numbered(skewed, ["customer_id"], ["review_date", "review_id"], descending, max_group=limit)
+    actual = numbering.numbered(skewed, ["customer_id"], ["review_date", "review_id"], descending, ranges=ranges)
     assert rows(actual, "customer_id", "review_id", "index") == rows(expected, "customer_id", "review_id", "index")
 
 
@@ -58,7 +58,7 @@ def test_item_codes_are_dense_and_by_frequency(skewed):
     expected = skewed.groupBy("product_id").agg(F.count("*").alias("n"))
     order = Window.orderBy(F.col("n").desc(), "product_id")
     expected = expected.withColumn("item_id", F.row_number().over(order) - 1)
-    assert rows(fit_item_index(skewed, max_group=5), "product_id", "item_id") == rows(expected, "product_id", "item_id")
+    assert rows(fit_item_index(skewed, ranges=50), "product_id", "item_id") == rows(expected, "product_id", "item_id")
 
 
 def test_item_codes_equal_string_indexer(skewed):
@@ -81,7 +81,7 @@ def test_leave_last_with_a_hot_user(skewed):
 @pytest.mark.parametrize("ties", ["rank", "row_number"])
 def test_masked_rows_reach_the_target(skewed, ties):
     known = skewed.filter("customer_id is not null")
-    splits = splitting.split_mask(known, fraction=0.3, ties=ties, max_group=LIMIT)
+    splits = splitting.split_mask(known, fraction=0.3, ties=ties, ranges=RANGES)
     assert splits.count() == known.count()
     per_user = splits.groupBy("customer_id").agg(
         F.count("*").alias("n"), F.count_if(F.col("split") == "test").alias("masked")
@@ -91,12 +91,9 @@ def test_masked_rows_reach_the_target(skewed, ties):
         assert row.masked == target if ties == "row_number" else row.masked >= target
 
 
-def test_no_window_sees_a_hot_user_whole(skewed):
-    """The largest window group after splitting stays near the limit."""
-    hot = numbering.hot_rows(skewed, ["customer_id"], numbering.hot_keys(skewed, ["customer_id"], LIMIT))
-    borders = numbering._range_borders(hot, ["customer_id"], F.struct("review_id"))
-    tagged = skewed.join(borders, "customer_id").withColumn(
-        "_range", F.size(F.filter("_borders", lambda b: b <= F.struct("review_id")))
-    )
-    largest = tagged.groupBy("customer_id", "_range").count().agg(F.max("count")).first()[0]
-    assert largest < 3 * LIMIT
+def test_rows_without_a_key_stay(skewed):
+    assert skewed.filter("customer_id is null").count() > 0
+    assert numbering.with_key_count(skewed, ["customer_id"]).count() == skewed.count()
+    assert splitting.split_leave_last(skewed).count() == skewed.count()
+    for ties in ("rank", "row_number"):
+        assert splitting.split_mask(skewed, fraction=0.3, ties=ties).count() == skewed.count()
