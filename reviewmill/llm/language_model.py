@@ -44,7 +44,7 @@ class Settings:
 
     order: int = 3
     prior: float = 4.0
-    chunk_tokens: int = 1 << 21
+    chunk_tokens: int = 1 << 20
     shard_ngrams: int = 1 << 21
 
 
@@ -316,7 +316,7 @@ def score_corpus(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("held_out", F.lit(True)).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // (8 * settings.chunk_tokens)))
+    buckets = max(1, -(-size // (16 * settings.chunk_tokens)))
     # Bucketed by chunk, so that answers are brought to the chunks and not chunks to the answers.
     name = f"language_model_chunks_{uuid.uuid4().hex}"
     written = rows.mapInArrow(_chunks(settings), CHUNK_SCHEMA).write.option("compression", "zstd")
