@@ -29,7 +29,8 @@ NO_SEASON = (0, 0, 0, 1)
 # The seasonal order in use.
 CHOSEN_ORDER, CHOSEN_SEASONAL = (0, 1, 3), (2, 0, 0, 7)
 LONG_HORIZON = 365
-TASKS_PER_CORE = 4
+# A task row holds one series and up to so many orders; fits are dealt to so many tasks.
+ORDERS_PER_ROW, TASKS = 8, 64
 
 # Send the functions below to the workers by value, so that they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -95,52 +96,72 @@ def forecast_values(y: np.ndarray, order: Sequence[int], seasonal: Sequence[int]
     return path if np.isfinite(path).all() else np.full(steps, np.nan)
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-def _forecasts(values: pd.Series, orders: pd.DataFrame, origins: pd.Series, steps: pd.Series) -> pd.Series:
-    """For each row and each origin, the forecast of the next steps from the values before the origin."""
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
+def _forecasts(values: pd.Series, orders: pd.Series, origins: pd.Series, steps: pd.Series) -> pd.Series:
+    """For each row, order and origin, the forecast of the next steps from the values before the origin."""
     result = []
-    for y, order, places, ahead in zip(values, orders.itertuples(index=False), origins, steps):
-        y, paths = np.asarray(y, dtype=float), []
-        for place in places:
-            try:
-                paths.append(forecast_values(y[:place], tuple(order)[:3], tuple(order)[3:], int(ahead)))
-            except (ValueError, OverflowError, np.linalg.LinAlgError):
-                paths.append(np.full(int(ahead), np.nan))
-        result.append(paths)
+    for y, chosen, places, ahead in zip(values, orders, origins, steps):
+        y, per_order = np.asarray(y, dtype=float), []
+        for order in chosen:
+            paths, order = [], tuple(int(v) for v in order)
+            for place in places:
+                try:
+                    paths.append(forecast_values(y[:place], order[:3], order[3:], int(ahead)))
+                except (ValueError, OverflowError, np.linalg.LinAlgError):
+                    paths.append(np.full(int(ahead), np.nan))
+            per_order.append(paths)
+        result.append(per_order)
     return pd.Series(result)
 
 
 def with_orders(series: DataFrame, orders: Iterable[tuple], seasonal: tuple | None = None) -> DataFrame:
-    """One row per series and order; ``orders`` holds (p, d, q) or (p, d, q, P, D, Q, m)."""
+    """One row per series and up to ``ORDERS_PER_ROW`` orders; ``orders`` holds (p, d, q) or (p, d, q, P, D, Q, m)."""
     full = [tuple(o) if len(o) == 7 else (*o, *(seasonal or NO_SEASON)) for o in orders]
-    rows = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(ORDER + SEASONAL, o)]) for o in full])
-    return series.select("*", F.inline(rows))
+    literal = [F.array(*[F.lit(int(v)) for v in o]) for o in full]
+    chunks = [F.array(*literal[i : i + ORDERS_PER_ROW]) for i in range(0, len(literal), ORDERS_PER_ROW)]
+    return series.select("*", F.posexplode(F.array(*chunks)).alias("_chunk", "_orders"))
 
 
-def _run(series: DataFrame, origins: Column, steps: int) -> DataFrame:
-    """Forecast rows: one per series, order, origin and step."""
-    tasks = series.withColumn("_origins", origins).filter(F.size("_origins") > 0)
+def _run(series: DataFrame, origins: Column, steps: int, tasks: int = TASKS) -> DataFrame:
+    """Forecast rows: one per series, order, origin and step.
+
+    The known days and values that a forecast is compared with are cut out of the series before anything is
+    unfolded, so no row of the result carries a series.
+    """
+    rows = series.withColumn("_origins", origins).filter(F.size("_origins") > 0)
     # Fits cost far more than the few values that are moved. A stated number of partitions keeps
     # adaptive execution from packing the small rows into one task.
-    parts = TASKS_PER_CORE * series.sparkSession.sparkContext.defaultParallelism
-    tasks = tasks.repartition(parts, SERIES, *ORDER, *SEASONAL)
-    order = F.struct(*ORDER, *SEASONAL)
-    solved = tasks.withColumn("_paths", _forecasts("values", order, "_origins", F.lit(steps)))
-    keys = [SERIES, *ORDER, *SEASONAL]
+    rows = rows.repartition(tasks, SERIES, "_chunk")
+    targets = F.transform(
+        "_origins",
+        lambda o: F.struct(
+            o.alias("origin"), F.slice("days", o + 1, F.lit(steps)).alias("days"), F.slice("values", o + 1, F.lit(steps)).alias("values")
+        ),
+    )
+    solved = rows.select(
+        SERIES,
+        "_orders",
+        targets.alias("_targets"),
+        F.element_at("days", -1).alias("_last"),
+        F.size("days").alias("_known"),
+        _forecasts("values", "_orders", "_origins", F.lit(steps)).alias("_paths"),
+    )
     # Outer generators: the plain ones would test the computed arrays first, and so fit twice.
-    per_origin = solved.select(
-        *keys, "days", "values", F.inline_outer(F.arrays_zip(F.col("_origins").alias("origin"), F.col("_paths").alias("path")))
+    per_order = solved.select(
+        SERIES, "_targets", "_last", "_known", F.inline_outer(F.arrays_zip(F.col("_orders").alias("order"), F.col("_paths").alias("paths")))
+    )
+    per_origin = per_order.select(
+        SERIES, "order", "_last", "_known", F.inline_outer(F.arrays_zip(F.col("_targets").alias("target"), F.col("paths").alias("path")))
     )
-    rows = per_origin.select(*keys, "days", "values", "origin", F.posexplode_outer("path").alias("_step", "_predicted"))
-    place = F.col("origin") + F.col("_step")
-    last_day = F.element_at("days", -1)
-    known = F.get("days", place)
-    beyond = F.date_add(last_day, (place - F.size("days") + 1).cast("int"))
-    return rows.select(
-        *keys,
+    unfolded = per_origin.select(SERIES, "order", "_last", "_known", "target", F.posexplode_outer("path").alias("_step", "_predicted"))
+    known = F.get("target.days", F.col("_step"))
+    beyond = F.date_add("_last", (F.col("target.origin") + F.col("_step") - F.col("_known") + 1).cast("int"))
+    return unfolded.select(
+        SERIES,
+        *[F.get("order", F.lit(i)).alias(name) for i, name in enumerate((*ORDER, *SEASONAL))],
         F.coalesce(known, beyond).alias(DAY),
         (F.col("_step") + 1).alias("step"),
-        F.get("values", place).alias(VALUE),
+        F.get("target.values", F.col("_step")).alias(VALUE),
         F.when(~F.isnan("_predicted"), F.col("_predicted")).alias("predicted"),
     )
 
