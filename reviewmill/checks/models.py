@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.checks.registry import CLEANED_PARTS, query, rounded
+from reviewmill.checks.registry import CLEANED_PARTS, hash_sql, query, rounded
 from reviewmill.checks.tables import COLUMNS, DESCRIBE, refined
 from reviewmill.functions import columns as fn
 from reviewmill.operators import metrics, profiling, recommend, splitting, text
@@ -74,11 +74,23 @@ def als_train(spark, sf_dir):
     return recommend.decode_items(factors, index).select("product_id", "features")
 
 
-@query("als_predict")
+MASKED = """, masked AS (SELECT *, rank() OVER (PARTITION BY customer_id ORDER BY product_id DESC) AS place,
+                count(*) OVER (PARTITION BY customer_id) AS n FROM cleaned),
+    train AS (SELECT * FROM masked WHERE place > CAST(floor(n * 0.3::DOUBLE) AS INT)),
+    scorable AS (SELECT * FROM masked WHERE place <= CAST(floor(n * 0.3::DOUBLE) AS INT)
+      AND customer_id IN (SELECT customer_id FROM train) AND product_id IN (SELECT product_id FROM train))"""
+
+
+@query(
+    "als_predict",
+    CLEANED_PARTS + MASKED + "SELECT customer_id, product_id, review_id, star_rating, true AS plausible FROM scorable",
+)
 def als_predict(spark, sf_dir):
+    """The test reviews that get a score, and whether the score is one (factors are not negative)."""
     _, _, splits, model = trained(spark, sf_dir)
     scored = model.transform(part(splits, "test"))
-    return scored.select("customer_id", "product_id", "review_id", "star_rating", "prediction")
+    plausible = F.col("prediction").between(0, 25).alias("plausible")
+    return scored.select("customer_id", "product_id", "review_id", "star_rating", plausible)
 
 
 @query("als_evaluate")
@@ -165,15 +177,16 @@ def users_without_recs(spark, sf_dir):
     return users.distinct().join(part(splits, "train").select("customer_id"), "customer_id", "left_anti")
 
 
-@query("model_io")
+@query("model_io", CLEANED_PARTS + MASKED + "SELECT customer_id, product_id, review_id, true AS same FROM scorable")
 def model_io(spark, sf_dir):
-    """Scores of a model that was stored and loaded again, with decoded products."""
+    """Whether a model that was stored and loaded again gives the scores of the first one, with decoded products."""
     _, index, splits, model = trained(spark, sf_dir)
     path = scratch_path(spark, "model")
     recommend.save_model(model, index, path)
     loaded, items = recommend.load_model(spark, path)
-    scored = loaded.transform(part(splits, "test").select("customer_id", "item_id", "review_id"))
-    return recommend.decode_items(scored, items).select("customer_id", "product_id", "review_id", "prediction")
+    first = model.transform(part(splits, "test").select("customer_id", "item_id", "review_id")).withColumnRenamed("prediction", "_first")
+    both = loaded.transform(first).withColumn("same", F.abs(F.col("prediction") - F.col("_first")) < 1e-6)
+    return recommend.decode_items(both, items).select("customer_id", "product_id", "review_id", "same")
 
 
 # Text: 2 is good text, 1 poor text, 0 toxic text
@@ -222,10 +235,19 @@ def text_classifier_train(spark, sf_dir):
     return metrics.accuracy(scored, "label", "prediction", ["label"])
 
 
-@query("text_classifier_score")
+@query(
+    "text_classifier_score",
+    f"""SELECT doc_id, CASE WHEN place < 0.4 THEN 'train' WHEN place < 0.8 THEN 'validation' ELSE 'test' END AS split,
+      CAST(CASE WHEN toxic = 1 THEN 0 WHEN quality = 1 THEN 2 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 1 END AS DOUBLE) AS label,
+      true AS scored
+    FROM (SELECT *, {hash_sql("doc_id")} AS place FROM documents LEFT JOIN labels USING (doc_id))""",
+)
 def text_classifier_score(spark, sf_dir):
+    """Every document gets one of the three labels."""
     rows, model = text_model(spark, sf_dir)
-    return text.score_text(model, rows).select("doc_id", "split", "label", "prediction", "predicted")
+    scored = text.score_text(model, rows)
+    one_of = (F.col("prediction").isin(0, 1, 2) & F.col("predicted").isNotNull()).alias("scored")
+    return scored.select("doc_id", "split", "label", one_of)
 
 
 @query("text_classifier_eval")
