@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-# Low bits are read from eight bytes at any bit offset.
+# Most low bits of a number; they are packed into words of 64.
 WIDEST = 56
 
 
@@ -24,15 +24,19 @@ class EliasFano:
         n = len(values)
         width = min(WIDEST, max(0, bits - max(n, 1).bit_length()))
         values = values.astype(np.uint64)
-        if width:
-            places = np.arange(width, dtype=np.uint64)
-            low = np.packbits(((values[:, None] >> places) & np.uint64(1)).astype(np.uint8), axis=None, bitorder="little")
-        else:
-            low = np.zeros(0, dtype=np.uint8)
+        begin = np.arange(n, dtype=np.int64) * width
+        word, shift = begin >> 6, (begin & 63).astype(np.uint64)
+        low = np.zeros((n * width >> 6) + 2, dtype="<u8")
+        if n and width:
+            bits_of = values & np.uint64((1 << width) - 1)
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            low[word[first]] = np.bitwise_or.reduceat(bits_of << shift, first)
+            over = np.flatnonzero(shift > np.uint64(64 - width))
+            low[word[over] + 1] |= bits_of[over] >> (np.uint64(64) - shift[over])
         upper = (values >> np.uint64(width)).astype(np.int64)
         marks = np.zeros(n + (1 << (bits - width)) + 1, dtype=np.uint8)
         marks[upper + np.arange(n)] = 1
-        return cls(n, width, np.concatenate([low, np.zeros(8, np.uint8)]), np.packbits(marks, bitorder="little"))
+        return cls(n, width, low.view(np.uint8), np.packbits(marks, bitorder="little"))
 
     def to_bytes(self) -> bytes:
         head = np.array([self.n, self.width, len(self.low), len(self.high)], dtype="<i8")
@@ -54,11 +58,12 @@ class EliasFano:
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.width:
             return np.zeros(len(at), dtype=np.uint64)
-        bit = at * self.width
-        byte, out = bit >> 3, np.zeros(len(at), dtype=np.uint64)
-        for i in range(8):
-            out |= self.low[byte + i].astype(np.uint64) << np.uint64(8 * i)
-        return (out >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.width) - 1)
+        begin = at * self.width
+        word, shift = begin >> 6, (begin & 63).astype(np.uint64)
+        words = self.low.view("<u8")
+        # Two shifts in place of one, as a shift by 64 is none.
+        both = (words[word] >> shift) | ((words[word + 1] << np.uint64(1)) << (np.uint64(63) - shift))
+        return both & np.uint64((1 << self.width) - 1)
 
     def access(self, at: np.ndarray) -> np.ndarray:
         ones = self._select()
@@ -74,13 +79,18 @@ class EliasFano:
         at, end = self._starts[upper].copy(), self._starts[upper + 1]
         low = values & np.uint64((1 << self.width) - 1)
         found = np.full(len(values), -1, dtype=np.int64)
+        # Numbers with the same upper part are ordered by their low bits: halve what is left of each stretch.
+        last = end.copy()
         open_ = np.flatnonzero(at < end)
         while len(open_):
-            here = self._low(at[open_])
-            hit = here == low[open_]
-            found[open_[hit]] = at[open_[hit]]
-            at[open_] += 1
-            open_ = open_[(here < low[open_]) & (at[open_] < end[open_])]
+            middle = (at[open_] + last[open_]) >> 1
+            below = self._low(middle) < low[open_]
+            at[open_[below]] = middle[below] + 1
+            last[open_[~below]] = middle[~below]
+            open_ = open_[at[open_] < last[open_]]
+        inside = np.flatnonzero(at < end)
+        hit = inside[self._low(at[inside]) == low[inside]]
+        found[hit] = at[hit]
         return found
 
 

@@ -244,7 +244,7 @@ def _mapped(data: bytes) -> np.ndarray:
     try:
         with os.fdopen(handle, "wb") as file:
             file.write(data)
-        return np.memmap(path, dtype=np.uint8, mode="r")
+        return np.asarray(np.memmap(path, dtype=np.uint8, mode="r"))
     finally:
         os.unlink(path)
 
@@ -278,13 +278,15 @@ def _answer(level: int, settings: Settings):
             log = np.log10((total + settings.prior * lower) / (context + settings.prior))
             codes, book = _quantised(log[seen])
         trie, total = Level.from_buffer(_mapped(Level.build(every[seen], codes, half).to_bytes())), total[seen]
-        out = []
-        for row, asked in zip(rows, keys, strict=True):
-            place = trie.find(asked)
-            counts = np.where(place >= 0, np.append(total, 0)[place], 0)
-            found = None if book is None else zlib.compress(np.where(place >= 0, np.append(trie.codes, np.uint8(0))[place], 0).astype(np.uint8).tobytes(), 1)
+        # Each n-gram is looked up once, whoever asked for it.
+        place = trie.find(every)
+        counts = np.where(place >= 0, np.append(total, 0)[place], 0)
+        codes = np.where(place >= 0, np.append(trie.codes, np.uint8(0))[place], 0).astype(np.uint8) if level > 1 else None
+        out, cuts = [], np.cumsum([len(k) for k in keys])[:-1]
+        for row, asked in zip(rows, np.split(inverse, cuts), strict=True):
             out.append({
-                "chunk": row["chunk"], "level": level, "shard": row["shard"], "counts": _packed(counts, "<u4"), "codes": found,
+                "chunk": row["chunk"], "level": level, "shard": row["shard"], "counts": _packed(counts[asked], "<u4"),
+                "codes": None if book is None else zlib.compress(codes[asked].tobytes(), 1),
                 "book": None if book is None else book.tobytes(), "n": None, "v": None,
             })
         out.append({"chunk": None, "level": level, "shard": rows[0]["shard"], "counts": None, "codes": None, "book": None, "n": int(total.sum()), "v": len(total)})

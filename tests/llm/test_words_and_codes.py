@@ -90,6 +90,15 @@ def test_elias_fano_and_trie_level(values, others):
     assert coded.find(asked).tolist() == expected == level.find(asked).tolist()
 
 
+def test_a_context_with_very_many_successors():
+    draw = np.random.default_rng(2)
+    keys = np.unique(np.concatenate([(7 << 24) + draw.integers(0, 1 << 24, 60_000), draw.integers(0, 1 << 48, 5_000)]).astype(np.uint64))
+    level = Level.build(keys, np.zeros(len(keys), np.uint8), 24)
+    assert (level.find(keys) == np.arange(len(keys))).all()
+    others = ((7 << 24) + draw.integers(0, 1 << 24, 60_000)).astype(np.uint64)
+    assert ((level.find(others) >= 0) == np.isin(others, keys)).all()
+
+
 @pytest.mark.parametrize("name, split", [("byte_bpe_50k.json", tokens.split_before_space), ("word_bpe_49k.json", tokens.split_at_space)])
 def test_parts_give_the_ids_of_the_whole(name, split):
     from tokenizers import Tokenizer
