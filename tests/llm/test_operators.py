@@ -165,11 +165,9 @@ def test_conversations_come_back_and_share_their_turns(spark):
 
 
 def test_chat_tokens(spark):
-    encode = whole(BYTE)
     frame = spark.createDataFrame([(1, 0, "user", "hello"), (1, 1, "assistant", "there"), (2, 0, "user", "hello")], "conv_id long, turn int, role string, text string")
     (block,) = chat.prefix_blocks(frame.coalesce(1), encode=lambda text: [ord(c) for c in text]).collect()
     assert "".join(map(chr, block.tokens)) == block.text and len(block.nodes) == 2
-    del encode
 
 
 # 5
