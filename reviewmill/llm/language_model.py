@@ -10,8 +10,9 @@ The probability of a word after a context is ``(count + prior * p) / (context co
 probability after the context without its first word; single words have the probability of the base
 score. This is a distribution over the known words and one unknown word.
 
-An n-gram is only sent if its count is open: it cannot be above the smaller count of its two parts, so when
-a chunk itself has that many (as for most n-grams with a rare word), it is known without asking.
+Every training n-gram is sent with its count, so a level of the trie holds all of them. A chunk asks only for
+n-grams whose count is open: it cannot be above the smaller count of its two parts, so when a chunk itself
+has that many (as for most n-grams with a rare word), it is known without asking.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ CHUNK = pa.schema(
     }
 )
 CHUNK_SCHEMA = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<long>, words binary, ids binary"
-SENT_SCHEMA = "shard int, chunk long, keys binary, counts binary, context binary, lower binary"
+SENT_SCHEMA = "shard int, chunk long, keys binary, counts binary, asked binary, context binary, lower binary"
 ANSWER_SCHEMA = "chunk long, level int, shard int, counts binary, codes binary, book binary, n long, v long"
 ANSWER = pa.schema(
     [(n, t) for n, t in zip(
@@ -147,24 +148,27 @@ class Chunk:
         shard = (words.seeded(hashes, 7) % np.uint64(self.shards)).astype(np.int64)
         return shard, np.lexsort((keys, shard))
 
-    def _sent(self, keys: np.ndarray, shard: np.ndarray, order: np.ndarray, bits: int, local, context=None, lower=None) -> Iterator[dict]:
+    def _sent(self, keys: np.ndarray, shard: np.ndarray, order: np.ndarray, bits: int, local, asked, context=None, lower=None) -> Iterator[dict]:
+        """Counts go with all keys, contexts and lower probabilities only with those that are asked for."""
         cuts = np.flatnonzero(np.diff(shard[order])) + 1
         for part in np.split(order, cuts) if len(order) else []:
+            open_ = part[asked[part]]
             yield {
                 "shard": int(shard[part[0]]),
                 "keys": EliasFano.encode(keys[part], bits).to_bytes(),
                 "counts": _packed(local[part], "<u4"),
-                "context": None if context is None else _packed(context[part], "<u4"),
-                "lower": None if lower is None else _packed(lower[part], "<u2"),
+                "asked": zlib.compress(np.packbits(asked[part]).tobytes(), 1),
+                "context": None if context is None or not len(open_) else _packed(context[open_], "<u4"),
+                "lower": None if lower is None or not len(open_) else _packed(lower[open_], "<u2"),
             }
 
-    def level(self, level: int) -> Iterator[dict]:
-        """What the chunk sends at a level whose lower levels are answered; with answers, ``grams`` is filled in."""
+    def level(self, level: int, send: bool = False) -> Iterator[dict]:
+        """What the chunk sends at a level whose lower levels are answered; otherwise ``grams`` is filled in from the answers."""
         if level == 1:
             keys, local = self.vocabulary >> np.uint64(2), np.bincount(self.ids[self.train], minlength=len(self.vocabulary))
             shard, order = self._order(keys, self.vocabulary)
-            if 1 not in self.answers:
-                yield from self._sent(keys, shard, order, 62, local)
+            if send:
+                yield from self._sent(keys, shard, order, 62, local, np.ones(len(keys), dtype=bool))
                 return
             counts = np.zeros(len(keys), dtype=np.int64)
             counts[order] = np.concatenate([_unpacked(a["counts"], "<u4") for a in self.answers[1]])
@@ -181,12 +185,13 @@ class Chunk:
         bound = np.minimum(shorter.counts[context], shorter.counts[rest])
         lower, above = shorter.probability[rest], shorter.counts[context]
         hashes = words.mix(shorter.hashes[context] * np.uint64(0x9E3779B97F4A7C15) + word)
-        open_ = np.flatnonzero(local < bound)
+        # Another chunk may ask for what is known here, so all training n-grams go along.
+        open_ = np.flatnonzero((local > 0) | (local < bound) if send else local < bound)
         keys = ((words.seeded(shorter.hashes[context[open_]], 8) >> np.uint64(40)) << np.uint64(24)) | (words.seeded(word[open_], 9) >> np.uint64(40))
         shard, order = self._order(keys, hashes[open_])
-        if level not in self.answers and len(open_):
+        if send:
             travelling = np.minimum(np.round(-np.log10(lower[open_]) * LOWER_STEP), 65535)
-            yield from self._sent(keys, shard, order, 48, local[open_], above[open_], travelling)
+            yield from self._sent(keys, shard, order, 48, local[open_], (local < bound)[open_], above[open_], travelling)
             return
         counts = local.astype(np.int64)
         probability = (counts + prior * lower) / (above + prior)
@@ -227,14 +232,14 @@ def _send(level: int, settings: Settings, shards: int, total: tuple[int, int]):
                 row = batch.slice(i, 1).to_pylist()[0]
                 chunk = Chunk(row, settings, shards, total)
                 chunk.fill(level - 1)
-                sent = [r | {"chunk": row["chunk"]} for r in chunk.level(level)]
+                sent = [r | {"chunk": row["chunk"]} for r in chunk.level(level, send=True)]
                 yield pa.RecordBatch.from_pylist(sent, schema=SENT)
 
     return run
 
 
 SENT = pa.schema(
-    [("shard", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("context", pa.binary()), ("lower", pa.binary())]
+    [("shard", pa.int32()), ("chunk", pa.int64())] + [(n, pa.binary()) for n in ("keys", "counts", "asked", "context", "lower")]
 )
 
 
@@ -270,23 +275,33 @@ def _answer(level: int, settings: Settings):
         every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(inverse, weights=np.concatenate([_unpacked(r["counts"], "<u4") for r in rows]), minlength=len(every)).astype(np.int64)
         seen = total > 0
+        places = np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
+        asked = [p[np.unpackbits(np.frombuffer(zlib.decompress(r["asked"]), np.uint8), count=len(p)).astype(bool)] for r, p in zip(rows, places, strict=True)]
         codes, book = np.zeros(0, dtype=np.uint8), None
         if level > 1:
-            context, lower = np.zeros(len(every)), np.zeros(len(every))
-            context[inverse] = np.concatenate([_unpacked(r["context"], "<u4") for r in rows])
-            lower[inverse] = 10.0 ** (np.concatenate([_unpacked(r["lower"], "<u2") for r in rows]) / -LOWER_STEP)
+            context, lower, wanted = np.zeros(len(every)), np.ones(len(every)), np.zeros(len(every), dtype=bool)
+            for row, part in zip(rows, asked, strict=True):
+                if len(part):
+                    wanted[part] = True
+                    context[part] = _unpacked(row["context"], "<u4")
+                    lower[part] = 10.0 ** (_unpacked(row["lower"], "<u2") / -LOWER_STEP)
+            # What nobody asks for has its count in the trie, but no code that is read.
+            codes = np.zeros(len(every), dtype=np.uint8)
             log = np.log10((total + settings.prior * lower) / (context + settings.prior))
-            codes, book = _quantised(log[seen])
+            codes[seen & wanted], book = _quantised(log[seen & wanted])
+            codes = codes[seen]
         trie, total = Level.from_buffer(_mapped(Level.build(every[seen], codes, half).to_bytes())), total[seen]
         # Each n-gram is looked up once, whoever asked for it.
         place = trie.find(every)
         counts = np.where(place >= 0, np.append(total, 0)[place], 0)
         codes = np.where(place >= 0, np.append(trie.codes, np.uint8(0))[place], 0).astype(np.uint8) if level > 1 else None
-        out, cuts = [], np.cumsum([len(k) for k in keys])[:-1]
-        for row, asked in zip(rows, np.split(inverse, cuts), strict=True):
+        out = []
+        for row, part in zip(rows, asked, strict=True):
+            if not len(part):
+                continue
             out.append({
-                "chunk": row["chunk"], "level": level, "shard": row["shard"], "counts": _packed(counts[asked], "<u4"),
-                "codes": None if book is None else zlib.compress(codes[asked].tobytes(), 1),
+                "chunk": row["chunk"], "level": level, "shard": row["shard"], "counts": _packed(counts[part], "<u4"),
+                "codes": None if book is None else zlib.compress(codes[part].tobytes(), 1),
                 "book": None if book is None else book.tobytes(), "n": None, "v": None,
             })
         out.append({"chunk": None, "level": level, "shard": rows[0]["shard"], "counts": None, "codes": None, "book": None, "n": int(total.sum()), "v": len(total)})
