@@ -2,7 +2,7 @@
 
 A passage of ``m`` characters that occurs with at most ``k`` edits shares ``m + 1 - (k + 1) * q`` of its q-grams
 with the text, all on ``k + 1`` neighbouring diagonals (text position minus passage position). Common
-q-grams are counted in overlapping bands of diagonals; bands that reach the bound are verified by an
+q-grams are counted in overlapping bands of diagonals, as wide as the edits of the passage need; bands that reach the bound are verified by an
 alignment inside the band. Texts are compared as lower-case letters and digits with single spaces.
 """
 
@@ -72,6 +72,9 @@ class Passages:
         # Of a short passage fewer edits are allowed, so that one common q-gram at least is left.
         self.budget = np.minimum((sizes * settings.edits).astype(np.int64), (sizes - Q) // Q)
         self.bound = sizes + 1 - (self.budget + 1) * Q
+        # A band and the ``budget`` diagonals after it hold any ``budget + 1`` neighbours that begin in it, if
+        # these are no more than the next band has.
+        self.width = np.left_shift(1, np.ceil(np.log2(np.maximum(self.budget, BAND))).astype(np.int64))
         codes = [grams(t) for t in self.texts]
         item = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
         place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, dtype=np.int64)
@@ -101,10 +104,12 @@ def candidates(data: np.ndarray, offsets: np.ndarray, passages: Passages) -> tup
     row = np.repeat(row, times)
     # Shifted to be positive: a passage may begin before the text.
     longest = max(map(len, passages.texts), default=0)
-    shift = (longest // BAND + 2) * BAND
+    widest = int(passages.width.max(initial=BAND))
+    shift = (longest // widest + 2) * widest
     diagonal = np.repeat(at, times) - offsets[row] - passages.place[hit] + shift
-    band = diagonal // BAND
-    before = diagonal % BAND <= passages.budget[item]
+    width = passages.width[item]
+    band = diagonal // width
+    before = diagonal % width <= passages.budget[item]
     keys = ((row.astype(np.uint64) * np.uint64(len(passages.ids)) + item.astype(np.uint64)) << np.uint64(28)) + band.astype(np.uint64)
     keys = np.sort(np.concatenate([keys, keys[before] - np.uint64(1)]))
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
@@ -112,7 +117,7 @@ def candidates(data: np.ndarray, offsets: np.ndarray, passages: Passages) -> tup
     pair = (keys[first] >> np.uint64(28)).astype(np.int64)
     row, item = pair // max(len(passages.ids), 1), pair % max(len(passages.ids), 1)
     enough = count >= passages.bound[item] if len(item) else np.zeros(0, dtype=bool)
-    band = (keys[first] & np.uint64((1 << 28) - 1)).astype(np.int64) - shift // BAND
+    band = (keys[first] & np.uint64((1 << 28) - 1)).astype(np.int64) - shift // passages.width[item]
     return row[enough], item[enough], band[enough]
 
 
@@ -121,12 +126,13 @@ def align(passage: np.ndarray, regions: np.ndarray, width: int) -> tuple[np.ndar
 
     Row ``i`` of the table stands at region positions ``i .. i + width - 1``; begin and end are free.
     """
-    lane = np.arange(width, dtype=np.int16)
-    row = np.zeros((len(regions), width), dtype=np.int16)
+    kind = np.int16 if len(passage) + width < 1 << 15 else np.int32
+    lane = np.arange(width, dtype=kind)
+    row = np.zeros((len(regions), width), dtype=kind)
     for i, letter in enumerate(passage):
         matched = row + (regions[:, i : i + width] != letter)
         matched[:, :-1] = np.minimum(matched[:, :-1], row[:, 1:] + 1)
-        row = (np.minimum.accumulate(matched - lane, axis=1) + lane).astype(np.int16)
+        row = (np.minimum.accumulate(matched - lane, axis=1) + lane).astype(kind)
     best = row.argmin(axis=1)
     return row[np.arange(len(row)), best], best + len(passage)
 
@@ -141,10 +147,12 @@ def located(column: pa.Array, passages: Passages) -> Iterator[tuple[int, int, in
         for part in np.split(order, np.flatnonzero(np.diff(items[order])) + 1) if len(order) else []:
             item = int(items[part[0]])
             passage, budget = passages.texts[item], int(passages.budget[item])
-            width = BAND + 2 * budget + 1
-            for low in range(0, len(part), 256):
-                some = part[low : low + 256]
-                left, first = bands[some] * BAND - budget, offsets[rows[some]]
+            band = int(passages.width[item])
+            width = band + 2 * budget + 1
+            step = max(1, min(256, (1 << 20) // (len(passage) + width)))
+            for low in range(0, len(part), step):
+                some = part[low : low + step]
+                left, first = bands[some] * band - budget, offsets[rows[some]]
                 place = left[:, None] + np.arange(len(passage) + width)
                 inside = (place >= 0) & (place < (offsets[rows[some] + 1] - first)[:, None])
                 letters = np.where(inside, data[np.where(inside, place + first[:, None], 0)], 0)

@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
-from edge import prose
+from edge import documents, prose
+
+from reviewmill.llm import decontaminate, language_model
+
+# 6
+
+
+def test_long_passage_with_spread_insertions(spark):
+    draw = random.Random(6)
+    letters = "".join(draw.choices("abcdefghijklmnop", k=6000))
+    changed = "".join(c + ("z" if i % 13 == 12 and i < 13 * 450 else "") for i, c in enumerate(letters))
+    docs = documents(spark, [(shift, prose(3, 90)[:shift] + " " + changed + " " + prose(4, 50)) for shift in (0, 150, 300, 450, 600)])
+    bench = spark.createDataFrame([(1, letters), (2, prose(5, 20))], "item_id long, text string")
+    found = decontaminate.find_passages(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in found) == [(shift, 1, 450) for shift in (0, 150, 300, 450, 600)]
 
-from reviewmill.llm import language_model
 
 # 10
 
