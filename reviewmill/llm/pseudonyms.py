@@ -36,10 +36,12 @@ PATTERN = re.compile(
     |(?<![\w])(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![\w])
     |(?<![\w])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])
     |(?P<phone>(?:\+[0-9]{1,3}[ .-]?|(?<![\w]))(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![\w])
-    |(?<![\w])(?P<card>[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![\w])
-    |(?P<number>\+[0-9]{8,15})(?![\w])""",
+    |(?<![\w])(?P<card>[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w])
+    |(?P<number>\+[0-9](?:(?:[ .-](?![0-9]{4}-[0-9]{2}-[0-9]{2}(?![\w])))?\(?[0-9]\)?){7,14})(?![\w])""",
     re.VERBOSE,
 )
+# An account in groups of four, looked for before all others; its end may be any group.
+GROUPED_IBAN = re.compile(r"(?<![\w])[A-Z]{2}[0-9]{2}(?:[ -][A-Z0-9]{4}){2,7}(?:[ -][A-Z0-9]{1,3})?(?![\w])")
 _WORTH_A_LOOK = re.compile(r"[0-9@]")
 
 
@@ -143,11 +145,13 @@ class Pseudonyms:
         def check(country: str, account: str) -> int:
             return 98 - int("".join(str(int(c, 36)) for c in account + country + "00")) % 97
 
-        country, account = text[:2], text[4:]
-        if int(text[2:4]) != check(country, account):
+        plain = re.sub("[ -]", "", text)
+        country, account = plain[:2], plain[4:]
+        if not 11 <= len(account) <= 30 or int(plain[2:4]) != check(country, account):
             return None
         new = self._by_class("iban" + country, account, [CLASSES[0] if c.isdigit() else CLASSES[2] for c in account])
-        return f"{country}{check(country, new):02d}{new}"
+        written = iter(f"{country}{check(country, new):02d}{new}")
+        return "".join(c if c in " -" else next(written) for c in text)
 
     def _ip(self, text: str) -> str | None:
         parts = text.split(".")
@@ -195,10 +199,15 @@ class Pseudonyms:
         return self._digits("phone", text, keep=local)
 
     def _number(self, text: str) -> str:
-        return self._digits("phone", text, keep=2)
+        """The country code stays if it stands alone, else its first digit."""
+        code = re.match(r"\+[0-9]{1,3}(?=[ .(-])", text)
+        return self._digits("phone", text, keep=code.end() if code else 2)
 
     def _card(self, text: str) -> str:
-        """The payload is permuted; a right check digit stays right, a wrong one as wrong as it was."""
+        """The payload is permuted; a right check digit stays right, a wrong one as wrong as it was.
+
+        Numbers that fail the check are changed, too: a mistyped card number is still a private one.
+        """
         payload = re.sub("[^0-9]", "", text)[:-1]
         off = (int(text[-1]) - luhn(payload)) % 10
         new = self._by_class("card", text[:-1], [CLASSES[0] if c in CLASSES[0] else None for c in text[:-1]])
@@ -218,7 +227,23 @@ class Pseudonyms:
             count += 1
             return new
 
-        return PATTERN.sub(one, text), count
+        parts, at = [], 0
+        for match in self._grouped_ibans(text):
+            parts += [PATTERN.sub(one, text[at : match[0]]), match[2]]
+            at, count = match[1], count + 1
+        return "".join([*parts, PATTERN.sub(one, text[at:])]), count
+
+    def _grouped_ibans(self, text: str) -> Iterator[tuple[int, int, str]]:
+        """Begin, end and pseudonym of each account in groups; of several valid ends the last."""
+        at = 0
+        while match := GROUPED_IBAN.search(text, at):
+            at, found = match.start() + 1, match.group()
+            while len(found) > 15:
+                if new := self.of("iban", found):
+                    at = match.start() + len(found)
+                    yield match.start(), at, new
+                    break
+                found = found[: max(found.rfind(" "), found.rfind("-"), 0)]
 
 
 _workers: dict[bytes, Pseudonyms] = {}
@@ -243,8 +268,8 @@ def pseudonymize(docs: DataFrame, key: bytes, column: str = "text", count: str |
     """``docs`` with pseudonyms in ``column``, other columns as they are; ``count`` names a column with the
     number of replaced values (it must not be there yet).
 
-    E-mail names (the domain stays), phone numbers, card-like numbers of 13 to 19 digits, IPv4 addresses,
-    bank accounts (IBAN), US social security numbers, calendar dates from 1900 to 2099, and secrets (hex strings
+    E-mail names (the domain stays), phone numbers (3-3-4, or after a + in any groups of 8 to 15 digits), card-like
+    numbers of 13 to 19 digits, IPv4 addresses, bank accounts (IBAN, also in groups of four), US social security numbers, calendar dates from 1900 to 2099, and secrets (hex strings
     of 32 to 128 digits, keys with a known prefix). What fails its check (an octet above 255, a 31 June)
     stays, except that numbers like cards keep their check digit right or wrong. Null stays null. Lengths
     stay the same. Rows are handled one by one, so nothing is shuffled.

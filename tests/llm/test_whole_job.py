@@ -7,7 +7,7 @@ import random
 import pytest
 from edge import documents, prose
 
-from reviewmill.llm import decontaminate, language_model
+from reviewmill.llm import decontaminate, language_model, pseudonyms
 
 # 6
 
@@ -22,6 +22,34 @@ def test_long_passage_with_spread_insertions(spark):
     assert sorted((r.doc_id, r.item_id, r.edits) for r in found) == [(shift, 1, 450) for shift in (0, 150, 300, 450, 600)]
 
 
+# 9
+
+
+@pytest.mark.parametrize("value", ["DE89 3704 0044 0532 0130 00", "AT61 1904 3002 3457 3201", "+44 20 7946 0958", "+49 30 123456", "+44 (0)20 7946 0958", "3782 822463 10005", "3782-822463-10005"])
+def test_grouped_values_are_replaced_whole(value):
+    new, n = pseudonyms.Pseudonyms(b"secret" * 4).replace(f"see {value} BANK on 2024-02-29")
+    first = new[4 : 4 + len(value)]
+    assert n == 2 and len(new) == len(value) + 23 and new[4 + len(value) :].startswith(" BANK on ") and "2024-02-29" not in new
+    assert first != value and [c.isdigit() for c in first] == [c.isdigit() for c in value]
+    plain = first.replace(" ", "").replace("-", "")
+    if value[0].isalpha():
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    if value[0] == "3":
+        assert pseudonyms.luhn(plain[:-1]) == int(plain[-1])
+    if value[0] == "+":
+        assert first[:3] == value[:3]
+
+
+def test_groups_that_are_no_account_are_looked_at_again():
+    new, n = pseudonyms.Pseudonyms(b"secret" * 4).replace("AB12 4111 1111 1111 1111")
+    assert n == 1 and new[:5] == "AB12 " and new[5:] != "4111 1111 1111 1111"
+
+
+def test_date_after_a_number_abroad_stays_a_date():
+    new, n = pseudonyms.Pseudonyms(b"secret" * 4).replace("+49 30 123456 2024-02-29")
+    assert n == 2 and pseudonyms.PATTERN.search(new[14:]).lastgroup == "date"
+
+
 # 10
 
 
