@@ -9,7 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import chat, decontaminate, embedding_dup, language_model, licenses, near_dup, packing, pseudonyms, quality, token_files, tokens
+from reviewmill.llm import (
+    chat,
+    decontaminate,
+    embedding_dup,
+    language_model,
+    licenses,
+    merkle,
+    near_dup,
+    packing,
+    pseudonyms,
+    quality,
+    token_files,
+    tokens,
+)
 from reviewmill.session import cut_lineage, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +143,83 @@ def op10_language_model(spark, sf_dir):
     return language_model.score_corpus(docs.withColumn("held_out", held_out))
 
 
+def _field_sql(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR) END"
+
+
+# The unsigned crc32 of the decimal id, bit by bit.
+CRC32_SQL = """xor(4294967295, list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END))"""
+MANIFEST_SQL = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, sha256({" || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+         sha256({" || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))} || {_field_sql("replace(text, chr(10), '')")}) AS tampered
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER () AS id, CASE WHEN {CRC32_SQL} % 2 = 0 THEN tampered ELSE leaf END AS shown,
+         CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS i,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM rows),
+up(source, lvl, i, n, h) AS (
+  SELECT source, 0, i, n, leaf FROM placed
+  UNION ALL
+  SELECT source, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1
+  GROUP BY source, lvl, i // 3, n),
+subs AS (
+  SELECT source, h AS subroot, CAST(row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS BIGINT) AS i, count(*) OVER () AS n
+  FROM up WHERE n = 1),
+tops(lvl, i, n, h) AS (
+  SELECT 0, i, n, subroot FROM subs
+  UNION ALL
+  SELECT lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY lvl, i // 3, n),
+steps AS (
+  SELECT source, lvl, i, n,
+         coalesce(lag(h, 2) OVER w, '') || coalesce(lag(h) OVER w, '') AS before,
+         coalesce(lead(h) OVER w, '') || coalesce(lead(h, 2) OVER w, '') AS after
+  FROM up WHERE n > 1 WINDOW w AS (PARTITION BY source, lvl, i // 3 ORDER BY i)),
+top_steps AS (
+  SELECT lvl, i, n,
+         coalesce(lag(h, 2) OVER w, '') || coalesce(lag(h) OVER w, '') AS before,
+         coalesce(lead(h) OVER w, '') || coalesce(lead(h, 2) OVER w, '') AS after
+  FROM tops WHERE n > 1 WINDOW w AS (PARTITION BY lvl, i // 3 ORDER BY i)),
+fold(id, source, lvl, i, n, h, siblings) AS (
+  SELECT id, source, 0, i, n, shown, '' FROM placed
+  UNION ALL
+  SELECT f.id, f.source, f.lvl + 1, f.i // 3, (f.n + 2) // 3, sha256(s.before || f.h || s.after), f.siblings || s.before || s.after
+  FROM fold f JOIN steps s ON s.source IS NOT DISTINCT FROM f.source AND s.lvl = f.lvl AND s.i = f.i),
+top_fold(id, lvl, i, n, h, siblings) AS (
+  SELECT f.id, 0, s.i, s.n, f.h, f.siblings FROM fold f JOIN subs s ON s.source IS NOT DISTINCT FROM f.source WHERE f.n = 1
+  UNION ALL
+  SELECT f.id, f.lvl + 1, f.i // 3, (f.n + 2) // 3, sha256(s.before || f.h || s.after), f.siblings || s.before || s.after
+  FROM top_fold f JOIN top_steps s ON s.lvl = f.lvl AND s.i = f.i)
+SELECT p.doc_id, p.leaf, s.subroot, t.h AS root, sha256(f.siblings) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM placed p
+JOIN subs s ON s.source IS NOT DISTINCT FROM p.source
+JOIN top_fold f ON f.id = p.id AND f.n = 1
+JOIN tops t ON t.n = 1"""
+
+
+@query("op13_merkle_manifest", MANIFEST_SQL)
+def op13_merkle_manifest(spark, sf_dir):
+    """Leaf, proof and verification of every document; half of them are shown without their line breaks."""
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "manifest")
+    shown = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    presented = merkle.leaf([*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), shown])
+    merkle.write_manifest(docs, path, extra={"presented": presented})
+    proofs = merkle.proofs(spark, path).withColumn("folded_root", merkle.folded(F.col("presented"), F.col("path")))
+    return proofs.select(
+        F.col("key").alias("doc_id"),
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """Sequences of the corpus after all stages."""
