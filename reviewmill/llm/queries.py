@@ -20,6 +20,8 @@ from reviewmill.llm import (
     packing,
     pseudonyms,
     quality,
+    sharding,
+    source_audit,
     token_files,
     tokens,
 )
@@ -142,6 +144,53 @@ def op10_language_model(spark, sf_dir):
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
     return language_model.score_corpus(docs.withColumn("held_out", held_out))
 
+@query("op11_shards")
+def op11_shards(spark, sf_dir):
+    """All documents in eight shards of nearly equal size, equal texts in one shard."""
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
+    return placed.select(
+        F.col("key").alias("doc_id"), "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+AUDIT_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+words AS (
+  SELECT row_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_count FROM words GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(lang_count) AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.lang_count + 5)) // (l.lang_total + 5 * l.v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(d.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
+@query("op12_source_audit", AUDIT_SQL)
+def op12_source_audit(spark, sf_dir):
+    """Distances between the sources of each language, and the terms that set a source apart."""
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
 
 def _field_sql(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR) END"
