@@ -27,7 +27,7 @@ def read(sf_dir, name):
 
 def test_one_query_for_each_operator():
     names = [n for n in QUERIES if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in QUERIES and set(QUERIES) <= set(entry.queries()) and set(llm_queries.SQL) <= set(entry.oracle_sql())
 
 
@@ -165,3 +165,16 @@ def test_pipeline_of_empty_tables(spark, corpus, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{corpus[0]}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_op11_shards(spark, sf_dir):
+    found = QUERIES["op11_shards"](spark, sf_dir).toPandas()
+    docs = read(sf_dir, "documents")
+    sizes = docs.text.map(lambda t: len(t.encode()) + 1)
+    expected = {i: (s, zlib.crc32(t.encode())) for i, s, t in zip(docs.doc_id, sizes, docs.text)}
+    assert {r.doc_id: (r.size, r.text_crc32) for r in found.itertuples()} == expected and len(found) == len(docs)
+    assert found.merge(docs[["doc_id", "text"]], on="doc_id").groupby("text").shard.nunique().max() == 1
+    loads = found.groupby("shard")["size"].sum()
+    assert len(loads) == 8 and loads.max() - loads.min() < 0.01 * loads.mean()
+    for _, part in found.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
