@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from reviewmill.checks.registry import CLEANED_PARTS, hash_sql, query, rounded
 from reviewmill.checks.tables import COLUMNS, DESCRIBE, refined
 from reviewmill.functions import columns as fn
-from reviewmill.operators import metrics, profiling, recommend, splitting, text
+from reviewmill.operators import cleaning, dictionaries, metrics, profiling, recommend, splitting, text
 from reviewmill.session import cut_lineage, scratch_path
-from reviewmill.sources.fixture import table
+from reviewmill.sources.fixture import reviews, table
 
 TOP_N = recommend.TOP_N
 
@@ -90,7 +90,8 @@ def als_predict(spark, sf_dir):
     _, _, splits, model = trained(spark, sf_dir)
     scored = model.transform(part(splits, "test"))
     plausible = F.col("prediction").between(0, 25).alias("plausible")
-    return scored.select("customer_id", "product_id", "review_id", "star_rating", plausible)
+    # The model turns the columns it scores by into ints.
+    return scored.select(F.col("customer_id").cast("bigint"), "product_id", "review_id", "star_rating", plausible)
 
 
 @query("als_evaluate")
@@ -154,6 +155,79 @@ def recommend_all(spark, sf_dir):
     return recommend.recommend_all(model, TOP_N, index, recommend.product_titles(rows))
 
 
+@query("recommend_scored_share")
+def recommend_scored_share(spark, sf_dir):
+    """How many of all pairs of users and items were scored to find the best ten of every user."""
+    _, _, _, model = trained(spark, sf_dir)
+    found = recommend.recommend_items(model, None, TOP_N)
+    n_items = model.itemFactors.agg(F.count("*").alias("items"))
+    counted = found.agg(F.count("*").alias("users"), F.sum("scored").alias("scored")).join(n_items)
+    return counted.withColumn("share", F.col("scored") / (F.col("users") * F.col("items")))
+
+
+VECTORS = """buyers AS (
+  SELECT c_custkey AS id, [1 + c_custkey % 13, 1 + c_custkey // 13 % 11, 1 + c_custkey // 143 % 7] AS u FROM customer),
+goods AS (
+  SELECT p_partkey AS id, [p_size % 17 * (p_partkey % 50 = 0)::INT + p_partkey % 5, p_size, p_partkey % 7 + 1] AS v FROM part)"""
+
+
+@query(
+    "recommend_top_exact",
+    f"""WITH {VECTORS},
+    scored AS (
+      SELECT buyers.id AS customer_id, goods.id AS item_id, u[1] * v[1] + u[2] * v[2] + u[3] * v[3] AS score FROM buyers, goods),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, item_id) AS place FROM scored)
+    SELECT customer_id, CAST(item_id AS INT) AS item_id, CAST(score AS FLOAT) AS rating FROM placed WHERE place <= {TOP_N}""",
+)
+def recommend_top_exact(spark, sf_dir):
+    """The best ten parts of every customer for factors made of whole numbers, so that ties are ties."""
+    number, part = F.col("c_custkey"), F.col("p_partkey")
+    digits = [1 + number % 13, 1 + F.expr("c_custkey div 13") % 11, 1 + F.expr("c_custkey div 143") % 7]
+    sizes = [F.col("p_size") % 17 * (part % 50 == 0).cast("int") + part % 5, F.col("p_size"), part % 7 + 1]
+    users = table(spark, sf_dir, "customer").select(number.alias("id"), F.array(*[d.cast("float") for d in digits]).alias("features"))
+    items = table(spark, sf_dir, "part").select(part.alias("id"), F.array(*[d.cast("float") for d in sizes]).alias("features"))
+    found = recommend.top_items(users, items, TOP_N, first_items=64)
+    return found.select(F.col("id").alias("customer_id"), F.inline("recommendations"))
+
+
+FAR_CUSTOMERS = 3_000_000_000
+
+
+def far_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned reviews whose customers lie beyond the range of int."""
+    rows = reviews(spark, sf_dir).withColumn("customer_id", (F.col("customer_id") + F.lit(FAR_CUSTOMERS)).cast("string"))
+    return cut_lineage(cleaning.clean_reviews(rows), "far")
+
+
+@query(
+    "codes_of_two_loads",
+    CLEANED_PARTS
+    + f""", loads AS (
+      SELECT customer_id + {FAR_CUSTOMERS} AS customer_id, CASE WHEN min(review_date) < DATE '1995-06-01' THEN 1 ELSE 2 END AS version
+      FROM cleaned GROUP BY customer_id)
+    SELECT customer_id, CAST(row_number() OVER (ORDER BY version, customer_id) - 1 AS INT) AS user_code, version FROM loads""",
+)
+def codes_of_two_loads(spark, sf_dir):
+    """Codes after the customers of an early load, then of all reviews, then of all reviews again."""
+    rows, path = far_reviews(spark, sf_dir), scratch_path(spark, "codes")
+    for load in (rows.filter("review_date < DATE '1995-06-01'"), rows, rows):
+        dictionaries.extend_codes(load, path, "customer_id", "user_code")
+    return dictionaries.read_codes(spark, path, "customer_id", "user_code")
+
+
+@query("recommend_far_customers")
+def recommend_far_customers(spark, sf_dir):
+    """Cleaned, coded, trained and recommended to, with customers beyond the range of int."""
+    rows, path = far_reviews(spark, sf_dir), scratch_path(spark, "codes")
+    dictionaries.extend_codes(rows, f"{path}/users", "customer_id", "user_code")
+    dictionaries.extend_codes(rows, f"{path}/items", "product_id", "item_id")
+    users = dictionaries.read_codes(spark, f"{path}/users", "customer_id", "user_code")
+    items = dictionaries.read_codes(spark, f"{path}/items", "product_id", "item_id", "string")
+    coded = dictionaries.with_codes(dictionaries.with_codes(rows, users, "customer_id", "user_code"), items, "product_id", "item_id")
+    model = recommend.train_als(cut_lineage(coded.select("user_code", "item_id", "star_rating"), "ratings"), user="user_code")
+    return recommend.recommend_coded(model, rows.select("customer_id").distinct(), TOP_N, users, items, recommend.product_titles(rows))
+
+
 @query("join_recs_products")
 def join_recs_products(spark, sf_dir):
     """How often each recommended product is recommended, with its title."""
@@ -186,7 +260,7 @@ def model_io(spark, sf_dir):
     loaded, items = recommend.load_model(spark, path)
     first = model.transform(part(splits, "test").select("customer_id", "item_id", "review_id")).withColumnRenamed("prediction", "_first")
     both = loaded.transform(first).withColumn("same", F.abs(F.col("prediction") - F.col("_first")) < 1e-6)
-    return recommend.decode_items(both, items).select("customer_id", "product_id", "review_id", "same")
+    return recommend.decode_items(both, items).select(F.col("customer_id").cast("bigint"), "product_id", "review_id", "same")
 
 
 # Text: 2 is good text, 1 poor text, 0 toxic text

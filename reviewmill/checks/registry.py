@@ -39,7 +39,8 @@ def with_parts(*parts: str) -> str:
 
 REVIEWS = f"reviews AS ({REVIEWS_SQL.format(lineitem='lineitem', orders='orders', part='part')})"
 NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in REVIEW_COLUMNS)
-PREPARED = f"prepared AS (SELECT * FROM reviews WHERE {NOT_NULL} AND verified_purchase = 'Y')"
+PREPARED = f"""prepared AS (
+  SELECT * REPLACE (CAST(customer_id AS BIGINT) AS customer_id) FROM reviews WHERE {NOT_NULL} AND verified_purchase = 'Y')"""
 CLEANED = """cleaned AS (
   SELECT * FROM prepared
   WHERE customer_id IN (SELECT customer_id FROM prepared GROUP BY customer_id HAVING count(*) >= 3))"""
@@ -87,3 +88,8 @@ def columns_sql(columns: Sequence[str]) -> str:
 def hash_sql(expression: str, seed: int = 42) -> str:
     """The seeded hash of :func:`reviewmill.functions.columns.unit_hash`."""
     return f"(('0x' || substr(md5(concat({expression}, '#{seed}')), 1, 8))::BIGINT / 4294967296::DOUBLE)"
+
+
+def order_hash_sql(expression: str, seed: int = 42) -> str:
+    """The order of :func:`reviewmill.functions.columns.order_hash`."""
+    return f"('0x' || substr(md5(concat({expression}, '#{seed}')), 1, 15))::BIGINT"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.checks.registry import (
     DAILY_PARTS,
+    LABELLED_PARTS,
     WIDE_PARTS,
     extended,
     hash_sql,
@@ -14,12 +15,13 @@ from reviewmill.checks.registry import (
     rounded,
 )
 from reviewmill.operators import metrics, profiling
-from reviewmill.plans import arima, diagnostics, forecast, panel
-from reviewmill.session import cut_lineage
+from reviewmill.plans import arima, diagnostics, forecast, incremental, panel
+from reviewmill.session import cut_lineage, scratch_path
 from reviewmill.sources.fixture import reviews, table
 
 CUTOFF = "1995-10-31"
 LAGS = 40
+LONG_LAGS = 1000
 INITIAL_DAYS = 1800
 
 
@@ -52,6 +54,36 @@ def ts_build_panel(spark, sf_dir):
     return panel.build_panel(reviews(spark, sf_dir), ["category"], start_after=CUTOFF)
 
 
+def in_two_loads(spark: SparkSession, sf_dir: str) -> str:
+    """Daily counts of a review folder that grows: a load, a second one, and a run that finds nothing new."""
+    folder, state = scratch_path(spark, "arrivals"), scratch_path(spark, "counts")
+    rows = reviews(spark, sf_dir)
+    for load in (rows.filter("review_date < DATE '1998-01-01'"), rows.filter("review_date >= DATE '1998-01-01'"), None):
+        if load is not None:
+            load.write.mode("append").parquet(folder)
+        incremental.update_counts(spark.readStream.schema(rows.schema).parquet(folder), state, ["category"])
+    return state
+
+
+@query(
+    "ts_build_panel_incremental",
+    WIDE_PARTS
+    + f"""SELECT series_id, ds, negative_count, neutral_count, positive_count, gap, "year" FROM panel
+    WHERE ds > DATE '{CUTOFF}'""",
+)
+def ts_build_panel_incremental(spark, sf_dir):
+    """The panel of all reviews from counts of two loads."""
+    return incremental.counted_panel(spark, in_two_loads(spark, sf_dir), start_after=CUTOFF)
+
+
+@query(
+    "daily_sentiment_counts_incremental",
+    LABELLED_PARTS + 'SELECT sentiment, review_date, count(*) AS "count" FROM labelled GROUP BY sentiment, review_date',
+)
+def daily_sentiment_counts_incremental(spark, sf_dir):
+    return incremental.daily_sentiments(spark, in_two_loads(spark, sf_dir))
+
+
 @query(
     "ts_build_panel_filled",
     WIDE_PARTS
@@ -120,31 +152,36 @@ def win_diff(spark, sf_dir):
     return rounded(panel.diff(daily(spark, sf_dir), 2), "y")
 
 
-ACF = f"""centred AS (
+ACF = """centred AS (
   SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS n,
          y - avg(y) OVER (PARTITION BY series_id) AS c FROM daily),
 sizes AS (SELECT series_id, count(*) AS n, sum(c * c) AS ss FROM centred GROUP BY series_id),
 acf AS (
   SELECT a.series_id, k.lag, sum(a.c * b.c) / any_value(s.ss) AS r, any_value(s.n) AS n
-  FROM (SELECT unnest(range(0, {LAGS + 1})) AS lag) k
+  FROM (SELECT unnest(range(0, {lags} + 1)) AS lag) k
   JOIN centred a ON true
   JOIN centred b ON b.series_id = a.series_id AND b.n = a.n - k.lag
   JOIN sizes s ON s.series_id = a.series_id
   GROUP BY a.series_id, k.lag)"""
-
-
-@query(
-    "ts_acf",
-    extended(DAILY_PARTS, ACF)
-    + """SELECT series_id, CAST(lag AS INT) AS lag, round(r, 6) AS acf,
+ACF_LONG = ACF.format(lags=LONG_LAGS)
+ACF = ACF.format(lags=LAGS)
+ACF_ROWS = """SELECT series_id, CAST(lag AS INT) AS lag, round(r, 6) AS acf,
            round(CASE WHEN lag = 0 THEN 0 ELSE 1.959963984540054::DOUBLE * sqrt((1 + 2 * coalesce(sum(CASE WHEN lag > 0 THEN r * r END)
              OVER (PARTITION BY series_id ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n) END, 6) AS band
-    FROM acf""",
-)
+    FROM acf"""
+
+
+@query("ts_acf", extended(DAILY_PARTS, ACF) + ACF_ROWS)
 def ts_acf(spark, sf_dir):
     return rounded(diagnostics.acf(daily(spark, sf_dir), LAGS), "acf", "band")
 
 
+@query("ts_acf_long", extended(DAILY_PARTS, ACF_LONG) + ACF_ROWS)
+def ts_acf_long(spark, sf_dir):
+    """A thousand lags, which shows the seasons of a year and more."""
+    return rounded(diagnostics.acf(daily(spark, sf_dir), LONG_LAGS), "acf", "band")
+
+
 PACF = """rho AS (SELECT series_id, any_value(n) AS n, list(r ORDER BY lag) AS r FROM acf GROUP BY series_id),
 steps AS (
   WITH RECURSIVE levinson AS (
@@ -594,6 +631,44 @@ def ts_arima_fit_simple(spark, sf_dir):
     return rounded(rows.select("series_id", "ds", "step", "predicted"), "predicted")
 
 
+OWN_ORDERS = SIMPLE.replace("place <= 30", "place <= 60").replace("SELECT series_id, 1 AS p", "SELECT place, series_id, 1 AS p").replace(
+    "SELECT series_id, 0 AS p", "SELECT place, series_id, 0 AS p"
+)
+# The fits of the last 60 days: the first 30 of them choose the order of the series.
+CHOSEN = """chosen AS (
+  SELECT series_id, p, d, q FROM (
+    SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY exact, p, d, q) AS best FROM (
+      SELECT series_id, p, d, q, sqrt(avg((y - predicted) ** 2)) AS exact FROM rolled WHERE place > 30 GROUP BY series_id, p, d, q))
+  WHERE best = 1)"""
+
+
+@query(
+    "ts_arima_auto_rolling_simple",
+    extended(DAILY_PARTS, OWN_ORDERS, CHOSEN)
+    + """SELECT series_id, p, d, q, ds, y, round(predicted, 6) AS predicted
+    FROM rolled JOIN chosen USING (series_id, p, d, q) WHERE place <= 30""",
+)
+def ts_arima_auto_rolling_simple(spark, sf_dir):
+    """Each series rolls with the order found for it, among orders with a closed form."""
+    rows = arima.arima_auto_rolling(written(spark, sf_dir), SIMPLE_ORDERS, 30, 30, rolling=True)
+    return rounded(rows.select("series_id", "p", "d", "q", "ds", "y", "predicted"), "predicted")
+
+
+@query("ts_arima_auto_rolling")
+def ts_arima_auto_rolling(spark, sf_dir):
+    """Wide search before the test, then refits at each of the last 30 days with the order of the series."""
+    orders = arima.search_orders(range(11), range(3), range(6), max_order=10)
+    return arima.arima_auto_rolling(written(spark, sf_dir), orders, 30, 30)
+
+
+@query("ts_sarima_auto_rolling")
+def ts_sarima_auto_rolling(spark, sf_dir):
+    """The same with weekly terms."""
+    seasonal = [(a, b, c, 7) for a in range(3) for b in range(2) for c in range(3)]
+    orders = arima.search_orders(range(6), range(2), range(6), max_order=5, seasonal=seasonal)
+    return arima.arima_auto_rolling(written(spark, sf_dir), orders, 30, 30)
+
+
 @query("ts_arima_order_search")
 def ts_arima_order_search(spark, sf_dir):
     return arima.arima_search(daily(spark, sf_dir))

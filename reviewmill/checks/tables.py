@@ -15,15 +15,16 @@ from reviewmill.checks.registry import (
     columns_sql,
     extended,
     hash_sql,
+    order_hash_sql,
     query,
     rounded,
 )
 from reviewmill.functions import columns as fn
-from reviewmill.operators import cleaning, metrics, numbering, profiling, sampling, splitting
+from reviewmill.operators import cleaning, metrics, numbering, profiling, sampling, sketches, splitting
 from reviewmill.operators.recommend import fit_item_index
 from reviewmill.plans import panel
 from reviewmill.session import cut_lineage, scratch_path
-from reviewmill.sources import readers, writers
+from reviewmill.sources import history, readers, writers
 from reviewmill.sources.fixture import reviews, table
 
 COLUMNS = readers.REVIEW_COLUMNS
@@ -210,7 +211,7 @@ def filter_min_activity(spark, sf_dir):
 @query(
     "cast_types",
     RAW_SQL
-    + """SELECT * REPLACE (TRY_CAST(star_rating AS FLOAT) AS star_rating, TRY_CAST(customer_id AS INT) AS customer_id)
+    + """SELECT * REPLACE (TRY_CAST(star_rating AS FLOAT) AS star_rating, TRY_CAST(customer_id AS BIGINT) AS customer_id)
     FROM raw""",
 )
 def cast_types(spark, sf_dir):
@@ -270,6 +271,21 @@ def user_history(spark, sf_dir):
     return cleaning.user_history(splits, users)
 
 
+@query(
+    "user_history_lookup",
+    extended(CLEANED_PARTS, MASKED, SPLIT)
+    + """SELECT customer_id, split, product_id, product_title, product_category, star_rating FROM split_rows
+    WHERE customer_id IN (1, 7, 100)""",
+)
+def user_history_lookup(spark, sf_dir):
+    """The history of a few customers from a stored table of all reviews, of which only their buckets are read."""
+    splits = splitting.split_mask(refined(spark, sf_dir), fraction=splitting.MASK_FRACTION)
+    stored = scratch_path(spark, "history")
+    name = f"history_{stored.rsplit('-', 1)[1]}"
+    history.write_history(splits.select("customer_id", "split", *cleaning.HISTORY_COLUMNS), name, stored, buckets=16)
+    return history.look_up(spark, name, [1, 7, 100])
+
+
 @query("filter_date_after", REVIEWS_ONLY + "SELECT * FROM reviews WHERE review_date > DATE '1995-10-31'")
 def filter_date_after(spark, sf_dir):
     return reviews(spark, sf_dir).filter(F.col("review_date") > F.lit("1995-10-31").cast("date"))
@@ -443,6 +459,61 @@ def distinct_counts(spark, sf_dir):
     return profiling.distinct_counts(cleaned(spark, sf_dir))
 
 
+def sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sketches of the cleaned reviews, written in two loads, of which one is repeated."""
+    rows, path = refined(spark, sf_dir), scratch_path(spark, "sketches")
+    rows = rows.withColumn("title_length", F.length("product_title"))
+    late = F.col("review_date") >= F.lit("1998-01-01").cast("date")
+    for load, part in (("early", rows.filter(~late)), ("late", rows.filter(late)), ("late", rows.filter(late))):
+        daily = sketches.sketch(part, ["review_date"], distinct=["product_id", "customer_id"], numbers=["title_length"])
+        sketches.write_load(daily, path, load)
+    return sketches.read_loads(spark, path)
+
+
+@query(
+    "distinct_counts_merged",
+    CLEANED_PARTS
+    + """SELECT CAST(year(review_date) AS INT) AS "year", count(*) AS "rows", count(DISTINCT product_id) AS products,
+           count(DISTINCT customer_id) AS customers, true AS within FROM cleaned GROUP BY 1""",
+)
+def distinct_counts_merged(spark, sf_dir):
+    """Yearly counts from daily sketches, next to the exact ones: whether they are within the stated error."""
+    merged = sketches.merge(sketched(spark, sf_dir), [F.year("review_date").alias("year")])
+    exact = cleaned(spark, sf_dir).groupBy(F.year("review_date").alias("year"))
+    exact = exact.agg(F.count_distinct("product_id").alias("products"), F.count_distinct("customer_id").alias("customers"))
+    errors = [F.abs(sketches.distinct_estimate(c) / F.col(n) - 1) <= sketches.DISTINCT_ERROR for c, n in (("product_id", "products"), ("customer_id", "customers"))]
+    return merged.join(exact, "year").select("year", "rows", "products", "customers", (errors[0] & errors[1]).alias("within"))
+
+
+@query(
+    "length_describe_merged",
+    CLEANED_PARTS
+    + """SELECT CAST(year(review_date) AS INT) AS "year", count(*) AS "count", round(avg(length(product_title)), 6) AS mean,
+           round(stddev_samp(length(product_title)), 6) AS std, CAST(min(length(product_title)) AS DOUBLE) AS low,
+           CAST(max(length(product_title)) AS DOUBLE) AS high, true AS within FROM cleaned GROUP BY 1""",
+)
+def length_describe_merged(spark, sf_dir):
+    """Yearly figures of the title lengths from daily sketches; quartiles by whether their rank is within the error."""
+    merged = sketches.merge(sketched(spark, sf_dir), [F.year("review_date").alias("year")])
+    quartiles = [sketches.quantile_estimate("title_length", q).alias(f"q{i}") for i, q in enumerate(profiling.QUARTILES)]
+    merged = merged.select("*", *quartiles)
+    lengths = cleaned(spark, sf_dir).select(F.year("review_date").alias("year"), F.length("product_title").alias("value"))
+    ranks = lengths.join(merged.select("year", *[f"q{i}" for i in range(3)]), "year").groupBy("year")
+    shares = [f(F.when(test, 1.0).otherwise(0.0)).alias(f"{n}{i}") for i in range(3) for n, f, test in (("below", F.avg, F.col("value") < F.col(f"q{i}")), ("upto", F.avg, F.col("value") <= F.col(f"q{i}")))]
+    within = F.lit(True)
+    for i, q in enumerate(profiling.QUARTILES):
+        within = within & (F.col(f"below{i}") <= q + sketches.RANK_ERROR) & (F.col(f"upto{i}") >= q - sketches.RANK_ERROR)
+    figures = merged.select(
+        "year",
+        F.col("title_length_n").alias("count"),
+        F.col("title_length_mean").alias("mean"),
+        sketches.deviation("title_length").alias("std"),
+        F.col("title_length_min").alias("low"),
+        F.col("title_length_max").alias("high"),
+    )
+    return rounded(figures.join(ranks.agg(*shares), "year").withColumn("within", within).select(*figures.columns, "within"), "mean", "std")
+
+
 @query("distinct_rows", CLEANED_PARTS + "SELECT DISTINCT customer_id FROM cleaned")
 def distinct_rows(spark, sf_dir):
     return profiling.distinct_rows(cleaned(spark, sf_dir), ["customer_id"])
@@ -804,6 +875,52 @@ def sample_stratified(spark, sf_dir):
     return sampling.sample_by_weights(rows, "category", weights, "review_id").select(*COLUMNS)
 
 
+SIZES = """counted AS (SELECT category, count(*) AS n, sum(count(*)) OVER () AS total, count(*) OVER () AS strata FROM reviews GROUP BY category),
+  wanted AS (SELECT category, n, {want} AS want, floor(round({want}, 6)) AS down FROM counted),
+  sizes AS (
+    SELECT category, CAST(least(n, down + CASE WHEN row_number() OVER (ORDER BY want - down DESC, category) <= {rows} - sum(down) OVER ()
+      THEN 1 ELSE 0 END) AS BIGINT) AS size FROM wanted)"""
+PROPORTIONAL_SIZES = SIZES.format(rows=20_003, want="n / total::DOUBLE * 20003 / n * n")
+EQUAL_SIZES = SIZES.format(rows=20_003, want="20003::DOUBLE / strata / n * n")
+
+
+@query("stratum_sizes", extended(REVIEWS_ONLY, PROPORTIONAL_SIZES) + "SELECT category, size FROM sizes")
+def stratum_sizes(spark, sf_dir):
+    """Whole rows per category that add up to the size of the sample."""
+    return sampling.stratum_sizes(reviews(spark, sf_dir), "category", 20_003)
+
+
+def exact_sample_sql(sizes: str) -> str:
+    return (
+        extended(REVIEWS_ONLY, sizes)
+        + f"""SELECT {ALL} FROM (
+      SELECT *, row_number() OVER (PARTITION BY category ORDER BY {order_hash_sql('review_id')}) AS place FROM reviews)
+    JOIN sizes USING (category) WHERE place <= size"""
+    )
+
+
+@query("sample_stratified_exact", exact_sample_sql(EQUAL_SIZES))
+def sample_stratified_exact(spark, sf_dir):
+    """Exactly as many rows of each category as its size says."""
+    rows = reviews(spark, sf_dir)
+    sizes = sampling.stratum_sizes(rows, "category", 20_003, "equal")
+    return sampling.sample_exact(rows, "category", sizes, "review_id").select(*COLUMNS)
+
+
+@query(
+    "limit_ids_per_category",
+    REVIEWS_ONLY
+    + f"""SELECT category, customer_id FROM (
+      SELECT category, customer_id, row_number() OVER (PARTITION BY category ORDER BY {order_hash_sql('customer_id')}) AS place
+      FROM (SELECT DISTINCT category, customer_id FROM reviews)) WHERE place <= {sampling.CUSTOMER_CAP}""",
+)
+def limit_ids_per_category(spark, sf_dir):
+    """Five hundred customers of each category, whichever the category's size; the cap is part of the operator."""
+    pairs = reviews(spark, sf_dir).select("category", "customer_id").distinct()
+    sizes = pairs.select("category").distinct().withColumn("size", F.lit(sampling.CUSTOMER_CAP).cast("bigint"))
+    return sampling.sample_exact(pairs, "category", sizes, "customer_id")
+
+
 @query(
     "sample_stratified_literal",
     REVIEWS_ONLY

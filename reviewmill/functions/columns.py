@@ -91,6 +91,15 @@ def unit_hash(value: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+HASH_BITS = 60
+
+
+def order_hash(value: Column, seed: int) -> Column:
+    """A whole number of 60 bits that depends on the value and the seed only: a random order of the values."""
+    digest = F.md5(F.concat(value.cast("string"), F.lit(f"#{seed}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+
+
 def vector_sum(values: Column) -> Column:
     """Sum of an array of doubles."""
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)

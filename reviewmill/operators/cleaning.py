@@ -12,6 +12,7 @@ from reviewmill.operators.metrics import metric_table
 from reviewmill.sources.readers import REVIEW_COLUMNS
 
 MIN_REVIEWS = 3
+HISTORY_COLUMNS = ("product_id", "product_title", "product_category", "star_rating")
 # Names of the steps in the cleaning report.
 FUNNEL_STEPS = (
     "Total Records",
@@ -39,11 +40,11 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 
 def cast_types(df: DataFrame) -> DataFrame:
-    """Rating as float and customer as int; text that does not parse becomes null."""
+    """Rating as float and customer as a 64-bit number; text that does not parse becomes null."""
     return df.withColumns(
         {
             "star_rating": F.col("star_rating").try_cast("float"),
-            "customer_id": F.col("customer_id").try_cast("int"),
+            "customer_id": F.col("customer_id").try_cast("bigint"),
         }
     )
 
@@ -132,7 +133,7 @@ def join_qualifying(df: DataFrame, key: str, n: int = MIN_REVIEWS) -> DataFrame:
 def user_history(
     splits: DataFrame,
     users: DataFrame,
-    columns: Sequence[str] = ("product_id", "product_title", "product_category", "star_rating"),
+    columns: Sequence[str] = HISTORY_COLUMNS,
 ) -> DataFrame:
     """What the given customers bought, per split."""
     return filter_in_ids(splits, users, "customer_id").select("customer_id", "split", *columns)

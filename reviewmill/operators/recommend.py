@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.metrics import regression_metrics
 from reviewmill.operators.numbering import running_total
-from reviewmill.session import shared_folder
+from reviewmill.session import cut_lineage, shared_folder
 
 ALS_SEED = 42
 TOP_N = 10
 BLOCKS = 10
+# Users that a task serves together, items that it scores at a time, and items of the first round.
+GROUP_USERS, PIECE_ITEMS, FIRST_ITEMS = 20_000, 1024, 4096
 # Parameter lists of the search.
 GRID = {"max_iter": [5, 10, 15], "reg": [0.1, 0.01, 0.001], "rank": [5, 10, 15]}
 SMALL_GRID = {"max_iter": [5, 10, 15], "reg": [0.001, 0.01, 0.1], "rank": [1]}
@@ -60,10 +65,10 @@ def train_als(
     """Explicit-feedback factors, non-negative; users or items without training rows get no score.
 
     The factors are cut into ``blocks``. The model depends on that number and on nothing of the session, so
-    choose it for the data (a block's ratings have to fit into a task) and keep it. With the shared
+    choose it for the data (a block's ratings have to fit into a task: ten million are a few hundred MB) and keep it. With the shared
     folder known, Spark writes the factors out every ten rounds, which bounds what a lost executor
     costs. Spark's trainer takes ids within the range of int; give larger ones codes first
-    (:func:`fit_item_index` with ``item="customer_id"``).
+    (:mod:`reviewmill.operators.dictionaries`).
     """
     shared_folder(train.sparkSession)
     als = ALS(
@@ -119,24 +124,173 @@ def product_titles(df: DataFrame) -> DataFrame:
     return df.groupBy("product_id").agg(first).select("product_id", "_t.*")
 
 
+def _length(features: Column) -> Column:
+    return F.sqrt(F.aggregate(features, F.lit(0.0).cast("double"), lambda total, x: total + x.cast("double") * x.cast("double")))
+
+
+class _Group:
+    """Some users with their best items so far."""
+
+    def __init__(self, n: int):
+        self.n, self.parts, self.ready = n, [], False
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.parts.append(batch)
+
+    def prepare(self) -> None:
+        table = pa.Table.from_batches(self.parts).combine_chunks()
+        self.users, self.length = table["at"].to_numpy(), table["length"].to_numpy()
+        self.scored = table["scored"].to_numpy().copy()
+        rank = len(table["features"][0])
+        self.features = table["features"].combine_chunks().flatten().to_numpy().reshape(-1, rank).astype(np.float64)
+        # Places without an item yet have no id and a score below all.
+        self.ids, self.scores = np.full((len(self.users), self.n), np.iinfo(np.int64).max), np.full((len(self.users), self.n), -np.inf)
+        sizes = np.asarray(table["ids"].combine_chunks().value_lengths().fill_null(0))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.ids[row, place] = table["ids"].combine_chunks().flatten().to_numpy()
+        self.scores[row, place] = table["scores"].combine_chunks().flatten().to_numpy()
+        self.ready = True
+
+    def score(self, ids: np.ndarray, features: np.ndarray, longest: float) -> None:
+        """Take in items of at most the given length, for users whom one of them could still matter to."""
+        # The bound is rounded up a little, as lengths and scores are rounded, too.
+        open_users = np.flatnonzero(self.length * longest * (1 + 1e-9) >= self.scores[:, -1])
+        self.scored[open_users] += len(ids)
+        for low in range(0, len(open_users), 2048):
+            chosen = open_users[low : low + 2048]
+            scores = np.hstack([self.scores[chosen], self.features[chosen] @ features.T])
+            both = np.hstack([self.ids[chosen], np.broadcast_to(ids, (len(chosen), len(ids)))])
+            # Only items that reach the n-th score, ties included, are put in order.
+            least = -np.partition(-scores, self.n - 1, axis=1)[:, self.n - 1 : self.n]
+            row, column = np.nonzero(scores >= least)
+            order = np.lexsort((both[row, column], -scores[row, column], row))
+            row, column = row[order], column[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+            kept = place < self.n
+            self.ids[chosen[row[kept]], place[kept]] = both[row[kept], column[kept]]
+            self.scores[chosen[row[kept]], place[kept]] = scores[row[kept], column[kept]]
+
+    def rows(self) -> pa.RecordBatch:
+        found = self.scores > -np.inf
+        offsets = pa.array(np.append(0, np.cumsum(found.sum(axis=1))).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[found])) for x in (self.ids, self.scores)]
+        flat = pa.array(self.features.astype(np.float32).ravel())
+        ends = pa.array(np.arange(len(self.users) + 1, dtype=np.int32) * self.features.shape[1])
+        columns = [pa.array(self.users), pa.array(self.length), pa.ListArray.from_arrays(ends, flat), *lists, pa.array(self.scored)]
+        return pa.record_batch(columns, names=["at", "length", "features", "ids", "scores", "scored"])
+
+
+def _score_groups(n: int):
+    """Groups of users against items by falling length: rows ``grp, kind, at, item, length, features, ids, scores, scored``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, group = None, _Group(n)
+        for batch in batches:
+            control = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero(control[1:] != control[:-1]) + 1).tolist(), batch.num_rows]
+            for low, high in zip(cuts, cuts[1:]):
+                if low == high:
+                    continue
+                part, (number, kind) = batch.slice(low, high - low), divmod(int(control[low]), 2)
+                if number != current:
+                    if group.parts:
+                        yield group.rows()
+                    current, group = number, _Group(n)
+                if kind == 0:
+                    group.add(part)
+                    continue
+                if not group.ready:
+                    group.prepare()
+                for at in range(0, part.num_rows, PIECE_ITEMS):
+                    piece = part.slice(at, PIECE_ITEMS)
+                    features = piece.column("features").flatten().to_numpy().reshape(piece.num_rows, -1).astype(np.float64)
+                    group.score(piece.column("item").to_numpy(), features, piece.column("length")[0].as_py())
+        if group.parts:
+            yield group.rows()
+
+    return run
+
+
+def top_items(users: DataFrame, items: DataFrame, n: int, first_items: int = FIRST_ITEMS, group_users: int = GROUP_USERS) -> DataFrame:
+    """The exact ``n`` best items of each user by inner product, without scoring all pairs.
+
+    ``users`` and ``items`` have ``id`` and ``features``. Items are taken by falling length of their factors, in rounds
+    of doubling size. A user is done when its own length times that of the next item is below its n-th
+    score, as no later item can then reach it; only the others go on to the next round. A task holds
+    one group of users and streams the items of the round. Equal scores are ordered by item id.
+
+    Returns ``id, recommendations, scored``: structs of item and rating, best first, and the number of items that
+    were scored for the user. Users and items without factors have no row.
+    """
+    state_schema = "at long, length double, features array<float>, ids array<long>, scores array<double>, scored long"
+    usable = F.col("id").isNotNull() & F.col("features").isNotNull()
+    factors = items.filter(usable).select(F.lit(0).alias("_all"), F.col("id").cast("long").alias("item"), "features")
+    factors = factors.withColumn("length", _length(F.col("features"))).withColumn("_shorter", -F.col("length"))
+    placed = running_total(factors, ["_all"], ["_shorter", "item"], before="place", total="n_items")
+    placed = cut_lineage(placed.select("item", "features", "length", "place"), "items")
+    empty = [F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("scores"), F.lit(0).cast("long").alias("scored")]
+    waiting = users.filter(usable).select(F.col("id").cast("long").alias("at"), _length(F.col("features")).alias("length"), "features", *empty)
+    waiting = cut_lineage(waiting, "users")
+    done, low, size = [], 0, first_items
+    while True:
+        longest = placed.filter(F.col("place") == low).select("length").first()
+        n_waiting = waiting.count() if longest else 0
+        if not n_waiting:
+            done.append(waiting)
+            break
+        groups = -(-n_waiting // group_users)
+        here = placed.filter((F.col("place") >= low) & (F.col("place") < low + size))
+        asked = waiting.select(F.pmod(F.xxhash64("at"), F.lit(groups)).alias("grp"), F.lit(0).alias("kind"), "at", F.lit(0).cast("long").alias("item"), *waiting.columns[1:])
+        number = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("grp")
+        offered = here.select(number, F.lit(1).alias("kind"), F.col("place").alias("at"), "item", "length", "features", *empty)
+        dealt = asked.union(offered).repartition(groups, "grp").sortWithinPartitions("grp", "kind", "at")
+        state = cut_lineage(dealt.mapInArrow(_score_groups(n), state_schema), "best")
+        low, size = low + size, size * 2
+        following = placed.filter(F.col("place") == low).select("length").first()
+        if following is None:
+            done.append(state)
+            break
+        reach = F.col("length") * F.lit(following.length * (1 + 1e-9))
+        still = (F.size("ids") < n) | (reach >= F.element_at("scores", n))
+        done.append(state.filter(~still))
+        waiting = state.filter(still)
+    pairs = F.transform(F.arrays_zip("ids", "scores"), lambda p: F.struct(p["ids"].cast("int").alias("item_id"), p["scores"].cast("float").alias("rating")))
+    return reduce(DataFrame.union, done).select(F.col("at").alias("id"), pairs.alias("recommendations"), "scored")
+
+
 def _flatten(recommendations: DataFrame, index: DataFrame, products: DataFrame) -> DataFrame:
     rows = recommendations.select("customer_id", F.inline("recommendations"))
     titled = decode_items(rows, index).join(products, "product_id")
     return titled.select("customer_id", "product_id", "product_title", "product_category", "rating")
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int, index: DataFrame, products: DataFrame) -> DataFrame:
-    """Top ``n`` items with title and category for the given users, one row per item.
+def recommend_items(model: ALSModel, users: DataFrame | None, n: int) -> DataFrame:
+    """``customer_id, recommendations, scored`` for the given users (all of the model without them)."""
+    served = model.userFactors
+    if users is not None:
+        served = served.join(users.select(F.col("customer_id").alias("id")), "id", "left_semi")
+    return top_items(served, model.itemFactors, n).withColumnRenamed("id", "customer_id")
 
-    Spark scores every given user against every item: the cost is their product, so name the users that
-    are served.
-    """
-    return _flatten(model.recommendForUserSubset(users.select("customer_id"), n), index, products)
+
+def recommend(model: ALSModel, users: DataFrame, n: int, index: DataFrame, products: DataFrame) -> DataFrame:
+    """Top ``n`` items with title and category for the given users, one row per item (:func:`top_items`)."""
+    return _flatten(recommend_items(model, users, n), index, products)
 
 
 def recommend_all(model: ALSModel, n: int, index: DataFrame, products: DataFrame) -> DataFrame:
-    """The same for all users of the model, at the cost of all users times all items."""
-    return _flatten(model.recommendForAllUsers(n), index, products)
+    """The same for all users of the model."""
+    return _flatten(recommend_items(model, None, n), index, products)
+
+
+def recommend_coded(
+    model: ALSModel, users: DataFrame, n: int, user_codes: DataFrame, item_codes: DataFrame, products: DataFrame
+) -> DataFrame:
+    """The same for a model of user codes: customers of any 64-bit id, back as they came."""
+    coded = users.join(user_codes, "customer_id").select("customer_id", "user_code")
+    found = recommend_items(model, coded.select(F.col("user_code").alias("customer_id")), n).withColumnRenamed("customer_id", "user_code")
+    named = found.join(user_codes.select("customer_id", "user_code"), "user_code")
+    return _flatten(named, item_codes, products)
 
 
 def users_without_recommendations(users: DataFrame, model: ALSModel) -> DataFrame:

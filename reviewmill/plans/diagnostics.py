@@ -1,7 +1,8 @@
 """Diagnostics of daily series: autocorrelation, decomposition, stationarity.
 
 A series is one row with an array of its values (no longer than the calendar, see ``panel``); array
-functions then work on it inside the JVM, with a single shuffle by series.
+functions then work on it inside the JVM, with a single shuffle by series. Lags by the thousand are
+products of one Fourier transform, as an Arrow-batched function.
 
 Computed arrays are unfolded by the ``outer`` generators: the plain ones make the optimizer test the
 size of the array first, which would compute it a second time. The arrays are never empty.
@@ -63,7 +64,7 @@ def series_arrays(panel: DataFrame, value: str = VALUE, keys: tuple[str, ...] =
 
 
 def _lag_product(centred: Column, lag: Column) -> Column:
-    """Sum of products of values ``lag`` places apart."""
+    """Sum of products of values ``lag`` places apart, for few lags."""
     length = F.size(centred) - lag
     pairs = F.zip_with(F.slice(centred, lag + 1, length), F.slice(centred, F.lit(1), length), lambda a, b: a * b)
     return vector_sum(pairs)
@@ -76,6 +77,22 @@ def _with_centred(panel: DataFrame, value: str, keys: tuple[str, ...] = (SERIES,
     return arrays.select(*keys, centred.alias("_c"), F.size("values").alias("n"))
 
 
+def lag_products(c: np.ndarray, lags: int) -> np.ndarray:
+    """Sums of products of values 0 to ``lags`` places apart, from one Fourier transform.
+
+    The series is padded with zeros to more than its length and the lags, so that no product wraps around. The
+    time is that of the transform, n log n, whatever the number of lags.
+    """
+    size = 1 << (len(c) + lags).bit_length()
+    spectrum = np.fft.rfft(c, size)
+    return np.fft.irfft(spectrum.real**2 + spectrum.imag**2, size)[: lags + 1]
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _lag_products(centred: pd.Series, lags: pd.Series) -> pd.Series:
+    return pd.Series([lag_products(np.asarray(c, dtype=float), int(k)) for c, k in zip(centred, lags)])
+
+
 def acf_arrays(panel: DataFrame, lags: int, value: str = VALUE) -> DataFrame:
     """Autocorrelations of lags 0 to ``lags`` as one array ``r`` per series.
 
@@ -83,18 +100,18 @@ def acf_arrays(panel: DataFrame, lags: int, value: str = VALUE) -> DataFrame:
     """
     centred = _with_centred(panel, value)
     last = F.least(F.lit(lags), F.col("n") - 1)
-    products = F.transform(F.sequence(F.lit(0), last), lambda k: _lag_product(F.col("_c"), k))
-    return centred.withColumn("_p", products).select(
-        SERIES, "n", F.transform("_p", lambda v: F.try_divide(v, F.get(F.col("_p"), F.lit(0)))).alias("r")
-    )
+    # The transform mixes all values, so its products are relative to the plain sum of squares.
+    products = centred.select(SERIES, "n", vector_sum(F.transform("_c", lambda c: c * c)).alias("_ss"), _lag_products("_c", last).alias("_p"))
+    ratios = F.transform("_p", lambda v: F.try_divide(v, F.col("_ss")))
+    return products.select(SERIES, "n", F.transform(ratios, lambda v, k: F.when((k == 0) & v.isNotNull(), F.lit(1.0)).otherwise(v)).alias("r"))
 
 
 def acf(panel: DataFrame, lags: int = 40, value: str = VALUE) -> DataFrame:
     """Autocorrelation per lag with the half-width of its 95% band (Bartlett)."""
     arrays = acf_arrays(panel, lags, value)
-    rows = arrays.select(SERIES, "n", "r", F.posexplode_outer("r").alias("lag", "acf"))
-    earlier = F.when(F.col("lag") > 1, F.slice("r", F.lit(2), F.col("lag") - 1)).otherwise(F.array().cast("array<double>"))
-    squares = vector_sum(F.transform(earlier, lambda v: v * v))
+    rows = arrays.select(SERIES, "n", F.posexplode_outer("r").alias("lag", "acf"))
+    earlier = Window.partitionBy(SERIES).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
+    squares = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(earlier), F.lit(0.0))
     band = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(NORMAL_975 * F.sqrt((1 + 2 * squares) / F.col("n")))
     return rows.select(SERIES, "lag", "acf", band.alias("band"))
 

@@ -92,7 +92,12 @@ def build_panel(
     Missing counts stay null, and so does the gap if either side is; ``fill=0`` sets them to zero.
     ``start_after`` keeps later days only.
     """
-    panel = fill_days(wide_counts(reviews, by))
+    return panel_of_counts(wide_counts(reviews, by), start_after, fill)
+
+
+def panel_of_counts(counts: DataFrame, start_after: date | str | None = None, fill: int | None = None) -> DataFrame:
+    """The panel from counts per series and day that are there already (:func:`wide_counts`)."""
+    panel = fill_days(counts)
     if fill is not None:
         panel = panel.fillna(fill, subset=[f"{name}_count" for name in SENTIMENTS])
     panel = derive_gap_year(panel)

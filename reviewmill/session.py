@@ -50,3 +50,14 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that was written by :func:`scratch_path`, wherever it is stored."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` that a write has completed; none where there is no such path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    folders = [status.getPath() for status in files.listStatus(target) if status.isDirectory()]
+    return [folder.getName() for folder in folders if files.exists(hadoop.Path(folder, "_SUCCESS"))]

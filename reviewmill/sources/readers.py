@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 # The columns of a review file kept for analysis, in file order.
 REVIEW_COLUMNS = (
@@ -26,11 +27,11 @@ CATEGORIES_IN_NAME = (r"(?i)_us_(.+?)_v1", r"(?i)_([^_]+)_us_v1")
 CORRUPT = "_corrupt_record"
 
 
-def _lines(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+def _lines(reader: DataFrameReader | DataStreamReader, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One distributed scan of all files; every column is text, damaged lines keep their raw form."""
     fields = [T.StructField(name, T.StringType()) for name in (*columns, CORRUPT)]
     return (
-        spark.read.schema(T.StructType(fields))
+        reader.schema(T.StructType(fields))
         .option("recursiveFileLookup", True)
         .option("columnNameOfCorruptRecord", CORRUPT)
         # With pruning on, the parser does not see that a line has too many fields.
@@ -53,15 +54,16 @@ def read_reviews(
     path: str | Sequence[str],
     columns: Sequence[str] = REVIEW_COLUMNS,
     category_from_file: bool = False,
+    stream: bool = False,
 ) -> DataFrame:
     """Read tab-separated review files with a header line.
 
     Lines with too many fields are skipped; short lines are filled up with nulls. With
     ``category_from_file`` the category comes from the file name (not its folders) instead of a column; it is
-    null where the name has none.
+    null where the name has none. With ``stream`` the folder is read as a stream of files.
     """
     stored = [c for c in columns if not (category_from_file and c == "category")]
-    lines = _lines(spark, path, stored).filter(~_overlong(stored))
+    lines = _lines(spark.readStream if stream else spark.read, path, stored).filter(~_overlong(stored))
     if category_from_file:
         name = F.url_decode("_metadata.file_name")
         found = [F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")) for pattern in CATEGORIES_IN_NAME]
@@ -71,7 +73,7 @@ def read_reviews(
 
 def read_rejected(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The raw text of the lines that :func:`read_reviews` skips."""
-    lines = _lines(spark, path, columns).filter(_overlong(columns))
+    lines = _lines(spark.read, path, columns).filter(_overlong(columns))
     return lines.select(F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("file"))
 
 

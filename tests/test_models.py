@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from reviewmill.checks import models
-from reviewmill.operators import recommend
+from reviewmill.operators import cleaning, dictionaries, recommend
+from reviewmill.sources.fixture import reviews
+from reviewmill.sources.readers import REVIEW_COLUMNS, read_reviews
 
 QUERIES = entry.queries()
 GRID = {"max_iter": [2, 4], "reg": [0.1], "rank": [3]}
@@ -72,6 +75,93 @@ def test_stored_model_scores_the_same(spark, trained, tmp_path):
     assert tuple(after) == pytest.approx(tuple(before), rel=1e-12)
 
 
+def best_items(users: dict, items: dict, n: int) -> dict:
+    ids = sorted(items)
+    matrix = np.array([items[i] for i in ids], dtype=np.float32).astype(float)
+    found = {}
+    for user, features in users.items():
+        scores = matrix @ np.array(features, dtype=np.float32).astype(float)
+        order = np.lexsort((ids, -scores))[:n]
+        found[user] = [(ids[k], np.float32(scores[k])) for k in order]
+    return found
+
+
+def factors(spark, rows: dict):
+    return spark.createDataFrame(sorted(rows.items()), "id int, features array<float>").repartition(3)
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "mixed signs"])
+def test_top_items_equal_brute_force(spark, kind):
+    rng = np.random.default_rng(5)
+    if kind == "ties":
+        users = {i: rng.integers(0, 3, 4).tolist() for i in range(120)}
+        items = {i: rng.integers(0, 3, 4).tolist() for i in range(700)}
+    else:
+        low = -1.0 if kind == "mixed signs" else 0.0
+        users = {i: rng.uniform(low, 1, 4).tolist() for i in range(120)}
+        items = {i: (rng.uniform(low, 1, 4) * rng.pareto(1.5)).tolist() for i in range(700)}
+    users = {i: [float(x) for x in v] for i, v in users.items()} | {500: [0.0] * 4}
+    items = {i: [float(x) for x in v] for i, v in items.items()}
+    found = recommend.top_items(factors(spark, users), factors(spark, items), 7, first_items=16, group_users=50).collect()
+    assert {r.id: [(p.item_id, np.float32(p.rating)) for p in r.recommendations] for r in found} == best_items(users, items, 7)
+    if kind == "spread":
+        assert sum(r.scored for r in found if r.id != 500) < 0.5 * 120 * 700
+
+
+def test_top_items_of_few_or_no_items(spark):
+    users = factors(spark, {1: [1.0, 0.0], 2: [0.0, 0.0]})
+    few = recommend.top_items(users, factors(spark, {8: [2.0, 1.0], 9: [3.0, 1.0]}), 5).collect()
+    assert {r.id: [p.item_id for p in r.recommendations] for r in few} == {1: [9, 8], 2: [8, 9]}
+    none = recommend.top_items(users, factors(spark, {}), 5).collect()
+    assert {r.id: (r.recommendations, r.scored) for r in none} == {1: ([], 0), 2: ([], 0)}
+    assert recommend.top_items(factors(spark, {}), users, 5).count() == 0
+
+
+def test_recommendations_equal_the_trainers_own(trained):
+    """Spark ML scores all pairs; ratings of each place agree (items may differ only where ratings tie)."""
+    model = trained[3]
+    mine = {r.customer_id: [p.rating for p in r.recommendations] for r in recommend.recommend_items(model, None, 10).collect()}
+    theirs = {r.customer_id: [p.rating for p in r.recommendations] for r in model.recommendForAllUsers(10).collect()}
+    assert set(mine) == set(theirs)
+    assert all(mine[u] == pytest.approx(theirs[u], rel=1e-5) for u in mine)
+
+
+def test_customers_beyond_int_from_reader_to_recommendation(spark, sf_dir, tmp_path):
+    raw = reviews(spark, sf_dir).withColumn("customer_id", (F.col("customer_id") + F.lit(3_000_000_000)).cast("string"))
+    raw.select(*REVIEW_COLUMNS).write.csv(str(tmp_path / "reviews"), sep="\t", header=True)
+    rows = cleaning.clean_reviews(read_reviews(spark, str(tmp_path / "reviews"))).cache()
+    assert rows.agg(F.min("customer_id")).first()[0] >= 3_000_000_000
+    paths = [str(tmp_path / "users"), str(tmp_path / "items")]
+    dictionaries.extend_codes(rows, paths[0], "customer_id", "user_code")
+    dictionaries.extend_codes(rows, paths[1], "product_id", "item_id")
+    users = dictionaries.read_codes(spark, paths[0], "customer_id", "user_code")
+    items = dictionaries.read_codes(spark, paths[1], "product_id", "item_id", "string")
+    coded = dictionaries.with_codes(dictionaries.with_codes(rows, users, "customer_id", "user_code"), items, "product_id", "item_id")
+    assert coded.count() == rows.count()
+    model = recommend.train_als(coded, max_iter=2, rank=3, user="user_code")
+    asked = rows.select("customer_id").distinct().limit(5)
+    found = recommend.recommend_coded(model, asked, 4, users, items, recommend.product_titles(rows)).collect()
+    assert sorted({r.customer_id for r in found}) == sorted(r[0] for r in asked.collect()) and len(found) == 20
+
+
+def test_codes_never_change(spark, tmp_path):
+    path = str(tmp_path / "codes")
+
+    def load(keys):
+        version = dictionaries.extend_codes(spark.createDataFrame([(k,) for k in keys], "k string"), path, "k", "code")
+        return version, {r.k: r.code for r in dictionaries.read_codes(spark, path, "k", "code", "string").collect()}
+
+    assert load([]) == (0, {})
+    assert load(["m", "c", None, "m"]) == (1, {"c": 0, "m": 1})
+    assert load(["m", None]) == (1, {"c": 0, "m": 1})
+    assert load(["z", "a", "m"]) == (2, {"c": 0, "m": 1, "a": 2, "z": 3})
+    assert dictionaries.read_codes(spark, path, "k", "code", "string", version=1).count() == 2
+    # A load that broke off before its mark was set is not read, and written again.
+    (tmp_path / "codes" / "version=2" / "_SUCCESS").unlink()
+    assert dictionaries.versions(spark, path) == [1]
+    assert load(["b"]) == (2, {"c": 0, "m": 1, "b": 2})
+
+
 def test_grid_search_reports_every_combination(trained):
     splits = trained[2]
     rows = recommend.grid_search_als(models.part(splits, "train"), models.part(splits, "test"), GRID).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -116,6 +117,97 @@ def test_arma_coefficients_are_recovered(simulated):
     assert phi[0] == pytest.approx(0.6, abs=0.1) and theta[0] == pytest.approx(0.4, abs=0.1)
 
 
+def refitted(y: np.ndarray, order: tuple, steps: int) -> np.ndarray:
+    """The two regressions by a least-squares fit on all days, and the recursion, without shared products."""
+    p, d, q, sp, sd, sq, season = order
+    levels, w = [], y
+    for gap in [1] * d + [season] * sd:
+        levels.append((gap, w))
+        w = w[gap:] - w[:-gap]
+    ar = sorted({*range(1, p + 1), *(season * i for i in range(1, sp + 1))})
+    ma = sorted({*range(1, q + 1), *(season * i for i in range(1, sq + 1))})
+    n, start = len(w), max(ar, default=0)
+    residuals = np.full(n, np.nan)
+    if ma:
+        long = max(math.ceil(10 * math.log10(n)), max(ar + ma) + 1)
+        x = np.array([[1.0, *(w[t - k] for k in range(1, long + 1))] for t in range(long, n)])
+        residuals[long:] = w[long:] - x @ np.linalg.lstsq(x, w[long:], rcond=None)[0]
+        start = long + max(ar + ma)
+    constant = d + sd == 0
+    x = np.array([[*([1.0] if constant else []), *(w[t - k] for k in ar), *(residuals[t - k] for k in ma)] for t in range(start, n)])
+    beta = np.linalg.lstsq(x, w[start:], rcond=None)[0] if x.shape[1] else np.zeros(0)
+    c, phi, theta = (beta[0] if constant else 0.0), beta[int(constant) : int(constant) + len(ar)], beta[int(constant) + len(ar) :]
+    errors = residuals.copy()
+    if ma:
+        poly = np.zeros(max(ma) + 1)
+        poly[0] = 1.0
+        poly[ma] = theta
+        if np.abs(np.roots(poly)).max() < 1:
+            for t in range(max(long + max(ma), n - arima.INNOVATION_DAYS), n):
+                errors[t] = w[t] - c - sum(b * w[t - k] for k, b in zip(ar, phi)) - sum(b * errors[t - k] for k, b in zip(ma, theta))
+    values, errors = list(w), list(errors)
+    for _ in range(steps):
+        values.append(c + sum(b * values[-k] for k, b in zip(ar, phi)) + sum(b * errors[-k] for k, b in zip(ma, theta)))
+        errors.append(0.0)
+    path = values[-steps:]
+    for gap, level in reversed(levels):
+        tail = list(level[-gap:])
+        for value in path:
+            tail.append(tail[-gap] + value)
+        path = tail[gap:]
+    return np.array(path)
+
+
+ORDERS = [(0, 0, 0), (1, 0, 0), (3, 0, 0), (2, 0, 1), (0, 1, 3), (2, 1, 2), (1, 2, 1), (0, 1, 3, 2, 0, 0, 7), (1, 0, 1, 1, 1, 1, 7)]
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_shared_products_equal_refits(simulated, order):
+    """Every order on every day from one table of products, against a fit of its own."""
+    full = order if len(order) == 7 else (*order, *arima.NO_SEASON)
+    others = [(*o, *arima.NO_SEASON) for o in ORDERS if len(o) == 3]
+    for y in (simulated["ar"][:700] + 50, simulated["walk"][:300], simulated["weekly"][:400]):
+        origins = [len(y) - 40, len(y) - 39, len(y) - 20, len(y) - 3]
+        found = arima.forecast_paths(y, [*others, full], origins, 3)[-1]
+        scale = np.abs(y).max()
+        for place, path in zip(origins, found):
+            assert path / scale == pytest.approx(refitted(y[:place], full, 3) / scale, abs=1e-8)
+
+
+def test_short_series_use_only_known_days(simulated):
+    """The table of products reaches further back than the first origins have days."""
+    y = simulated["ar"][:60]
+    orders = [(1, 0, 0, *arima.NO_SEASON), (1, 0, 1, *arima.NO_SEASON)]
+    found = arima.forecast_paths(y, orders, [8, 25, 59], 1)
+    for order, paths in zip(orders, found):
+        for place, path in zip([8, 25, 59], paths):
+            again = arima.forecast_paths(y[:place], [order], [place], 1)[0][0]
+            assert path == pytest.approx(again, abs=1e-9, nan_ok=True)
+    assert np.isfinite(found[0][0]).all() and np.isnan(found[1][0]).all()
+
+
+def test_each_series_has_its_own_orders(spark, panel_):
+    own = spark.createDataFrame([("ar", 1, 0, 0), ("walk", 0, 1, 0), ("walk", 1, 1, 0)], "series_id string, p int, d int, q int")
+    rows = arima.arima_rolling(panel_, own, 4)
+    counts = {(r.series_id, r.p, r.d, r.q): r["count"] for r in rows.groupBy("series_id", "p", "d", "q").count().collect()}
+    assert counts == {("ar", 1, 0, 0): 4, ("walk", 0, 1, 0): 4, ("walk", 1, 1, 0): 4}
+    shared = arima.arima_rolling(panel_.filter("series_id = 'ar'"), [(1, 0, 0)], 4)
+    mine = {r.ds: r.predicted for r in rows.filter("series_id = 'ar'").collect()}
+    assert mine == pytest.approx({r.ds: r.predicted for r in shared.collect()})
+    seasonal = own.limit(1).selectExpr("series_id", "0 AS p", "0 AS d", "0 AS q", "0 AS sp", "1 AS sd", "0 AS sq", "7 AS season")
+    assert {r.season for r in arima.arima_rolling(panel_, seasonal, 2).collect()} == {7}
+
+
+def test_search_then_roll_sees_no_test_day(spark, simulated):
+    """The order is found before the test: other test days change no order."""
+    y, changed = simulated["weekly"][:300], simulated["weekly"][:300].copy()
+    changed[-10:] = np.arange(10) * 100.0
+    orders = [(0, 0, 0), (1, 0, 0), (0, 1, 0), (0, 0, 0, 0, 1, 0, 7)]
+    rows = arima.arima_auto_rolling(frame(spark, {"a": y, "b": changed}), orders, 10, 20, tasks=3).collect()
+    chosen = {s: {(r.p, r.d, r.q, r.sd, r.season) for r in rows if r.series_id == s} for s in "ab"}
+    assert chosen["a"] == chosen["b"] and len(chosen["a"]) == 1 and len(rows) == 20
+
+
 def test_forecast_of_a_trend_is_the_trend():
     path = arima.forecast_values(np.arange(100.0) * 2, (0, 2, 0), arima.NO_SEASON, 5)
     assert path == pytest.approx([200, 202, 204, 206, 208])

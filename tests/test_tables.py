@@ -25,7 +25,7 @@ def test_bad_text_is_dropped_not_raised(spark):
     rows = spark.createDataFrame(made, TEXT)
     kept = cleaning.prepare_reviews(rows)
     assert sorted(r.review_id for r in kept.collect()) == ["R0", "R2", "R5"]
-    assert dict(kept.dtypes)["star_rating"] == "float" and dict(kept.dtypes)["customer_id"] == "int"
+    assert dict(kept.dtypes)["star_rating"] == "float" and dict(kept.dtypes)["customer_id"] == "bigint"
     funnel = [r.value for r in cleaning.cleaning_funnel(rows).orderBy("step").collect()]
     assert funnel == [9, 5, 3, 3]
     assert [r.removed for r in cleaning.funnel_removed(cleaning.cleaning_funnel(rows)).orderBy("step").collect()] == [4, 2, 0]
