@@ -9,8 +9,7 @@ documents, their sources the counts. No word becomes a Python object before it i
 Counts per language, source and term are summed by Spark. Hot sources, words and documents therefore are
 many pointers in many tasks and one row in the sums.
 
-Pairs of sources are compared in blocks of the terms of a language, a matrix of ``BLOCK_CELLS`` shares in
-each task. The result has a row per ordered pair of sources of a language, as asked for.
+Pairs of sources are compared in blocks of the terms of a language, each a small matrix of shares. The result has a row per ordered pair of sources of a language, as asked for.
 
 Defined results: null language, source or text are empty strings; every row is a document, also one
 with a repeated or null id; a source without terms is compared with the smoothed shares of no counts; an
@@ -36,8 +35,9 @@ MIN_DOCUMENTS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
 TOP_TERMS = 50
-# Shares in the matrix of a block: the sources of a language times some of its terms.
-BLOCK_CELLS = 1 << 22
+# Shares in the matrix of a block, the sources of a language times some of its terms: about so many, but as
+# many terms as sources where there are many of these, so that sums are no more rows than shares.
+BLOCK_CELLS, MOST_CELLS = 1 << 14, 1 << 22
 
 # Texts are worked off in slices of about so many bytes; a longer text in windows of that size.
 SLICE_BYTES = 1 << 22
@@ -224,7 +224,8 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP_TE
     present = counts.filter("term = ''").select("lang", "source")
     groups = present.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0, ["total", "n_terms", "lang_total"])
     groups = groups.join(present.groupBy("lang").agg(F.count("*").alias("n_sources")), "lang")
-    blocks = f"greatest(1L, cast(ceil(n_terms * n_sources / {block_cells}) as bigint))"
+    terms = f"greatest(1, least({MOST_CELLS} / n_sources, greatest(n_sources, {block_cells} / n_sources)))"
+    blocks = f"greatest(1L, cast(ceil(n_terms / {terms}) as bigint))"
     # Without kept terms there is no share of an absent one.
     groups = groups.select("*", F.expr(blocks).alias("blocks"), F.expr(f"if(n_terms = 0, 0L, {share_sql('0', 'total', 'greatest(1, n_terms)')})").alias("base"))
     groups = cut_lineage(groups, "sources")
