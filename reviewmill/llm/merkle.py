@@ -165,7 +165,8 @@ def write_manifest(
         leaf([F.col(c) for c in columns]).alias("digest"),
         *[column.alias(name) for name, column in (extra or {}).items()],
     )
-    placed = running_total(leaves, ["grp"], ["key", "digest"], before="i", total="n")
+    # Ranges are found by a pass over the rows: over these short ones, not over the texts.
+    placed = running_total(cut_lineage(leaves, "digests"), ["grp"], ["key", "digest"], before="i", total="n")
     placed.write.parquet(f"{path}/leaves")
     nodes = _append(spark.read.schema(placed.schema).parquet(f"{path}/leaves"), path, GROUPS, block_levels)
     roots = nodes.filter(F.col("level") == _height(F.col("n"))).select(F.lit(TOP).alias("tree"), "grp", F.col("n").alias("rows"), "digest")
