@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reviewmill.llm import words
 from reviewmill.session import cut_lineage
@@ -119,20 +118,22 @@ def log_ratios(n: np.ndarray, target: np.ndarray, deviations: float, least_ratio
     return np.where(np.abs(cautious) < np.log(least_ratio), 0, cautious).astype(np.float32)
 
 
-def _score(settings: Settings, ratios, column: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _log_weights(settings: Settings, ratios):
+    """The log weight of a text; null for a text without tokens. Only texts go to Python, and only numbers come back."""
+
+    @F.arrow_udf("double")
+    def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ratio = ratios.value
-        for batch in batches:
-            for begin, n, slot, row in _ngrams(batch.column(column), settings.slots):
+        for texts in batches:
+            parts = []
+            for _, n, slot, row in _ngrams(texts, settings.slots):
                 first, second = ratio[slot]
                 nearer = np.where(np.abs(first) < np.abs(second), first, second)
                 total = np.bincount(row, weights=np.where(first * second > 0, nearer, 0), minlength=n)
-                size = np.bincount(row, minlength=n)
-                weight = pa.array(np.minimum(total, 0.0), mask=size == 0)
-                part = batch.slice(begin, n)
-                yield pa.RecordBatch.from_arrays([*part.columns, weight], names=[*part.schema.names, WEIGHT])
+                parts.append(pa.array(np.minimum(total, 0.0), mask=np.bincount(row, minlength=n) == 0))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.float64())
 
-    return run
+    return weigh
 
 
 def _kth_largest(rows: DataFrame, column: str, k: int) -> int:
@@ -156,8 +157,7 @@ def _kth_largest(rows: DataFrame, column: str, k: int) -> int:
 
 def _keyed(docs: DataFrame, settings: Settings, ratios) -> DataFrame:
     """``docs`` with their log weight and sampling key."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(WEIGHT, T.DoubleType())])
-    weighted = docs.mapInArrow(_score(settings, ratios, docs.columns.index("text")), schema)
+    weighted = docs.withColumn(WEIGHT, _log_weights(settings, ratios)("text"))
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     key = F.col(WEIGHT) * settings.sharpness - F.log(-F.log(uniform))
     return weighted.withColumn(KEY, F.round(key * 1_000_000).cast("long"))

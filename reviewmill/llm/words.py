@@ -13,9 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-# Texts are worked off in slices of about so many bytes, which bounds the memory of a task; a longer
-# text is a slice of its own, whose words are hashed in windows of this size.
-SLICE_BYTES = 1 << 21
+# Texts are worked off in slices of about so many bytes, which bounds the memory of a task (a byte takes about
+# fifty in arrays); a longer text is a slice of its own, whose words are hashed in windows of this size.
+SLICE_BYTES = 1 << 18
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
