@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewmill.checks.registry import CLEANED_PARTS, hash_sql, query, rounded
-from reviewmill.checks.tables import COLUMNS, DESCRIBE, refined
+from reviewmill.checks.registry import CLEANED_PARTS, extended, hash_sql, query, rounded
+from reviewmill.checks.tables import COLUMNS, DESCRIBE, LEAVE_LAST, NESTED, SPLIT, refined
+from reviewmill.checks.tables import MASKED as MASKED_ROWS
 from reviewmill.functions import columns as fn
 from reviewmill.operators import cleaning, dictionaries, metrics, profiling, recommend, splitting, text
 from reviewmill.session import cut_lineage, scratch_path
@@ -65,15 +66,6 @@ def product_titles(spark, sf_dir):
     return recommend.product_titles(refined(spark, sf_dir))
 
 
-@query("als_train")
-def als_train(spark, sf_dir):
-    """The item factors of the trained model."""
-    _, index, splits = coded(spark, sf_dir)
-    model = recommend.train_als(part(splits, "train"))
-    factors = model.itemFactors.withColumnRenamed("id", "item_id")
-    return recommend.decode_items(factors, index).select("product_id", "features")
-
-
 MASKED = """, masked AS (SELECT *, rank() OVER (PARTITION BY customer_id ORDER BY product_id DESC) AS place,
                 count(*) OVER (PARTITION BY customer_id) AS n FROM cleaned),
     train AS (SELECT * FROM masked WHERE place > CAST(floor(n * 0.3::DOUBLE) AS INT)),
@@ -81,6 +73,16 @@ MASKED = """, masked AS (SELECT *, rank() OVER (PARTITION BY customer_id ORDER B
       AND customer_id IN (SELECT customer_id FROM train) AND product_id IN (SELECT product_id FROM train))"""
 
 
+@query("als_train", CLEANED_PARTS + MASKED + "SELECT DISTINCT product_id, CAST(10 AS INT) AS factors, true AS plausible FROM train")
+def als_train(spark, sf_dir):
+    """The items of the trained model: how many factors they have, and that none is negative or missing."""
+    _, index, splits = coded(spark, sf_dir)
+    model = recommend.train_als(part(splits, "train"))
+    factors = model.itemFactors.withColumnRenamed("id", "item_id")
+    sound = F.forall("features", lambda x: x.isNotNull() & (x >= 0) & (x < float("inf"))) & F.exists("features", lambda x: x > 0)
+    return recommend.decode_items(factors, index).select("product_id", F.size("features").alias("factors"), sound.alias("plausible"))
+
+
 @query(
     "als_predict",
     CLEANED_PARTS + MASKED + "SELECT customer_id, product_id, review_id, star_rating, true AS plausible FROM scorable",
@@ -94,27 +96,59 @@ def als_predict(spark, sf_dir):
     return scored.select(F.col("customer_id").cast("bigint"), "product_id", "review_id", "star_rating", plausible)
 
 
-@query("als_evaluate")
-def als_evaluate(spark, sf_dir):
+def counted_sql(name: str, splits: str) -> str:
+    """Rows asked for and rows with a known user and item, of the parts that do not train."""
+    return f"""SELECT '{name}' AS recipe, split, count(*) AS asked, count(*) FILTER (WHERE customer_id IN (SELECT customer_id FROM {splits} WHERE split = 'train')
+      AND product_id IN (SELECT product_id FROM {splits} WHERE split = 'train')) AS predictions, true AS plausible
+    FROM {splits} WHERE split <> 'train' GROUP BY split"""
+
+
+RANDOM_PART = f"random_part AS (SELECT *, CASE WHEN {hash_sql('review_id')} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS split FROM cleaned)"
+# Ratings lie between 1 and 5 and predictions are not negative.
+RATING_RANGE = 25
+
+
+def plausible_ratings(errors: DataFrame) -> DataFrame:
+    plausible = (F.col("mae") <= F.col("rmse") + 1e-9) & (F.col("rmse") < RATING_RANGE) & (F.col("rmse") > 0)
+    return errors.withColumn("plausible", plausible).drop("rmse", "mae", "mape")
+
+
+def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors of the three training recipes on their test and validation parts."""
     rows, index, masked = coded(spark, sf_dir)
-    random = recommend.encode_items(splitting.split_hash(rows, "review_id", splitting.RANDOM_SHARES), index)
-    last = recommend.encode_items(splitting.split_leave_last(rows), index)
-    recipes = {
+    needed = ["customer_id", "item_id", "star_rating", "split"]
+    random = recommend.encode_items(splitting.split_hash(rows, "review_id", splitting.RANDOM_SHARES), index).select(*needed)
+    last = recommend.encode_items(splitting.split_leave_last(rows), index).select(*needed)
+    tried = {
         "random": (cut_lineage(random), {"max_iter": 5, "reg": 0.1, "rank": 10}),
-        "masked": (masked, {"max_iter": 15, "reg": 0.1, "rank": 15}),
+        "masked": (masked.select(*needed), {"max_iter": 15, "reg": 0.1, "rank": 15}),
         "leave last": (cut_lineage(last), {"max_iter": 5, "reg": 0.01, "rank": 10}),
     }
     result = None
-    for name, (splits, params) in recipes.items():
+    for name, (splits, params) in tried.items():
         model = recommend.train_als(part(splits, "train"), **params)
-        scored = model.transform(splits.filter(F.col("split") != "train"))
-        errors = metrics.regression_metrics(scored, "star_rating", "prediction", ["split"])
+        errors = recommend.evaluate_als(model, splits.filter(F.col("split") != "train"), by=["split"])
         errors = errors.withColumn("recipe", F.lit(name))
         result = errors if result is None else result.unionByName(errors)
     return result
 
 
+@query(
+    "als_evaluate",
+    extended(CLEANED_PARTS, RANDOM_PART, MASKED_ROWS, SPLIT, LEAVE_LAST)
+    + " UNION ALL ".join([counted_sql("random", "random_part"), counted_sql("masked", "split_rows"), counted_sql("leave last", "left_out")]),
+)
+def als_evaluate(spark, sf_dir):
+    """Rows asked for and scored by each recipe and part, and whether the errors are plausible."""
+    return plausible_ratings(recipes(spark, sf_dir))
+
+
+@query("als_evaluate_errors")
+def als_evaluate_errors(spark, sf_dir):
+    """The errors themselves."""
+    return recipes(spark, sf_dir)
+
+
 def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = refined(spark, sf_dir)
     index = cut_lineage(recommend.fit_item_index(rows))
@@ -122,13 +156,26 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(splits.select("customer_id", "item_id", "star_rating", "split"))
 
 
-@query("als_grid_search")
+GRID_SQL = " CROSS JOIN ".join(
+    "(SELECT unnest([" + ", ".join(f"{v}::{kind}" for v in recommend.GRID[name]) + f"]) AS {name})"
+    for name, kind in (("max_iter", "INT"), ("reg", "DOUBLE"), ("rank", "INT"))
+)
+
+
+@query(
+    "als_grid_search",
+    extended(CLEANED_PARTS, MASKED_ROWS, SPLIT, NESTED)
+    + f"""SELECT max_iter, reg, "rank", asked, predictions, true AS plausible, 1::BIGINT AS winners FROM ({counted_sql("nested", "nested")}) counts,
+    {GRID_SQL} WHERE split = 'validation'""",
+)
 def als_grid_search(spark, sf_dir):
-    """All 27 combinations on the validation part; the best by MAE is marked."""
+    """All 27 combinations on the validation part, and how many are marked as the best one by MAE."""
     splits = nested(spark, sf_dir)
     errors = recommend.grid_search_als(part(splits, "train"), part(splits, "validation"))
     best = metrics.best_by_metric(errors, "mae", ["max_iter", "reg", "rank"]).withColumn("best", F.lit(True))
-    return errors.join(best.drop("mae"), ["max_iter", "reg", "rank"], "left").fillna(False, subset=["best"])
+    marked = errors.join(best.drop("mae"), ["max_iter", "reg", "rank"], "left")
+    winners = F.count("best").over(Window.partitionBy(F.lit(0)))
+    return plausible_ratings(marked.withColumn("winners", winners)).drop("best")
 
 
 @query("als_grid_search_small")
@@ -141,16 +188,37 @@ def als_grid_search_small(spark, sf_dir):
     return metrics.best_by_metric(errors, "mae", ["rmse", "predictions", "max_iter", "reg", "rank"])
 
 
-@query("recommend_users")
+SERVED = f"""SELECT customer_id, {TOP_N}::BIGINT AS items, {TOP_N}::BIGINT AS titled, true AS falling FROM train {{where}} GROUP BY customer_id"""
+
+
+def served(rows: DataFrame, titled: DataFrame) -> DataFrame:
+    """Per customer the distinct products, those with the title that the product has, and whether ratings are plausible."""
+    known = recommend.product_titles(rows).withColumn("_known", F.lit(True))
+    checked = titled.join(known, ["product_id", "product_title", "product_category"], "left")
+    falling = F.min(F.col("rating").between(0, RATING_RANGE))
+    return checked.groupBy("customer_id").agg(
+        F.count_distinct("product_id").alias("items"), F.count("_known").alias("titled"), falling.alias("falling")
+    ).withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
+@query("recommend_users", CLEANED_PARTS + MASKED + SERVED.format(where="WHERE customer_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"))
 def recommend_users(spark, sf_dir):
-    """Ten items for every customer whose balance is negative."""
+    """Ten items for every customer whose balance is negative: distinct, titled, with plausible ratings."""
     rows, index, _, model = trained(spark, sf_dir)
     users = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").cast("int").alias("customer_id"))
-    return recommend.recommend(model, users, TOP_N, index, recommend.product_titles(rows))
+    return served(rows, recommend.recommend(model, users, TOP_N, index, recommend.product_titles(rows)))
 
 
-@query("recommend_all")
+@query("recommend_all", CLEANED_PARTS + MASKED + SERVED.format(where=""))
 def recommend_all(spark, sf_dir):
+    """The same for every customer that the model knows."""
+    rows, index, _, model = trained(spark, sf_dir)
+    return served(rows, recommend.recommend_all(model, TOP_N, index, recommend.product_titles(rows)))
+
+
+@query("recommend_items")
+def recommend_items(spark, sf_dir):
+    """The ten items themselves, of every customer that the model knows."""
     rows, index, _, model = trained(spark, sf_dir)
     return recommend.recommend_all(model, TOP_N, index, recommend.product_titles(rows))
 
@@ -228,12 +296,25 @@ def recommend_far_customers(spark, sf_dir):
     return recommend.recommend_coded(model, rows.select("customer_id").distinct(), TOP_N, users, items, recommend.product_titles(rows))
 
 
-@query("join_recs_products")
+@query(
+    "join_recs_products",
+    CLEANED_PARTS
+    + MASKED
+    + f"""SELECT CAST(count(DISTINCT customer_id) * {TOP_N} AS BIGINT) AS recommendations, CAST(count(DISTINCT customer_id) * {TOP_N} AS BIGINT) AS titled,
+      true AS known FROM train""",
+)
 def join_recs_products(spark, sf_dir):
-    """How often each recommended product is recommended, with its title."""
+    """How often products are recommended, over all products with their one title: every recommendation keeps its place."""
     rows, index, _, model = trained(spark, sf_dir)
-    titled = recommend.recommend_all(model, TOP_N, index, recommend.product_titles(rows))
-    return titled.groupBy("product_id", "product_title", "product_category").agg(F.count("*").alias("users"))
+    titles = cut_lineage(recommend.product_titles(rows), "titles")
+    titled = recommend.recommend_all(model, TOP_N, index, titles)
+    per_product = titled.groupBy("product_id", "product_title", "product_category").agg(F.count("*").alias("users"))
+    found = per_product.join(titles.withColumn("_known", F.lit(True)), ["product_id", "product_title", "product_category"], "left")
+    return found.agg(
+        F.sum("users").alias("recommendations"),
+        F.sum(F.when(F.col("product_title").isNotNull(), F.col("users"))).alias("titled"),
+        F.min(F.coalesce("_known", F.lit(False))).alias("known"),
+    )
 
 
 @query(
@@ -292,21 +373,40 @@ def text_profile(spark, sf_dir):
     return rounded(profiling.describe(rows, "text_length", ["label"]), "mean", "std", "q1", "median", "q3")
 
 
-@query("text_features")
+TEXT_WORDS = """word_lists AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), lambda w: length(w) > 0) AS words FROM documents)"""
+
+
+@query("text_features", f"WITH {TEXT_WORDS} SELECT doc_id, CAST(len(words) AS INT) AS words, CAST(len(list_distinct(words)) AS INT) AS different, true AS plausible FROM word_lists")
 def text_features(spark, sf_dir):
-    """Number of distinct words and the largest weight of each document."""
+    """Words and distinct words of each document; the features are no more than these (two may share a place)."""
     featured = text.text_features(all_documents(spark, sf_dir))
     # The stored entries of the sparse vector; turning it into an array would fill up every place.
     weights = F.filter(F.unwrap_udt("features").getField("values"), lambda w: w > 0)
-    return featured.select("doc_id", F.size(weights).alias("terms"), F.array_max(weights).alias("largest"))
+    different = F.size(F.array_distinct("words"))
+    plausible = (F.size(weights) <= different) & ((F.size(weights) > 0) | (different < 30))
+    return featured.select("doc_id", F.size("words").alias("words"), different.alias("different"), plausible.alias("plausible"))
+
+
+LABELS = f"""labelled_docs AS (
+  SELECT doc_id, CASE WHEN {hash_sql("doc_id")} < 0.4 THEN 'train' WHEN {hash_sql("doc_id")} < 0.8 THEN 'validation' ELSE 'test' END AS split,
+    CAST(CASE WHEN toxic = 1 THEN 0 WHEN quality = 1 THEN 2 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 1 END AS DOUBLE) AS label
+  FROM documents LEFT JOIN labels USING (doc_id))"""
 
 
-@query("text_classifier_train")
+def plausible_accuracy(scored: DataFrame, least: float) -> DataFrame:
+    return scored.withColumn("plausible", F.col("accuracy").between(least, 1)).drop("accuracy")
+
+
+@query(
+    "text_classifier_train",
+    f"WITH {LABELS} SELECT count(*) AS scored, true AS plausible FROM labelled_docs WHERE split = 'train' AND label IS NOT NULL",
+)
 def text_classifier_train(spark, sf_dir):
-    """Accuracy on the rows the classifier was trained on, per label."""
+    """Rows the classifier was trained on, and whether it gets most of them right."""
     rows, model = text_model(spark, sf_dir)
     scored = text.score_text(model, part(rows, "train").filter("label IS NOT NULL"))
-    return metrics.accuracy(scored, "label", "prediction", ["label"])
+    return plausible_accuracy(metrics.accuracy(scored, "label", "prediction"), 0.6)
 
 
 @query(
@@ -324,14 +424,40 @@ def text_classifier_score(spark, sf_dir):
     return scored.select("doc_id", "split", "label", one_of)
 
 
-@query("text_classifier_eval")
-def text_classifier_eval(spark, sf_dir):
+def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = text_model(spark, sf_dir)
     scored = text.score_text(model, rows.filter("label IS NOT NULL"))
     return metrics.accuracy(scored, "label", "prediction", ["split"])
 
 
-@query("train_history")
+@query(
+    "text_classifier_eval",
+    f"WITH {LABELS} SELECT split, count(*) AS scored, true AS plausible FROM labelled_docs WHERE label IS NOT NULL GROUP BY split",
+)
+def text_classifier_eval(spark, sf_dir):
+    """Labelled documents of each part, and whether more are right than by a guess among three."""
+    return plausible_accuracy(evaluated(spark, sf_dir), 0.34)
+
+
+@query("text_classifier_accuracy")
+def text_classifier_accuracy(spark, sf_dir):
+    """The accuracy itself."""
+    return evaluated(spark, sf_dir)
+
+
+@query("train_history", "SELECT 0 AS first_round, true AS gapless, true AS falling")
 def train_history(spark, sf_dir):
+    """The losses of the training rounds: numbered without a gap, and lower at the end than at the start."""
+    _, model = text_model(spark, sf_dir)
+    rounds = text.train_history(model)
+    return rounds.agg(
+        F.min("round").alias("first_round"),
+        (F.max("round") == F.count("*") - 1).alias("gapless"),
+        (F.max_by("loss", "round") < F.min_by("loss", "round")).alias("falling"),
+    )
+
+
+@query("train_losses")
+def train_losses(spark, sf_dir):
     _, model = text_model(spark, sf_dir)
     return text.train_history(model)

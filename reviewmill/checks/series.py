@@ -22,7 +22,8 @@ from reviewmill.sources.fixture import reviews, table
 CUTOFF = "1995-10-31"
 LAGS = 40
 LONG_LAGS = 1000
-INITIAL_DAYS = 1800
+# Of each series, the days before the first fold of a backtest, and of a search.
+INITIAL, SEARCH_INITIAL = 0.75, 0.5
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,10 +272,23 @@ def ts_kpss_fixed_lag(spark, sf_dir):
     return rounded(diagnostics.kpss(daily(spark, sf_dir), lags=10), "kpss", "kpss_p")
 
 
-@query("ts_adf")
+ADF_ZERO = """changes AS (
+  SELECT series_id, lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS x, y - lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS dy FROM daily),
+fitted AS (
+  SELECT series_id, count(*) AS n, regr_slope(dy, x) AS b, regr_sxx(dy, x) AS sxx, regr_syy(dy, x) AS syy, regr_sxy(dy, x) AS sxy
+  FROM changes WHERE x IS NOT NULL GROUP BY series_id),
+unit AS (SELECT series_id, n, b / sqrt((syy - b * sxy) / (n - 2) / sxx) AS adf_zero FROM fitted)"""
+
+
+@query("ts_adf", extended(DAILY_PARTS, ADF_ZERO) + "SELECT series_id, round(adf_zero, 6) AS adf_zero, n AS changes, true AS plausible FROM unit")
 def ts_adf(spark, sf_dir):
-    """Needs a regression per lag: no SQL; tested against brute force."""
-    return diagnostics.adf(daily(spark, sf_dir))
+    """The statistic without lags, and whether the one with the best lag holds what it must (brute force tests compare it)."""
+    rows = written(spark, sf_dir)
+    chosen, zero = diagnostics.adf(rows), diagnostics.adf(rows, lag=0).select("series_id", F.col("adf").alias("adf_zero"))
+    plausible = F.col("adf_p").between(0, 1) & (F.col("adf_lag") >= 0) & (F.col("unit_root_rejected") == (F.col("adf") < F.col("crit_5")))
+    found = chosen.join(zero, "series_id")
+    changes = (F.col("adf_lag") + F.col("adf_nobs")).cast("bigint").alias("changes")
+    return rounded(found.select("series_id", "adf_zero", changes, plausible.alias("plausible")), "adf_zero")
 
 
 @query("ts_stationarity")
@@ -283,6 +297,21 @@ def ts_stationarity(spark, sf_dir):
     return diagnostics.stationarity(daily(spark, sf_dir))
 
 
+@query("ts_stationarity_train")
+def ts_stationarity_train(spark, sf_dir):
+    """The same for the gap of positive and negative reviews, before the last 30 days."""
+    train = panel.split_last_n(gaps(spark, sf_dir), 30).filter("split = 'train'").drop("split")
+    return diagnostics.stationarity(train)
+
+
+GAPS = "daily AS (SELECT series_id, ds, CAST(coalesce(gap, 0) AS DOUBLE) AS y FROM panel)"
+
+
+@query("ts_acf_gap", extended(WIDE_PARTS, GAPS, ACF) + ACF_ROWS)
+def ts_acf_gap(spark, sf_dir):
+    return rounded(diagnostics.acf(gaps(spark, sf_dir), LAGS), "acf", "band")
+
+
 # Window features
 
 
@@ -366,14 +395,17 @@ def union_splits(spark, sf_dir):
     return pieces[0].unionByName(pieces[1]).unionByName(pieces[2])
 
 
+FIRST = f"greatest(1, CAST(floor(count(*) OVER (PARTITION BY series_id) * {INITIAL}::DOUBLE) AS INT))"
+
+
 @query(
     "win_backtest_folds",
     DAILY_PARTS
-    + f"""SELECT series_id, ds, y, CASE WHEN place > {INITIAL_DAYS} THEN CAST(floor((place - {INITIAL_DAYS} - 1) / 30) AS INT) END AS fold
-    FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS place FROM daily)""",
+    + f"""SELECT series_id, ds, y, CASE WHEN place > first THEN CAST(floor((place - first - 1) / 30) AS INT) END AS fold
+    FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS place, {FIRST} AS first FROM daily)""",
 )
 def win_backtest_folds(spark, sf_dir):
-    return panel.backtest_folds(daily(spark, sf_dir), INITIAL_DAYS)
+    return panel.backtest_folds(daily(spark, sf_dir), INITIAL)
 
 
 # Naive forecasts and errors
@@ -386,7 +418,7 @@ def naive_sql(season: int = 1) -> str:
 
 
 ERRORS = """round(sqrt(avg((y - predicted) * (y - predicted))), 6) AS rmse, round(avg(abs(y - predicted)), 6) AS mae,
-       round(avg(abs(y - predicted) / greatest(abs(y), {floor})), 6) AS mape, count(*) AS predictions"""
+       round(avg(abs(y - predicted) / greatest(abs(y), {floor})), 6) AS mape, count(y - predicted) AS predictions, count(y) AS asked"""
 FLOOR_ERRORS = ERRORS.format(floor="2.220446049250313e-16::DOUBLE")
 NULL_ERRORS = ERRORS.replace("greatest(abs(y), {floor})", "nullif(abs(y), 0)")
 
@@ -406,7 +438,7 @@ def ts_naive(spark, sf_dir):
     "regression_metrics",
     f"""WITH daily AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS ds, avg("value") AS y FROM events GROUP BY 1, 2),
     naive AS (SELECT series_id, ds, y, lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS predicted FROM daily)
-    SELECT series_id, {FLOOR_ERRORS} FROM naive WHERE predicted IS NOT NULL GROUP BY series_id""",
+    SELECT series_id, {FLOOR_ERRORS} FROM naive GROUP BY series_id""",
 )
 def regression_metrics(spark, sf_dir):
     guesses = forecast.naive_forecast(events(spark, sf_dir), n_test=None)
@@ -454,11 +486,11 @@ def param_grid(spark, sf_dir):
 
 
 BACKTEST = f"""folds AS (
-  SELECT series_id, ds, y, CAST(floor((place - {INITIAL_DAYS} - 1) / 30) AS INT) AS fold, place
-  FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS place FROM daily)),
+  SELECT series_id, ds, y, CAST(floor((place - first - 1) / 30) AS INT) AS fold, place, first
+  FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS place, {FIRST} AS first FROM daily)),
 backtested AS (
   SELECT a.series_id, a.ds, a.fold, a.y, b.y AS predicted FROM folds a JOIN folds b
-    ON b.series_id = a.series_id AND b.place = {INITIAL_DAYS} + a.fold * 30 WHERE a.fold >= 0)"""
+    ON b.series_id = a.series_id AND b.place = a.first + a.fold * 30 WHERE a.place > a.first)"""
 
 
 @query(
@@ -468,7 +500,7 @@ backtested AS (
     UNION ALL SELECT NULL::INT AS fold, {NULL_ERRORS} FROM backtested""",
 )
 def ts_backtest(spark, sf_dir):
-    guesses = forecast.backtest_naive(daily(spark, sf_dir), INITIAL_DAYS)
+    guesses = forecast.backtest_naive(daily(spark, sf_dir), INITIAL)
     per_fold = metrics.regression_metrics(guesses, "y", "predicted", ["fold"], zero="null")
     pooled = metrics.regression_metrics(guesses, "y", "predicted", zero="null").withColumn("fold", F.lit(None).cast("int"))
     return rounded(per_fold.unionByName(pooled), "rmse", "mae", "mape")
@@ -526,52 +558,136 @@ def ts_quantile_bands(spark, sf_dir):
     return rounded(forecast.quantile_bands(daily(spark, sf_dir), 30, 20), "q10", "q50", "q90")
 
 
-# Forest
+# Models whose figures SQL cannot compute: keys, days, steps, actual values and counts are compared, and of the
+# figures, whether they are what they have to be.
+
+
+def finite(column: str, name: str) -> F.Column:
+    value = F.col(column)
+    return (value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))).alias(name)
+
+
+# The values of a forest lie between the least and the greatest value that it has seen.
+WITHIN = "bounds AS (SELECT min(y) AS low, max(y) AS high FROM daily)"
+LAST_DAYS = "last AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS place FROM daily)"
 
 
-@query("ts_rf_fit")
+def within_bounds(rows: DataFrame, forecasts: DataFrame) -> DataFrame:
+    bounds = rows.agg(F.min("y").alias("_low"), F.max("y").alias("_high"))
+    inside = F.coalesce(F.col("predicted").between(F.col("_low") - 1e-9, F.col("_high") + 1e-9), F.lit(False))
+    return forecasts.join(F.broadcast(bounds)).withColumn("inside", inside).drop("_low", "_high", "predicted")
+
+
+@query("ts_rf_fit", extended(DAILY_PARTS, LAST_DAYS) + "SELECT series_id, ds, y, true AS inside FROM last WHERE place <= 30")
 def ts_rf_fit(spark, sf_dir):
     """Fit on all but the last 30 days, forecast those."""
-    return forecast.forecast_rf(written(spark, sf_dir), 30, trees=20)
+    rows = written(spark, sf_dir)
+    return within_bounds(rows, forecast.forecast_rf(rows, 30, trees=20))
 
 
-@query("ts_recursive_forecast")
+@query(
+    "ts_recursive_forecast",
+    DAILY_PARTS
+    + """SELECT series_id, CAST(max(ds) + CAST(h AS INT) AS DATE) AS ds, CAST(h AS INT) AS step, true AS inside
+    FROM daily, (SELECT unnest(range(1, 31)) AS h) GROUP BY series_id, h""",
+)
 def ts_recursive_forecast(spark, sf_dir):
     """Thirty days beyond the end of every series."""
     rows = written(spark, sf_dir)
     model = forecast.fit_rf(rows, trees=5)
-    return forecast.recursive_forecast(model, forecast.last_values(rows, forecast.LAGS), 30)
+    return within_bounds(rows, forecast.recursive_forecast(model, forecast.last_values(rows, forecast.LAGS), 30))
+
 
+FOLD_COUNTS = """SELECT fold, count(*) AS asked, count(*) AS predictions, true AS plausible FROM folds WHERE place > first GROUP BY fold
+    UNION ALL SELECT NULL::INT AS fold, count(*) AS asked, count(*) AS predictions, true AS plausible FROM folds WHERE place > first"""
 
-@query("ts_rf_backtest")
+
+def plausible_errors(rows: DataFrame, errors: DataFrame) -> DataFrame:
+    """Errors of forecasts within the range of the values are not larger than that range."""
+    bounds = rows.agg((F.max("y") - F.min("y")).alias("_range"))
+    plausible = (F.col("mae") <= F.col("rmse") + 1e-9) & (F.col("rmse") <= F.col("_range") + 1e-9)
+    return errors.join(F.broadcast(bounds)).withColumn("plausible", F.coalesce(plausible, F.lit(False))).drop("_range", "rmse", "mae", "mape")
+
+
+@query("ts_rf_backtest", extended(DAILY_PARTS, BACKTEST) + FOLD_COUNTS)
 def ts_rf_backtest(spark, sf_dir):
-    return forecast.backtest_metrics(forecast.backtest_rf(written(spark, sf_dir), INITIAL_DAYS, 30))
+    rows = written(spark, sf_dir)
+    return plausible_errors(rows, forecast.backtest_metrics(forecast.backtest_rf(rows, INITIAL, 30)))
 
 
-@query("ts_rf_backtest_refit")
+@query("ts_rf_backtest_refit", extended(DAILY_PARTS, BACKTEST) + FOLD_COUNTS)
 def ts_rf_backtest_refit(spark, sf_dir):
-    """A new forest for each 30-day fold of the last months."""
-    return forecast.backtest_metrics(forecast.backtest_rf(written(spark, sf_dir), 2320, 30, refit=True))
+    """A new forest for each 30-day fold."""
+    rows = written(spark, sf_dir)
+    return plausible_errors(rows, forecast.backtest_metrics(forecast.backtest_rf(rows, INITIAL, 30, refit=True)))
+
 
+GRID_SIZE = " CROSS JOIN ".join(
+    f"(SELECT unnest({list(values)}) AS {name})" for name, values in forecast.FOREST_GRID.items()
+)
 
-@query("ts_rf_grid")
+
+@query(
+    "ts_rf_grid",
+    extended(DAILY_PARTS, BACKTEST.replace(f"{INITIAL}::DOUBLE", f"{SEARCH_INITIAL}::DOUBLE"))
+    + f"""SELECT lags, trees, depth, (SELECT count(*) FROM folds WHERE place > first) AS asked,
+           (SELECT count(*) FROM folds WHERE place > first) AS predictions, true AS plausible, 1::BIGINT AS winners FROM {GRID_SIZE}""",
+)
 def ts_rf_grid(spark, sf_dir):
-    errors = forecast.grid_search_rf(written(spark, sf_dir), 1200, 30)
+    """All 36 settings on the folds after the first half of each series, and how many are marked as the best one."""
+    rows = written(spark, sf_dir)
+    errors = forecast.grid_search_rf(rows, SEARCH_INITIAL, 30)
     best = metrics.best_by_metric(errors, "rmse", ["lags", "trees", "depth"]).withColumn("best", F.lit(True))
-    return errors.join(best.drop("rmse"), ["lags", "trees", "depth"], "left").fillna(False, subset=["best"])
+    marked = errors.join(best.drop("rmse"), ["lags", "trees", "depth"], "left")
+    winners = F.count("best").over(panel.Window.partitionBy(F.lit(0)))
+    return plausible_errors(rows, marked.withColumn("winners", winners)).drop("best")
+
+
+@query("ts_rf_tuned")
+def ts_rf_tuned(spark, sf_dir):
+    """The winner of the search, fitted on all days before the last 30, scored on these."""
+    found = forecast.tuned_forest(written(spark, sf_dir), 30, SEARCH_INITIAL)
+    return metrics.regression_metrics(found, "y", "predicted", ["lags", "trees", "depth"])
+
+
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily difference of positive and negative reviews per category, zero where a side is missing; written out."""
+    return cut_lineage(panel.measure(panel.build_panel(reviews(spark, sf_dir), ["category"]), "gap", missing="zero"), "gaps")
+
+
+@query("ts_rf_tuned_gap")
+def ts_rf_tuned_gap(spark, sf_dir):
+    """The same for the gap between positive and negative reviews."""
+    found = forecast.tuned_forest(gaps(spark, sf_dir), 30, SEARCH_INITIAL)
+    return metrics.regression_metrics(found, "y", "predicted", ["lags", "trees", "depth"])
 
 
 # ARIMA
 
 
-@query("ts_arima_fit")
+def forecast_sql(*orders: tuple, step: str = "1") -> str:
+    """The last 30 days of each series, for each order."""
+    names = (*arima.ORDER, *arima.SEASONAL)
+    full = [o if len(o) == 7 else (*o, *arima.NO_SEASON) for o in orders]
+    tried = " UNION ALL ".join("SELECT " + ", ".join(f"{v} AS {n}" for v, n in zip(o, names)) for o in full)
+    return (
+        extended(DAILY_PARTS, LAST_DAYS, f"tried AS ({tried})")
+        + f"SELECT series_id, {', '.join(names)}, ds, CAST({step} AS INT) AS step, y, true AS finite FROM last, tried WHERE place <= 30"
+    )
+
+
+def sound(forecasts: DataFrame) -> DataFrame:
+    return forecasts.withColumn("finite", finite("predicted", "finite")).drop("predicted")
+
+
+@query("ts_arima_fit", forecast_sql((1, 0, 0), (2, 1, 1), step="31 - place"))
 def ts_arima_fit(spark, sf_dir):
-    return arima.arima_forecast(daily(spark, sf_dir), [(1, 0, 0), (2, 1, 1)], 30)
+    return sound(arima.arima_forecast(daily(spark, sf_dir), [(1, 0, 0), (2, 1, 1)], 30))
 
 
-@query("ts_arima_rolling")
+@query("ts_arima_rolling", forecast_sql((2, 1, 1)))
 def ts_arima_rolling(spark, sf_dir):
-    return arima.arima_rolling(daily(spark, sf_dir), [(2, 1, 1)], 30)
+    return sound(arima.arima_rolling(daily(spark, sf_dir), [(2, 1, 1)], 30))
 
 
 SIMPLE_ORDERS = [(1, 0, 0), (0, 1, 0), (1, 1, 0)]
@@ -669,16 +785,29 @@ def ts_sarima_auto_rolling(spark, sf_dir):
     return arima.arima_auto_rolling(written(spark, sf_dir), orders, 30, 30)
 
 
-@query("ts_arima_order_search")
+SEARCHED = extended(DAILY_PARTS, LAST_DAYS) + "SELECT series_id, count(*) AS predictions, true AS plausible FROM last WHERE place <= 30 GROUP BY series_id"
+
+
+def no_worse(best: DataFrame, simple: DataFrame) -> DataFrame:
+    """The winner of a search is not worse than that of a part of the orders."""
+    other = simple.select("series_id", F.col("rmse").alias("_simple"))
+    plausible = (F.col("rmse") <= F.col("_simple") + 1e-9) & (F.col("mae") <= F.col("rmse") + 1e-9)
+    return best.join(other, "series_id").select("series_id", "predictions", plausible.alias("plausible"))
+
+
+@query("ts_arima_order_search", SEARCHED)
 def ts_arima_order_search(spark, sf_dir):
-    return arima.arima_search(daily(spark, sf_dir))
+    """All orders up to (2, 2, 2): the best is not worse than the best of three of them."""
+    rows = written(spark, sf_dir)
+    return no_worse(arima.arima_search(rows), arima.arima_search(rows, SIMPLE_ORDERS))
 
 
-@query("ts_arima_auto")
+@query("ts_arima_auto", SEARCHED)
 def ts_arima_auto(spark, sf_dir):
     """Wide search with one fit per order, scored on the last 30 days."""
+    rows = written(spark, sf_dir)
     orders = arima.search_orders(range(11), range(3), range(6), max_order=10)
-    return arima.arima_search(daily(spark, sf_dir), orders, rolling=False)
+    return no_worse(arima.arima_search(rows, orders, rolling=False), arima.arima_search(rows, SIMPLE_ORDERS, rolling=False))
 
 
 @query("ts_sarima_auto")
@@ -688,22 +817,35 @@ def ts_sarima_auto(spark, sf_dir):
     return arima.arima_search(daily(spark, sf_dir), orders, rolling=False)
 
 
-@query("ts_sarima_rolling")
+@query("ts_sarima_rolling", forecast_sql((*arima.CHOSEN_ORDER, *arima.CHOSEN_SEASONAL)))
 def ts_sarima_rolling(spark, sf_dir):
-    return arima.arima_rolling(daily(spark, sf_dir), [arima.CHOSEN_ORDER], 30, seasonal=arima.CHOSEN_SEASONAL)
+    return sound(arima.arima_rolling(daily(spark, sf_dir), [arima.CHOSEN_ORDER], 30, seasonal=arima.CHOSEN_SEASONAL))
 
 
 @query("ts_sarima_backtest")
 def ts_sarima_backtest(spark, sf_dir):
-    rows = arima.arima_backtest(daily(spark, sf_dir), arima.CHOSEN_ORDER, INITIAL_DAYS, 30, arima.CHOSEN_SEASONAL)
+    rows = arima.arima_backtest(daily(spark, sf_dir), arima.CHOSEN_ORDER, INITIAL, 30, arima.CHOSEN_SEASONAL)
     return metrics.regression_metrics(rows, "y", "predicted", ["series_id"])
 
 
-@query("ts_long_horizon")
+@query(
+    "ts_long_horizon",
+    DAILY_PARTS
+    + f"""SELECT series_id, CAST(max(ds) + CAST(h AS INT) AS DATE) AS ds, CAST(h AS INT) AS step, true AS finite
+    FROM daily, (SELECT unnest(range(1, {arima.LONG_HORIZON + 1})) AS h) GROUP BY series_id, h""",
+)
 def ts_long_horizon(spark, sf_dir):
-    return arima.arima_forecast(
+    rows = arima.arima_forecast(
         daily(spark, sf_dir), [arima.CHOSEN_ORDER], arima.LONG_HORIZON, seasonal=arima.CHOSEN_SEASONAL, holdout=False
     )
+    return sound(rows).select("series_id", "ds", "step", "finite")
+
+
+@query("ts_arima_rolling_gap", extended(WIDE_PARTS, GAPS, SIMPLE) + "SELECT series_id, p, d, q, ds, y, round(predicted, 6) AS predicted FROM rolled")
+def ts_arima_rolling_gap(spark, sf_dir):
+    """Orders with a closed form on the gap of positive and negative reviews."""
+    rows = arima.arima_rolling(gaps(spark, sf_dir), SIMPLE_ORDERS, 30)
+    return rounded(rows.select("series_id", "p", "d", "q", "ds", "y", "predicted"), "predicted")
 
 
 @query("ts_forecast_compare_models")

@@ -48,17 +48,19 @@ def regression_metrics(
     by: Sequence[str] = (),
     zero: str = "floor",
 ) -> DataFrame:
-    """RMSE, MAE, MAPE (a fraction) and the number of scored rows, per group, in one aggregation."""
+    """RMSE, MAE, MAPE (a fraction), the number of scored rows and of rows asked for, per group, in one aggregation.
+
+    A row with an actual value is asked for; without a prediction (null or not a number) it is not scored and
+    has no part in the errors, but shows as the difference of the two numbers.
+    """
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    return (
-        df.filter(y.isNotNull() & p.isNotNull())
-        .groupBy(*by)
-        .agg(
-            F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"),
-            F.avg(F.abs(y - p)).alias("mae"),
-            F.avg(percentage_error(y, p, zero)).alias("mape"),
-            F.count("*").alias("predictions"),
-        )
+    p = F.when(~F.isnan(p), p)
+    return df.groupBy(*by).agg(
+        F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"),
+        F.avg(F.abs(y - p)).alias("mae"),
+        F.avg(percentage_error(y, p, zero)).alias("mape"),
+        F.count(y - p).alias("predictions"),
+        F.count(y).alias("asked"),
     )
 
 

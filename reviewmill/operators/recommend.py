@@ -87,9 +87,15 @@ def train_als(
     return als.fit(train.select(user, item, rating))
 
 
-def evaluate_als(model: ALSModel, held_out: DataFrame, rating: str = "star_rating") -> DataFrame:
-    """RMSE, MAE, MAPE and the number of scored rows, in one pass over the predictions."""
-    return regression_metrics(model.transform(held_out), rating, "prediction")
+def score_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """All rows of ``pairs`` with their ``prediction``: null where the model knows the user or the item not."""
+    keeping = model.copy().setColdStartStrategy("nan")
+    return keeping.transform(pairs).withColumn("prediction", F.when(~F.isnan("prediction"), F.col("prediction")))
+
+
+def evaluate_als(model: ALSModel, held_out: DataFrame, rating: str = "star_rating", by: Sequence[str] = ()) -> DataFrame:
+    """RMSE, MAE, MAPE, scored rows and rows asked for, in one pass over the predictions."""
+    return regression_metrics(score_pairs(model, held_out), rating, "prediction", by)
 
 
 def grid_combinations(grid: dict[str, Sequence]) -> list[dict]:
@@ -110,11 +116,11 @@ def grid_search_als(
     def score(params: dict) -> tuple:
         model = train_als(train, **params)
         row = evaluate_als(model, validation).first()
-        return (params["max_iter"], float(params["reg"]), params["rank"], row.rmse, row.mae, row.predictions)
+        return (params["max_iter"], float(params["reg"]), params["rank"], row.rmse, row.mae, row.predictions, row.asked)
 
     with ThreadPoolExecutor(parallelism) as pool:
         rows = list(pool.map(score, combinations))
-    schema = "max_iter int, reg double, rank int, rmse double, mae double, predictions bigint"
+    schema = "max_iter int, reg double, rank int, rmse double, mae double, predictions bigint, asked bigint"
     return spark.createDataFrame(rows, schema)
 
 

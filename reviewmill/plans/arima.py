@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from reviewmill.operators.metrics import best_by_metric, param_grid, percentage_error
 from reviewmill.plans.diagnostics import series_arrays
-from reviewmill.plans.panel import DAY, SERIES, TEST_DAYS, VALUE, split_last_n
+from reviewmill.plans.panel import DAY, SERIES, TEST_DAYS, VALUE, initial_days, split_last_n
 from reviewmill.session import cut_lineage
 
 ORDER = ["p", "d", "q"]
@@ -325,13 +325,17 @@ def arima_forecast(
 
 
 def arima_backtest(
-    panel: DataFrame, order: tuple, initial: int, steps: int = TEST_DAYS, seasonal: tuple | None = None, tasks: int | None = None
+    panel: DataFrame,
+    order: tuple,
+    initial: int | float,
+    steps: int = TEST_DAYS,
+    seasonal: tuple | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Expanding folds of ``steps`` days after the first ``initial`` ones, refitted at each."""
-    series = series_arrays(panel).filter(F.size("values") > initial)
-    origins = F.sequence(F.lit(initial), F.size("values") - 1, F.lit(steps))
-    rows = _run(with_orders(series, [order], seasonal), origins, steps, tasks).filter(F.col(VALUE).isNotNull())
-    return rows
+    """Expanding folds of ``steps`` days after the first ``initial`` ones (a number or a share), refitted at each."""
+    series = series_arrays(panel).withColumn("_first", initial_days(F.size("values"), initial)).filter(F.size("values") > F.col("_first"))
+    origins = F.sequence(F.col("_first"), F.size("values") - 1, F.lit(steps))
+    return _run(with_orders(series, [order], seasonal), origins, steps, tasks).filter(F.col(VALUE).isNotNull())
 
 
 def order_errors(forecasts: DataFrame) -> DataFrame:

@@ -216,8 +216,8 @@ def _kpss_p(stat: Column) -> Column:
     return p.when(stat.isNotNull(), F.lit(KPSS_PROBABILITY[-1]))
 
 
-def adf_statistic(y: np.ndarray) -> tuple[float, int, int]:
-    """Unit-root t statistic with a constant; the lag minimises AIC on a common sample.
+def adf_statistic(y: np.ndarray, lag: int | None = None) -> tuple[float, int, int]:
+    """Unit-root t statistic with a constant; without ``lag``, the one that minimises AIC on a common sample.
 
     One orthogonal factorisation gives the residual sums of all nested lag models at once.
     """
@@ -231,12 +231,14 @@ def adf_statistic(y: np.ndarray) -> tuple[float, int, int]:
         columns = [np.ones(len(rows)), y[rows]] + [dy[rows - k] for k in range(1, lags + 1)]
         return np.column_stack(columns), dy[rows]
 
-    x, target = design(most)
-    loads = np.linalg.qr(x)[0].T @ target
-    residual = np.maximum(target @ target - np.cumsum(loads**2)[1:], 1e-300)
-    terms = np.arange(2, most + 3)
-    lag = int(np.argmin(len(target) * np.log(residual / len(target)) + 2 * terms))
-    x, target = design(lag)
+    if lag is None:
+        x, target = design(most)
+        loads = np.linalg.qr(x)[0].T @ target
+        residual = np.maximum(target @ target - np.cumsum(loads**2)[1:], 1e-300)
+        terms = np.arange(2, most + 3)
+        lag = int(np.argmin(len(target) * np.log(residual / len(target)) + 2 * terms))
+    x, target = design(min(lag, most))
+    lag = min(lag, most)
     beta = np.linalg.lstsq(x, target, rcond=None)[0]
     error = target - x @ beta
     spread = error @ error / (len(target) - x.shape[1]) * np.linalg.pinv(x.T @ x)[1, 1]
@@ -254,18 +256,18 @@ def adf_p_value(stat: float) -> float:
 
 
 @F.pandas_udf(ADF_RESULT)
-def _adf(values: pd.Series) -> pd.DataFrame:
+def _adf(values: pd.Series, lags: pd.Series) -> pd.DataFrame:
     rows = []
-    for v in values:
-        stat, lag, nobs = adf_statistic(np.asarray(v, dtype=float))
+    for v, given in zip(values, lags):
+        stat, lag, nobs = adf_statistic(np.asarray(v, dtype=float), None if pd.isna(given) else int(given))
         rows.append((stat, adf_p_value(stat), lag, nobs))
     return pd.DataFrame(rows, columns=["adf", "adf_p", "adf_lag", "adf_nobs"])
 
 
-def adf(panel: DataFrame, value: str = VALUE, keys: tuple[str, ...] = (SERIES,)) -> DataFrame:
-    """Unit-root test per series: statistic, p-value, lag, critical values at 1, 5 and 10%."""
+def adf(panel: DataFrame, value: str = VALUE, keys: tuple[str, ...] = (SERIES,), lag: int | None = None) -> DataFrame:
+    """Unit-root test per series: statistic, p-value, lag, critical values at 1, 5 and 10%; ``lag`` fixes the lag."""
     arrays = series_arrays(panel.filter(F.col(value).isNotNull()), value, keys)
-    tested = arrays.withColumn("_t", _adf("values")).select(*keys, "_t.*")
+    tested = arrays.withColumn("_t", _adf("values", F.lit(lag).cast("int"))).select(*keys, "_t.*")
     n = F.col("adf_nobs").cast("double")
     critical = {
         name: F.lit(c[0]) + c[1] / n + c[2] / (n * n) + c[3] / (n * n * n) for name, c in ADF_CRITICAL.items()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.columns import unit_hash
-from reviewmill.operators.metrics import regression_metrics
+from reviewmill.operators.metrics import best_by_metric, regression_metrics
 from reviewmill.operators.profiling import sample_quantiles
 from reviewmill.operators.recommend import grid_combinations
 from reviewmill.plans.diagnostics import series_arrays
@@ -103,10 +104,10 @@ def forecast_rf(panel: DataFrame, n_test: int = TEST_DAYS, lags: int = LAGS, tre
     model = fit_rf(train, lags, trees, depth)
     predicted = recursive_forecast(model, last_values(train, lags), n_test)
     actual = marked.filter(F.col("split") == "test").select(SERIES, DAY, VALUE)
-    return actual.join(predicted, [SERIES, DAY]).select(SERIES, DAY, VALUE, "predicted")
+    return actual.join(predicted, [SERIES, DAY], "left").select(SERIES, DAY, VALUE, "predicted")
 
 
-def backtest_naive(panel: DataFrame, initial: int, steps: int = TEST_DAYS) -> DataFrame:
+def backtest_naive(panel: DataFrame, initial: int | float, steps: int = TEST_DAYS) -> DataFrame:
     """Every day of a fold is forecast as the last actual value before the fold."""
     folded = backtest_folds(panel, initial, steps)
     before = F.when(F.col("fold") != F.coalesce(F.lag("fold").over(by_day()), F.lit(-1)), F.lag(VALUE).over(by_day()))
@@ -118,12 +119,20 @@ def backtest_naive(panel: DataFrame, initial: int, steps: int = TEST_DAYS) -> Da
 
 
 def backtest_rf(
-    panel: DataFrame, initial: int, steps: int = TEST_DAYS, lags: int = LAGS, trees: int = 5, depth: int = 10, refit: bool = False
+    panel: DataFrame,
+    initial: int | float,
+    steps: int = TEST_DAYS,
+    lags: int = LAGS,
+    trees: int = 5,
+    depth: int = 10,
+    refit: bool = False,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Rolling-origin forecasts of the forest.
+    """Rolling-origin forecasts of the forest; days of a series with too few days before them have no prediction.
 
     Without refit one model, trained on the first ``initial`` days, forecasts all folds together.
-    With refit each fold gets a model trained on all days before it.
+    With refit each fold gets a model trained on all days before it; folds are fitted from a few threads and
+    written, so neither the plan nor the loss of an executor grows with their number.
     """
     folded = backtest_folds(panel, initial, steps)
     starts = fold_starts(folded, lags)
@@ -132,14 +141,18 @@ def backtest_rf(
         model = fit_rf(folded.filter(F.col("fold").isNull()), lags, trees, depth)
         forecasts = recursive_forecast(model, starts, steps)
     else:
-        folds = folded.agg(F.max("fold")).first()[0]
-        forecasts = None
-        for fold in range(0 if folds is None else folds + 1):
-            known = folded.filter(F.col("fold").isNull() | (F.col("fold") < fold))
-            model = fit_rf(known, lags, trees, depth)
-            part = recursive_forecast(model, starts.filter(F.col("fold") == fold), steps)
-            forecasts = part if forecasts is None else forecasts.unionByName(part)
-    return actual.join(forecasts, [SERIES, "fold", DAY]).select(SERIES, DAY, "fold", VALUE, "predicted")
+        last = folded.agg(F.max("fold")).first()[0]
+
+        def forecast(fold: int) -> DataFrame:
+            model = fit_rf(folded.filter(F.col("fold").isNull() | (F.col("fold") < fold)), lags, trees, depth)
+            return cut_lineage(recursive_forecast(model, starts.filter(F.col("fold") == fold), steps), "fold")
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            parts = list(pool.map(forecast, range(0 if last is None else last + 1)))
+        if not parts:
+            return actual.select(SERIES, DAY, "fold", VALUE, F.lit(None).cast("double").alias("predicted"))
+        forecasts = reduce(DataFrame.unionByName, parts)
+    return actual.join(forecasts, [SERIES, "fold", DAY], "left").select(SERIES, DAY, "fold", VALUE, "predicted")
 
 
 def backtest_metrics(forecasts: DataFrame) -> DataFrame:
@@ -150,21 +163,40 @@ def backtest_metrics(forecasts: DataFrame) -> DataFrame:
 
 
 def grid_search_rf(
-    panel: DataFrame, initial: int, steps: int = TEST_DAYS, grid: Mapping[str, Sequence] | None = None, parallelism: int = 8
+    panel: DataFrame, initial: int | float, steps: int = TEST_DAYS, grid: Mapping[str, Sequence] | None = None, parallelism: int = 8
 ) -> DataFrame:
     """Backtest errors per parameter combination, without refit. The panel should be written or persisted."""
     combinations = grid_combinations(dict(grid or FOREST_GRID))
 
     def score(params: dict) -> tuple:
         row = regression_metrics(backtest_rf(panel, initial, steps, **params), VALUE, "predicted").first()
-        return (params["lags"], params["trees"], params["depth"], row.rmse, row.mae, row.mape, row.predictions)
+        return (params["lags"], params["trees"], params["depth"], row.rmse, row.mae, row.mape, row.predictions, row.asked)
 
     with ThreadPoolExecutor(parallelism) as pool:
         rows = list(pool.map(score, combinations))
-    schema = "lags int, trees int, depth int, rmse double, mae double, mape double, predictions bigint"
+    schema = "lags int, trees int, depth int, rmse double, mae double, mape double, predictions bigint, asked bigint"
     return panel.sparkSession.createDataFrame(rows, schema)
 
 
+def tuned_forest(
+    panel: DataFrame,
+    n_test: int = TEST_DAYS,
+    initial: int | float = 0.5,
+    grid: Mapping[str, Sequence] | None = None,
+    parallelism: int = 8,
+) -> DataFrame:
+    """The last ``n_test`` days by the forest that the search before them found best.
+
+    The search backtests all days but the last ones. Its winner (lags, trees and depth) is fitted on all of
+    these days. The parameters stand next to each forecast. The panel should be written or persisted.
+    """
+    before = cut_lineage(split_last_n(panel, n_test).filter("split = 'train'").drop("split"), "before-test")
+    errors = grid_search_rf(before, initial, n_test, grid, parallelism)
+    best = best_by_metric(errors, "rmse", ["lags", "trees", "depth"]).first()
+    found = forecast_rf(panel, n_test, best.lags, best.trees, best.depth)
+    return found.withColumns({name: F.lit(best[name]) for name in ("lags", "trees", "depth")})
+
+
 def quantile_bands(panel: DataFrame, steps: int = TEST_DAYS, samples: int = 100, season: int = SEASON, seed: int = 42) -> DataFrame:
     """Low, median and high forecast per step from resampled errors of the seasonal-naive forecast.
 

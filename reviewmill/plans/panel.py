@@ -218,8 +218,21 @@ def sequences(panel: DataFrame, length: int = 8, train_fraction: float = 0.8, sc
     )
 
 
-def backtest_folds(panel: DataFrame, initial: int, steps: int = TEST_DAYS) -> DataFrame:
-    """Number the days after the first ``initial`` ones by folds of ``steps`` days; earlier days get no fold."""
+def initial_days(n: Column, initial: int | float) -> Column:
+    """Days of a series of ``n`` days that come before the first fold: a number, or a share below 1 of the series."""
+    if isinstance(initial, int):
+        return F.lit(initial)
+    if not 0 < initial < 1:
+        raise ValueError(f"{initial} is neither a whole number nor a share")
+    return F.greatest(F.lit(1), F.floor(n * F.lit(initial)).cast("int"))
+
+
+def backtest_folds(panel: DataFrame, initial: int | float, steps: int = TEST_DAYS) -> DataFrame:
+    """Number the days after the first ``initial`` ones by folds of ``steps`` days; earlier days get no fold.
+
+    With a share in place of a number, every series of two days or more has folds, however short it is.
+    """
     place = F.row_number().over(by_day())
-    fold = F.when(F.col("_place") > initial, F.floor((F.col("_place") - initial - 1) / steps).cast("int"))
-    return panel.withColumn("_place", place).withColumn("fold", fold).drop("_place")
+    first = initial_days(F.count("*").over(Window.partitionBy(SERIES)), initial)
+    fold = F.when(F.col("_place") > F.col("_first"), F.floor((F.col("_place") - F.col("_first") - 1) / steps).cast("int"))
+    return panel.withColumns({"_place": place, "_first": first}).withColumn("fold", fold).drop("_place", "_first")
