@@ -19,7 +19,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from reviewmill.llm import tokens
-from reviewmill.llm.token_files import ENCODE_ROWS
 
 # Pieces that wait to be packed: packing begins at the upper number and stops at the lower one, so that
 # there is something to choose from.
@@ -125,8 +124,7 @@ def _pack(path: str, split, end_id: int | None, limits: Limits, prompts: bool):
             return pa.record_batch(arrays, names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
-            for low in range(0, batch.num_rows, ENCODE_ROWS):
-                part = batch.slice(low, ENCODE_ROWS)
+            for part in tokens.slices(batch, 1):
                 prompt = part.column(2).to_pylist() if prompts else [0] * part.num_rows
                 found = []
                 for doc_id, ids, p in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), prompt, strict=True):

@@ -25,8 +25,7 @@ from reviewmill.session import remove_path, scratch_path
 
 BLOCK_IDS = 1 << 16
 CHECKPOINT_IDS = 256
-# Texts that are encoded together, and ids that are decoded together, at most (one document at least).
-ENCODE_ROWS = 256
+# Ids that are decoded together, at most (one document at least).
 DECODE_IDS = 1 << 20
 
 
@@ -42,8 +41,7 @@ def _tokenize(path: str, split, end_id: int | None):
         end = b"" if end_id is None else np.array([end_id], dtype=encode.dtype).tobytes()
         shard, start = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for low in range(0, batch.num_rows, ENCODE_ROWS):
-                part = batch.slice(low, ENCODE_ROWS)
+            for part in tokens.slices(batch, 1):
                 ids = [x + end for x in encode(part.column(1).to_pylist())]
                 sizes = np.array([len(x) for x in ids]) // encode.dtype.itemsize
                 starts = start + np.cumsum(sizes) - sizes

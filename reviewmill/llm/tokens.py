@@ -5,14 +5,22 @@ from __future__ import annotations
 import array
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # The cache holds two generations of so many parts (about 200 bytes each): when the new one is full the old
 # one goes. Parts longer than this many characters are not kept.
 CACHE_PARTS = 500_000
 CACHE_CHARS = 48
 
+# Texts that are encoded together have about so many bytes, which makes their distinct words few.
+SLICE_BYTES = 1 << 22
+
+# The same as below for all white space of Unicode.
+SPACE_THEN_SPACE = r" (?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|$)"
 _SPACE_THEN_TEXT = re.compile(r" (?=\S)")
 _SPACE_THEN_SPACE = re.compile(r" (?:\s|$)")
 
@@ -42,15 +50,28 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 
 
+def _gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``pool`` one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return pool[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 class Encoder:
-    """Encodes texts as little-endian ids of ``dtype``; strings of special tokens are ordinary text."""
+    """Encodes texts as little-endian ids of ``dtype``.
 
-    def __init__(self, path: str, split=split_before_space):
+    The words of a batch are split and made distinct in Arrow, only distinct ones are looked up or tokenized, and
+    the ids of all words are gathered by one take. Strings of special tokens become these tokens, as in
+    the library; with ``plain_specials`` they are ordinary text.
+    """
+
+    def __init__(self, path: str, split=split_before_space, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        specials = [] if plain_specials else [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = "|".join(re.escape(s) for s in specials)
         self.split = split
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
@@ -80,29 +101,87 @@ class Encoder:
             word = "".join([BYTE_LETTERS[b] for b in word.encode()])
         return [space + word, *tail]
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [self.split(text or "") for text in texts]
+    def _ids_of(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts."""
         if len(self.cache) > CACHE_PARTS:
             self.cache, self.older = {}, self.cache
-        cache, older, found = self.cache, self.older, {}
-        wanted = {part for text in parts for part in text}
-        missing = []
-        for part in wanted.difference(cache):
-            if part in older:
-                cache[part] = older[part]
-            else:
-                missing.append(part)
+        cache, older = self.cache, self.older
+        found = [cache.get(part) for part in parts]
         others = []
-        for part in missing:
-            if (pieces := self._plain(part)) is None:
-                others.append(part)
-            else:
-                cache[part] = self._bytes([token.id for piece in pieces for token in self.model.tokenize(piece)])
-        for part, ids in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            (cache if len(part) <= CACHE_CHARS else found)[part] = self._bytes(ids.ids)
-        if not found:
-            return [b"".join([cache[part] for part in text]) for text in parts]
-        return [b"".join([cache[part] if part in cache else found[part] for part in text]) for text in parts]
+        for i, ids in enumerate(found):
+            if ids is not None:
+                continue
+            part = parts[i]
+            if (ids := older.get(part)) is None:
+                if (pieces := self._plain(part)) is None:
+                    others.append(i)
+                    continue
+                ids = self._bytes([token.id for piece in pieces for token in self.model.tokenize(piece)])
+            found[i] = cache[part] = ids
+        encoded = self.tokenizer.encode_batch_fast([parts[i] for i in others], add_special_tokens=False)
+        for i, ids in zip(others, encoded, strict=True):
+            found[i] = self._bytes(ids.ids)
+            if len(parts[i]) <= CACHE_CHARS:
+                cache[parts[i]] = found[i]
+        return found
+
+    def _parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """All words between spaces, whether a space belongs before each, and the number of words of each text."""
+        if self.split is split_at_space:
+            texts = pc.replace_substring(texts, "\n", " ")
+        lists = pc.split_pattern(texts, " ")
+        counts = np.asarray(lists.value_lengths(), dtype=np.int64)
+        words, led = lists.flatten(), np.zeros(int(counts.sum()), dtype=bool)
+        if self.split is split_before_space:
+            led[:] = True
+            led[np.cumsum(counts) - counts] = False
+        return words, led, counts
+
+    def _whole(self, texts: pa.Array) -> np.ndarray:
+        """Texts that are not simply words between single spaces, or that hold special tokens."""
+        whole = np.zeros(len(texts), dtype=bool)
+        if self.special:
+            whole |= np.asarray(pc.match_substring_regex(texts, self.special).to_numpy(zero_copy_only=False), dtype=bool)
+        return whole
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and the number of ids of each."""
+        column = pa.array([text or "" for text in texts], pa.large_string())
+        whole = self._whole(column)
+        irregular = np.zeros(len(texts), dtype=bool)
+        if self.split is split_before_space:
+            irregular = np.asarray(pc.match_substring_regex(column, SPACE_THEN_SPACE).to_numpy(zero_copy_only=False), dtype=bool) & ~whole
+        simple = ~whole & ~irregular
+        # Whole texts are one part each, irregular ones are split by the pattern; both stand after the simple ones.
+        words, led, counts = self._parts(column.filter(pa.array(simple)))
+        extra = [[texts[i]] if whole[i] else self.split(texts[i]) for i in np.flatnonzero(~simple)]
+        words = pa.chunked_array([words, pa.array([part for parts in extra for part in parts], words.type)]).combine_chunks()
+        led = np.concatenate([led, np.zeros(len(words) - len(led), dtype=bool)])
+        counts = np.concatenate([counts, np.array([len(parts) for parts in extra], dtype=np.int64)])
+        coded = words.dictionary_encode()
+        code = np.asarray(coded.indices).astype(np.int64) * 2 + led
+        used = np.flatnonzero(np.bincount(code, minlength=2 * len(coded.dictionary)))
+        distinct = coded.dictionary.take(pa.array(used >> 1)).to_pylist()
+        found = self._ids_of([" " + part if lead else part for part, lead in zip(distinct, (used & 1).tolist(), strict=True)])
+        width = self.dtype.itemsize
+        sizes = np.array([len(ids) for ids in found], dtype=np.int64) // width
+        pool = np.frombuffer(b"".join(found), dtype=self.dtype)
+        place = np.empty(2 * len(coded.dictionary), dtype=np.int64)
+        place[used] = np.arange(len(used))
+        at = place[code]
+        ids = _gathered(pool, (np.cumsum(sizes) - sizes)[at], sizes[at])
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])[np.cumsum(counts)]
+        n = np.diff(np.concatenate([[0], ends]))
+        if not simple.all():
+            # Back into the order of the texts.
+            order = np.argsort(np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)]))
+            ids, n = _gathered(ids, (np.cumsum(n) - n)[order], n[order]), n[order]
+        return ids, n
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        ids, n = self.encode(texts)
+        data, cuts = ids.tobytes(), [0, *(np.cumsum(n) * self.dtype.itemsize).tolist()]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -114,3 +193,14 @@ def encoder(path: str, split=split_before_space) -> Encoder:
     if key not in _encoders:
         _encoders[key] = Encoder(path, split)
     return _encoders[key]
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have about ``limit`` bytes together (one text at least)."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
+    low = 0
+    while low < batch.num_rows:
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
