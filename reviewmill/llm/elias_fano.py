@@ -97,7 +97,7 @@ class EliasFano:
 class Level:
     """N-grams of a shard: contexts, pointers to their successors, successors, and a code for each n-gram.
 
-    An n-gram is a number whose upper half is its context and whose lower half its last word. Successors are
+    An n-gram is a number whose ``upper`` first bits are its context and whose ``half`` last bits its last word. Successors are
     kept relative to their context: as numbers after the place of the context, which makes them monotone.
     """
 
@@ -105,12 +105,12 @@ class Level:
         self.contexts, self.pointers, self.successors, self.codes, self.half = contexts, pointers, successors, codes, half
 
     @classmethod
-    def build(cls, keys: np.ndarray, codes: np.ndarray, half: int) -> Level:
+    def build(cls, keys: np.ndarray, codes: np.ndarray, half: int, upper: int) -> Level:
         context, first = np.unique(keys >> np.uint64(half), return_index=True)
         place = np.repeat(np.arange(len(context)), np.diff(np.append(first, len(keys)))).astype(np.uint64)
         relative = (place << np.uint64(half)) | (keys & np.uint64((1 << half) - 1))
         return cls(
-            EliasFano.encode(context, half),
+            EliasFano.encode(context, upper),
             EliasFano.encode(np.append(first, len(keys)), max(1, len(keys).bit_length())),
             EliasFano.encode(relative, half + max(1, len(context).bit_length())),
             codes,

@@ -10,9 +10,13 @@ The probability of a word after a context is ``(count + prior * p) / (context co
 probability after the context without its first word; single words have the probability of the base
 score. This is a distribution over the known words and one unknown word.
 
-Every training n-gram is sent with its count, so a level of the trie holds all of them. A chunk asks only for
-n-grams whose count is open: it cannot be above the smaller count of its two parts, so when a chunk itself
-has that many (as for most n-grams with a rare word), it is known without asking.
+A shard tells a chunk which of its n-grams no other chunk has. Nor can another chunk then have a longer one with
+such a part: it stays with its chunk, counted there, and is neither sent nor asked for. All other training n-grams
+are sent with their counts, so a level of the trie holds all that a second chunk could ask for. A chunk asks
+only for n-grams whose count is open: it cannot be above the smaller count of its two parts, so when a
+chunk itself has that many, it is known without asking.
+
+N-grams are told apart by 64 bits in a shard, 40 of the context and 24 of the last word. Counts have 64 bits.
 """
 
 from __future__ import annotations
@@ -32,9 +36,11 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import words
 from reviewmill.llm.elias_fano import EliasFano, Level
-from reviewmill.session import cut_lineage
+from reviewmill.session import cut_lineage, remove_path, scratch_path
 
 END = np.uint64(0x5851F42D4C957F2D)  # hash of the end of a text
+# Bits of the context and of the last word in the key of an n-gram; single words have two halves of 31 bits.
+CONTEXT_BITS, WORD_BITS, SINGLE_BITS = 40, 24, 31
 LOWER_STEP = 4096.0  # steps per unit of a base-10 logarithm in which lower probabilities travel
 
 
@@ -97,11 +103,11 @@ CHUNK = pa.schema(
 )
 CHUNK_SCHEMA = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<long>, words binary, ids binary"
 SENT_SCHEMA = "shard int, chunk long, keys binary, counts binary, asked binary, context binary, lower binary"
-ANSWER_SCHEMA = "chunk long, level int, shard int, counts binary, codes binary, book binary, n long, v long"
+ANSWER_SCHEMA = "chunk long, level int, shard int, counts binary, codes binary, book binary, alone binary, n long, v long"
 ANSWER = pa.schema(
     [(n, t) for n, t in zip(
-        ["chunk", "level", "shard", "counts", "codes", "book", "n", "v"],
-        [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()],
+        ["chunk", "level", "shard", "counts", "codes", "book", "alone", "n", "v"],
+        [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()],
         strict=True,
     )]
 )
@@ -112,6 +118,14 @@ def _packed(values: np.ndarray, dtype: str) -> bytes:
     return zlib.compress(values.astype(dtype).view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
 
 
+def _packed_bits(values: np.ndarray) -> bytes:
+    return zlib.compress(np.packbits(values).tobytes(), 1)
+
+
+def _unpacked_bits(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(zlib.decompress(data), np.uint8), count=n).astype(bool)
+
+
 def _unpacked(data: bytes, dtype: str) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(width, -1)
@@ -126,6 +140,7 @@ class Grams:
     hashes: np.ndarray
     counts: np.ndarray  # in all training texts, once known
     probability: np.ndarray
+    alone: np.ndarray  # in no other chunk
 
 
 class Chunk:
@@ -156,23 +171,32 @@ class Chunk:
             yield {
                 "shard": int(shard[part[0]]),
                 "keys": EliasFano.encode(keys[part], bits).to_bytes(),
-                "counts": _packed(local[part], "<u4"),
-                "asked": zlib.compress(np.packbits(asked[part]).tobytes(), 1),
-                "context": None if context is None or not len(open_) else _packed(context[open_], "<u4"),
+                "counts": _packed(local[part], "<u8"),
+                "asked": _packed_bits(asked[part]),
+                "context": None if context is None or not len(open_) else _packed(context[open_], "<u8"),
                 "lower": None if lower is None or not len(open_) else _packed(lower[open_], "<u2"),
             }
 
+    def _alone(self, level: int, shard: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """Which of the n-grams that were sent no other chunk has."""
+        found = np.zeros(len(order), dtype=bool)
+        sizes = np.bincount(shard, minlength=self.shards)
+        parts = [_unpacked_bits(a["alone"], int(sizes[a["shard"]])) for a in self.answers.get(level, [])]
+        if parts:
+            found[order] = np.concatenate(parts)
+        return found
+
     def level(self, level: int, send: bool = False) -> Iterator[dict]:
         """What the chunk sends at a level whose lower levels are answered; otherwise ``grams`` is filled in from the answers."""
         if level == 1:
-            keys, local = self.vocabulary >> np.uint64(2), np.bincount(self.ids[self.train], minlength=len(self.vocabulary))
+            keys, local = self.vocabulary >> np.uint64(64 - 2 * SINGLE_BITS), np.bincount(self.ids[self.train], minlength=len(self.vocabulary))
             shard, order = self._order(keys, self.vocabulary)
             if send:
-                yield from self._sent(keys, shard, order, 62, local, np.ones(len(keys), dtype=bool))
+                yield from self._sent(keys, shard, order, 2 * SINGLE_BITS, local, np.ones(len(keys), dtype=bool))
                 return
             counts = np.zeros(len(keys), dtype=np.int64)
-            counts[order] = np.concatenate([_unpacked(a["counts"], "<u4") for a in self.answers[1]])
-            self.grams[1] = Grams(self.ids, self.vocabulary, counts, (counts + 0.1) / (self.n + 0.1 * (self.v + 1)))
+            counts[order] = np.concatenate([_unpacked(a["counts"], "<u8") for a in self.answers[1]])
+            self.grams[1] = Grams(self.ids, self.vocabulary, counts, (counts + 0.1) / (self.n + 0.1 * (self.v + 1)), self._alone(1, shard, order))
             return
         shorter, prior = self.grams[level - 1], self.settings.prior
         size = len(self.vocabulary)
@@ -185,25 +209,33 @@ class Chunk:
         bound = np.minimum(shorter.counts[context], shorter.counts[rest])
         lower, above = shorter.probability[rest], shorter.counts[context]
         hashes = words.mix(shorter.hashes[context] * np.uint64(0x9E3779B97F4A7C15) + word)
-        # Another chunk may ask for what is known here, so all training n-grams go along.
-        open_ = np.flatnonzero((local > 0) | (local < bound) if send else local < bound)
-        keys = ((words.seeded(shorter.hashes[context[open_]], 8) >> np.uint64(40)) << np.uint64(24)) | (words.seeded(word[open_], 9) >> np.uint64(40))
-        shard, order = self._order(keys, hashes[open_])
+        # What no other chunk has is counted here. Of the rest another chunk may ask for what is known
+        # here, so all training n-grams go along.
+        alone, asked = shorter.alone[context] | shorter.alone[rest], local < bound
+        sent = np.flatnonzero(~alone & ((local > 0) | asked))
+        asked = asked[sent]
+        context_part = words.seeded(shorter.hashes[context[sent]], 8) >> np.uint64(64 - CONTEXT_BITS)
+        keys = (context_part << np.uint64(WORD_BITS)) | (words.seeded(word[sent], 9) >> np.uint64(64 - WORD_BITS))
+        shard, order = self._order(keys, hashes[sent])
         if send:
-            travelling = np.minimum(np.round(-np.log10(lower[open_]) * LOWER_STEP), 65535)
-            yield from self._sent(keys, shard, order, 48, local[open_], (local < bound)[open_], above[open_], travelling)
+            travelling = np.minimum(np.round(-np.log10(lower[sent]) * LOWER_STEP), 65535)
+            yield from self._sent(keys, shard, order, CONTEXT_BITS + WORD_BITS, local[sent], asked, above[sent], travelling)
             return
         counts = local.astype(np.int64)
         probability = (counts + prior * lower) / (above + prior)
-        if len(open_):
-            found = np.concatenate([_unpacked(a["counts"], "<u4") for a in self.answers[level]]).astype(np.int64)
-            coded = np.concatenate([np.frombuffer(a["book"], "<f4")[np.frombuffer(zlib.decompress(a["codes"]), np.uint8)] for a in self.answers[level]])
-            counts[open_[order]] = found
-            smoothed = prior * lower[open_[order]] / (above[open_[order]] + prior)
-            probability[open_[order]] = np.where(found > 0, 10.0 ** coded.astype(np.float64), smoothed)
+        if asked.any():
+            answers = [a for a in self.answers[level] if a["counts"] is not None]
+            found = np.concatenate([_unpacked(a["counts"], "<u8") for a in answers]).astype(np.int64)
+            coded = np.concatenate([np.frombuffer(a["book"], "<f4")[np.frombuffer(zlib.decompress(a["codes"]), np.uint8)] for a in answers])
+            at = sent[order][asked[order]]
+            counts[at] = found
+            smoothed = prior * lower[at] / (above[at] + prior)
+            probability[at] = np.where(found > 0, 10.0 ** coded.astype(np.float64), smoothed)
+        if level < self.settings.order:
+            alone[sent] = self._alone(level, shard, order)
         at = np.full(len(self.ids), -1, dtype=np.int64)
         at[start] = inverse
-        self.grams[level] = Grams(at, hashes, counts, probability)
+        self.grams[level] = Grams(at, hashes, counts, probability, alone)
 
     def fill(self, level: int) -> None:
         for done in range(1, level + 1):
@@ -267,44 +299,50 @@ def _quantised(log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _answer(level: int, settings: Settings):
-    half = 31 if level == 1 else 24
+    half, upper = (SINGLE_BITS, SINGLE_BITS) if level == 1 else (WORD_BITS, CONTEXT_BITS)
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         keys = [EliasFano.from_buffer(np.frombuffer(r["keys"], dtype=np.uint8)).decode() for r in rows]
         every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate([_unpacked(r["counts"], "<u4") for r in rows]), minlength=len(every)).astype(np.int64)
+        total = np.zeros(len(every), dtype=np.int64)
+        np.add.at(total, inverse, np.concatenate([_unpacked(r["counts"], "<u8") for r in rows]).astype(np.int64))
         seen = total > 0
+        # A chunk sends an n-gram once.
+        alone = np.bincount(inverse, minlength=len(every)) == 1
         places = np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
-        asked = [p[np.unpackbits(np.frombuffer(zlib.decompress(r["asked"]), np.uint8), count=len(p)).astype(bool)] for r, p in zip(rows, places, strict=True)]
+        asked = [p[_unpacked_bits(r["asked"], len(p))] for r, p in zip(rows, places, strict=True)]
         codes, book = np.zeros(0, dtype=np.uint8), None
         if level > 1:
             context, lower, wanted = np.zeros(len(every)), np.ones(len(every)), np.zeros(len(every), dtype=bool)
             for row, part in zip(rows, asked, strict=True):
                 if len(part):
                     wanted[part] = True
-                    context[part] = _unpacked(row["context"], "<u4")
+                    context[part] = _unpacked(row["context"], "<u8")
                     lower[part] = 10.0 ** (_unpacked(row["lower"], "<u2") / -LOWER_STEP)
             # What nobody asks for has its count in the trie, but no code that is read.
             codes = np.zeros(len(every), dtype=np.uint8)
             log = np.log10((total + settings.prior * lower) / (context + settings.prior))
             codes[seen & wanted], book = _quantised(log[seen & wanted])
             codes = codes[seen]
-        trie, total = Level.from_buffer(_mapped(Level.build(every[seen], codes, half).to_bytes())), total[seen]
+        trie, total = Level.from_buffer(_mapped(Level.build(every[seen], codes, half, upper).to_bytes())), total[seen]
         # Each n-gram is looked up once, whoever asked for it.
         place = trie.find(every)
         counts = np.where(place >= 0, np.append(total, 0)[place], 0)
         codes = np.where(place >= 0, np.append(trie.codes, np.uint8(0))[place], 0).astype(np.uint8) if level > 1 else None
         out = []
-        for row, part in zip(rows, asked, strict=True):
-            if not len(part):
-                continue
-            out.append({
-                "chunk": row["chunk"], "level": level, "shard": row["shard"], "counts": _packed(counts[part], "<u4"),
-                "codes": None if book is None else zlib.compress(codes[part].tobytes(), 1),
-                "book": None if book is None else book.tobytes(), "n": None, "v": None,
-            })
-        out.append({"chunk": None, "level": level, "shard": rows[0]["shard"], "counts": None, "codes": None, "book": None, "n": int(total.sum()), "v": len(total)})
+        for row, sent, part in zip(rows, places, asked, strict=True):
+            answer = {"chunk": row["chunk"], "level": level, "shard": row["shard"], "counts": None, "codes": None, "book": None, "alone": None, "n": None, "v": None}
+            if len(part):
+                answer["counts"] = _packed(counts[part], "<u8")
+                if book is not None:
+                    answer |= {"codes": zlib.compress(codes[part].tobytes(), 1), "book": book.tobytes()}
+            if level < settings.order:
+                answer["alone"] = _packed_bits(alone[sent])
+            if len(part) or level < settings.order:
+                out.append(answer)
+        nothing = dict.fromkeys(("chunk", "counts", "codes", "book", "alone"))
+        out.append(nothing | {"level": level, "shard": rows[0]["shard"], "n": int(total.sum()), "v": len(total)})
         return pa.Table.from_pylist(out, schema=ANSWER)
 
     return run
@@ -337,7 +375,9 @@ def score_corpus(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     # Bucketed by chunk, so that answers are brought to the chunks and not chunks to the answers.
     name = f"language_model_chunks_{uuid.uuid4().hex}"
     written = rows.mapInArrow(_chunks(settings), CHUNK_SCHEMA).write.option("compression", "zstd")
-    written.bucketBy(buckets, "chunk").saveAsTable(name)
+    # A table by name, as only those are bucketed; its files lie in the shared folder.
+    path = scratch_path(spark, "chunks")
+    written.option("path", path).bucketBy(buckets, "chunk").saveAsTable(name)
     try:
         chunks = spark.table(name)
         tokens = chunks.agg(F.sum(F.length("ids"))).first()[0] or 0
@@ -347,7 +387,7 @@ def score_corpus(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         def answered() -> DataFrame:
             if answers is None:
                 return chunks
-            return chunks.join(answers.groupBy("chunk").agg(F.collect_list(F.struct("level", "shard", "counts", "codes", "book")).alias("answers")), "chunk", "left")
+            return chunks.join(answers.groupBy("chunk").agg(F.collect_list(F.struct("level", "shard", "counts", "codes", "book", "alone")).alias("answers")), "chunk", "left")
 
         for level in range(1, settings.order + 1):
             sent = answered().mapInArrow(_send(level, settings, shards, total), SENT_SCHEMA)
@@ -360,4 +400,5 @@ def score_corpus(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         scores = cut_lineage(answered().mapInArrow(_score(settings, shards, total), schema), "scores")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_path(spark, path)
     return scores.withColumn("train_tokens", F.lit(total[0]).cast("long"))
