@@ -79,14 +79,13 @@ def _ngrams(column: pa.Array, slots: int) -> Iterator[tuple[int, int, np.ndarray
 
 def _counts(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, settings.slots), dtype=np.int32)
+        every, target = words.Tally(settings.slots), words.Tally(settings.slots)
         for batch in batches:
             good = batch.column(1).to_numpy(zero_copy_only=False)
             for begin, n, slot, row in _ngrams(batch.column(0), settings.slots):
-                total[0] += np.bincount(slot.ravel(), minlength=settings.slots).astype(np.int32)
-                chosen = slot[:, good[begin : begin + n][row]].ravel()
-                if len(chosen):
-                    total[1] += np.bincount(chosen, minlength=settings.slots).astype(np.int32)
+                every.add(slot.ravel())
+                target.add(slot[:, good[begin : begin + n][row]].ravel())
+        total = every.counts(), target.counts()
         used = np.flatnonzero(total[0])
         for low in range(0, len(used), 1 << 16):
             part = used[low : low + (1 << 16)]

@@ -138,6 +138,26 @@ def counted(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return unique & np.uint64((1 << 48) - 1), (unique >> np.uint64(48)).astype(np.int64), counts
 
 
+class Tally:
+    """How often each of ``slots`` numbers comes. Numbers are held back until there are as many as slots, so a small
+    slice does not cost a pass over all slots."""
+
+    def __init__(self, slots: int):
+        self.total, self.held, self.n = np.zeros(slots, dtype=np.int32), [], 0
+
+    def add(self, found: np.ndarray) -> None:
+        self.held.append(found.astype(np.int32))
+        self.n += len(found)
+        if self.n >= len(self.total):
+            self.counts()
+
+    def counts(self) -> np.ndarray:
+        if self.held:
+            self.total += np.bincount(np.concatenate(self.held), minlength=len(self.total)).astype(np.int32)
+        self.held, self.n = [], 0
+        return self.total
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """``(first row, rows, shingle, row in slice, count)`` for slices of a text column."""
     for begin, data, offsets in slices(column.slice(0)):
