@@ -58,6 +58,26 @@ def _node(parent: bytes, role: str, text: str) -> bytes:
     return hashlib.blake2b(part, key=parent, digest_size=12).digest()
 
 
+@dataclass(frozen=True)
+class Step:
+    """A node on the path of the last conversation, with what its followers need to know of it and its ancestors."""
+
+    key: bytes
+    node: int
+    position: int  # of what comes after it
+    intervals: tuple[tuple[int, int], ...]  # its own and its ancestors', those that touch as one
+
+
+ROOT = Step(b"", -1, 0, ())
+
+
+def _followed(step: Step, key: bytes, node: int, start: int, length: int) -> Step:
+    """The next node of a path. Only the last interval changes, so a path costs as much as it has places to jump."""
+    *before, last = step.intervals or ((start, start),)
+    grown = (*before, (last[0], start + length)) if last[1] == start else (*before, last, (start, start + length))
+    return Step(key, node, step.position + length, grown)
+
+
 @dataclass
 class Block:
     """The text of a block under construction, its nodes and its conversations."""
@@ -65,7 +85,7 @@ class Block:
     text: list[str] = field(default_factory=list)
     length: int = 0
     nodes: list[dict] = field(default_factory=list)
-    path: list[tuple[bytes, int]] = field(default_factory=list)  # nodes of the last conversation
+    path: list[Step] = field(default_factory=list)  # nodes of the last conversation
     conversations: list[dict] = field(default_factory=list)
 
 
@@ -118,30 +138,29 @@ def _build(block_chars: int, encode: Callable[[str], list[int]] | None):
             for row in batch.to_pylist():
                 turns, path = [(t["role"], t["text"]) for t in row["turns"]], row["path"]
                 shared = 0
-                while shared < min(len(path), len(block.path)) and path[shared] == block.path[shared][0]:
+                while shared < min(len(path), len(block.path)) and path[shared] == block.path[shared].key:
                     shared += 1
                 kept = block.path[:shared]
                 for place in range(shared, len(path)):
                     role, text = turns[place]
-                    before = [block.nodes[n] for _, n in kept]
-                    start = block.length
-                    head, tail = f"{BEGIN}{escape(role)}{BODY}", f"{escape(text)}{END}"
-                    block.text += [head, tail]
-                    first, second = size(head), size(tail)
-                    block.length += first + second
-                    loss = role in LOSS_ROLES
+                    before, start = kept[-1] if kept else ROOT, block.length
+                    parts = [f"{BEGIN}{escape(role)}{BODY}", escape(text), END]
+                    block.text += parts
+                    first, second, third = (size(part) for part in parts)
+                    length, loss = first + second + third, role in LOSS_ROLES
+                    block.length += length
                     node = {
                         "start": start,
-                        "length": first + second,
-                        "position": sum(n["length"] for n in before),
+                        "length": length,
+                        "position": before.position,
                         "loss_start": start + first if loss else None,
                         "loss_length": second if loss else None,
-                        "attend": [{"start": n["start"], "end": n["start"] + n["length"]} for n in before],
+                        "attend": [{"start": a, "end": b} for a, b in before.intervals],
                     }
                     block.nodes.append(node)
-                    kept = [*kept, (path[place], len(block.nodes) - 1)]
+                    kept.append(_followed(before, path[place], len(block.nodes) - 1, start, length))
                 block.path = kept
-                block.conversations.append({"conv_id": row["conv_id"], "nodes": [n for _, n in kept]})
+                block.conversations.append({"conv_id": row["conv_id"], "nodes": [step.node for step in kept]})
                 if block.length >= block_chars or len(block.conversations) >= block_chars:
                     yield closed()
                     number, block, tokens = number + 1, Block(), []
@@ -166,17 +185,19 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def prefix_blocks(turns: DataFrame, block_chars: int = BLOCK_CHARS, encode: Callable[[str], list[int]] | None = None) -> DataFrame:
     """Blocks of formatted conversations from ``turns(conv_id, turn, role, text)``.
 
-    Turns are ordered by ``turn``, equal ones by role and text; null roles and texts are empty. Rows without a
-    ``conv_id`` make one conversation together. Each block has its ``text`` (and ``tokens`` with ``encode``),
-    ``nodes`` (start, length, first position id, loss interval, intervals of the ancestors it
-    may attend to besides itself) and ``conversations`` (the nodes of each). Conversations with
-    equal turns share all nodes. One conversation has to fit into a task.
+    Turns are ordered by ``turn``, equal ones by role and text; null roles and texts are empty. A row without a
+    ``conv_id`` is a conversation by itself, so many of them meet nowhere. Each block has its ``text`` (and
+    ``tokens`` with ``encode``), ``nodes`` (start, length, first position id, interval of the text under the loss,
+    without the end mark, intervals of the ancestors it may attend to besides itself, those that touch as one) and
+    ``conversations`` (the nodes of each). Conversations with equal turns share all nodes. Work and size are in
+    proportion to the turns, also of a very long conversation, which is one row of the result.
     """
     text = [F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]
     listed = F.transform(
         F.array_sort(F.collect_list(F.struct("turn", *text))), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))
     )
-    conversations = turns.groupBy("conv_id").agg(listed.alias("turns"))
+    single = turns.filter("conv_id IS NULL").select("conv_id", F.array(F.struct(*text)).alias("turns"))
+    conversations = turns.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(listed.alias("turns")).union(single)
     schema = "conv_id long, turns array<struct<role: string, text: string>>, path array<binary>"
     pathed = conversations.mapInArrow(_paths, schema)
     # The id comes last, so that very many equal conversations need not meet in one task.
@@ -193,7 +214,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids.append(conversation["conv_id"])
                 formatted.append("".join(block["text"][n["start"] : n["start"] + n["length"]] for n in nodes))
                 masked = (block["text"][n["loss_start"] : n["loss_start"] + n["loss_length"]] for n in nodes if n["loss_start"] is not None)
-                loss.append([unescape(m.removesuffix(END)) for m in masked])
+                loss.append([unescape(m) for m in masked])
             turns = [[{"role": r, "text": t} for r, t in parsed(f)] for f in formatted]
             columns = [
                 pa.array(ids, pa.int64()),
@@ -208,7 +229,7 @@ def read_blocks(blocks: DataFrame) -> DataFrame:
     """Every conversation read back from blocks whose intervals count code points.
 
     ``formatted`` is its text along the path in the tree, ``turns`` are parsed from it, and ``loss`` has the
-    texts under the loss mask, unescaped (the end mark, which bears loss, too, is left out).
+    texts under the loss mask, unescaped.
     """
     schema = "conv_id long, formatted string, turns array<struct<role: string, text: string>>, loss array<string>"
     return blocks.select("text", "nodes", "conversations").mapInArrow(_read, schema)

@@ -73,15 +73,15 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
 rendered AS (
-  SELECT *, length('<|turn|>' || '<|text|>' || '<|end|>'
+  SELECT *, row_number() OVER () AS row_id, length('<|turn|>' || '<|text|>' || '<|end|>'
     || replace(replace(role, '\', '\\'), '<|', '<\|') || replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars
   FROM turns),
 joined AS (
-  SELECT conv_id, count(*) AS n_turns,
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_id END AS single, count(*) AS n_turns,
          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
          coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
          CAST(sum(chars) AS BIGINT) AS formatted_chars
-  FROM rendered GROUP BY conv_id)
+  FROM rendered GROUP BY conv_id, single)
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
 FROM joined"""
 
