@@ -8,17 +8,25 @@ from __future__ import annotations
 
 import numpy as np
 
+# Longest code of up to 65,536 symbols; more symbols have one bit more than they need at least.
 MAX_LENGTH = 16
+# The decoder reads a code from 32 bits that begin at a whole byte.
+WIDEST = 25
 
 
-def code_lengths(counts: np.ndarray, limit: int = MAX_LENGTH) -> np.ndarray:
+def length_limit(n: int) -> int:
+    return MAX_LENGTH if n <= 1 << MAX_LENGTH else (n - 1).bit_length() + 1
+
+
+def code_lengths(counts: np.ndarray, limit: int | None = None) -> np.ndarray:
     """Bits per symbol by package merging: the shortest code in which no length is above ``limit``."""
     used = np.flatnonzero(counts)
     lengths = np.zeros(len(counts), dtype=np.uint8)
     n = len(used)
     if n == 0:
         return lengths
-    if n > 1 << limit:
+    limit = limit or length_limit(n)
+    if n > 1 << limit or limit > WIDEST:
         raise ValueError(f"{n} symbols do not fit codes of {limit} bits")
     if n == 1:
         lengths[used] = 1
@@ -51,15 +59,15 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decoding_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every run of ``MAX_LENGTH`` bits the id it begins with and the length of its code."""
-    codes = canonical_codes(lengths)
-    ids, bits = np.zeros(1 << MAX_LENGTH, dtype=np.uint32), np.ones(1 << MAX_LENGTH, dtype=np.int64)
+def decoding_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """For every run of as many bits as the longest code the id it begins with and the length of its code, and that length."""
+    codes, width = canonical_codes(lengths), int(lengths.max(initial=1))
+    ids, bits = np.zeros(1 << width, dtype=np.uint32), np.ones(1 << width, dtype=np.int64)
     for symbol in np.flatnonzero(lengths):
-        free = MAX_LENGTH - int(lengths[symbol])
+        free = width - int(lengths[symbol])
         low = int(codes[symbol]) << free
         ids[low : low + (1 << free)], bits[low : low + (1 << free)] = symbol, lengths[symbol]
-    return ids, bits
+    return ids, bits, width
 
 
 def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, every: int) -> tuple[bytes, np.ndarray]:
@@ -78,12 +86,13 @@ def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, every: int)
 
 
 def decode(
-    payloads: list[bytes], counts: list[int], checkpoints: list[np.ndarray], table: tuple[np.ndarray, np.ndarray], every: int
+    payloads: list[bytes], counts: list[int], checkpoints: list[np.ndarray], table: tuple[np.ndarray, np.ndarray, int], every: int
 ) -> list[np.ndarray]:
     """The ids of several blocks, all their stretches side by side."""
-    ids, bits = table
-    data = np.frombuffer(b"".join(payloads) + b"\0" * 4, dtype=np.uint8).astype(np.uint32)
-    window = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
+    ids, bits, width = table
+    data = np.frombuffer(b"".join(payloads) + b"\0" * 5, dtype=np.uint8).astype(np.uint32)
+    window = (data[:-3] << np.uint32(24)) | (data[1:-2] << np.uint32(16)) | (data[2:-1] << np.uint32(8)) | data[3:]
+    mask = np.uint32((1 << width) - 1)
     begins = np.cumsum([0, *map(len, payloads)])[:-1] * 8
     at = np.concatenate([np.asarray(c, dtype=np.int64) + b for c, b in zip(checkpoints, begins, strict=True)])
     left = np.concatenate([np.minimum(every, n - np.arange(len(c)) * every) for c, n in zip(checkpoints, counts, strict=True)])
@@ -91,7 +100,7 @@ def decode(
     last = len(window) - 1
     for step in range(int(left.max(initial=0))):
         np.minimum(at, last * 8, out=at)  # a stretch that has ended reads on without effect
-        code = (window[at >> 3] >> (8 - (at & 7)).astype(np.uint32)) & np.uint32(0xFFFF)
+        code = (window[at >> 3] >> (32 - width - (at & 7)).astype(np.uint32)) & mask
         out[:, step] = ids[code]
         at += bits[code]
     flat = out[np.arange(every) < left[:, None]]
