@@ -35,7 +35,6 @@ def whole(path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -64,6 +63,120 @@ def test_license_sentences_and_rules(spark):
     assert all(any(a in s for a in licenses.ANCHORS) for s in licenses.SENTENCES)
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+GNU = """ * {what} is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU {name} as published by
+ * the Free Software Foundation{sign} either version {version} of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU {name} for more details.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty.  In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+GPL, LGPL, AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+NOTICES = {
+    "MIT": MIT_FILE,
+    "Apache-2.0": APACHE,
+    "GPL-3.0-or-later": GNU.format(what="This program", name=GPL, sign=",", version="3"),
+    "GPL-2.0-or-later": GNU.format(what="This program", name=GPL, sign=";", version="2"),
+    "LGPL-3.0-or-later": GNU.format(what="This program", name=LGPL, sign=",", version="3"),
+    "LGPL-2.1-or-later": GNU.format(what="This library", name=LGPL, sign=";", version="2.1"),
+    "AGPL-3.0-or-later": GNU.format(what="This program", name=AGPL, sign=",", version="3"),
+    "MPL-2.0": MPL,
+    "BSD-2-Clause": BSD,
+    "BSD-3-Clause": BSD + ENDORSE,
+    "ISC": ISC,
+    "0BSD": ISC.replace(", provided that the above\ncopyright notice and this permission notice appear in all copies", ""),
+    "Zlib": ZLIB,
+    "BSL-1.0": "// Distributed under the Boost Software License, Version 1.0.\n// (See accompanying file LICENSE_1_0.txt)",
+    "Artistic-2.0": "This is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0.",
+    "CC0-1.0": "SPDX-License-Identifier: CC0-1.0",
+    "Apache-2.0 OR MIT": "// SPDX-License-Identifier: (Apache-2.0 OR MIT)\nfn main() {}",
+    "GPL-2.0-or-later WITH Classpath-exception-2.0": "/* SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 */",
+    "EPL-2.0": "SPDX-License-Identifier: EPL-2.0\nCopyright 2020 A. Person. All rights reserved.",
+}
+
+
+def test_verbatim_notices_give_their_license(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, f"Some words before.\n\n{notice}\nint x;") for i, notice in enumerate(NOTICES.values())]
+    rows += [(100, "Er kam mit. MIT. ISC."), (101, "SPDX-License-Identifier: Something-1.0"), (102, " ".join(["Permission?"] * 40_000)), (103, rows[0][1])]
+    frame = documents(spark, rows)
+    found = {r.doc_id: r for r in licenses.recognize(frame).collect()}
+    assert {name: found[i].license for i, name in enumerate(NOTICES)} == {name: name for name in NOTICES}
+    assert (found[100].license, found[101].license, found[102].license, found[103].license) == (None, "unknown", None, "MIT")
+    frame.write.parquet(str(tmp_path / "docs"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/docs/*.parquet')")
+    assert sorted(con.sql(licenses.recognize_sql()).fetchall()) == sorted((r.doc_id, r.by_text, r.by_line, r.license) for r in found.values())
+
+
 # 2
 
 
@@ -108,6 +221,25 @@ def test_vectors_with_large_and_small_groups(spark):
     assert embedding_dup.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_pairs_in_a_dense_label(spark):
+    """Vectors that all point one way, with pairs among them: more vectors than any window holds."""
+    draw, size = np.random.default_rng(8), 32
+    crowd = np.sqrt(0.85) * np.eye(size)[0] + np.sqrt(0.15 / size) * draw.standard_normal((4000, size))
+    twins = crowd[:200] + 0.02 * draw.standard_normal((200, size))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([crowd, twins]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    settings = embedding_dup.Settings(threshold=0.985, window=32, block=128)
+    found = {r.vec_id: r for r in embedding_dup.near_vectors(frame, settings).collect()}
+    units = np.array([r[1] for r in rows])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    near = units @ units.T >= 0.985
+    np.fill_diagonal(near, False)
+    assert near[:200, 4000:].diagonal().all()
+    links = near.sum(axis=1)
+    assert sum(found[i].n_links == links[i] for i in range(len(rows))) >= 0.99 * len(rows)
+    assert sum(found[4000 + i].component_id == found[i].component_id for i in range(200)) >= 198
+
+
 # 3
 
 
@@ -140,10 +272,14 @@ def test_conversations_come_back_and_share_their_turns(spark):
     rows += [(52, 0, "assistant", "b"), (52, 0, "assistant", "a"), (53, 0, "user", "long " * 50_000)]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn int, role string, text string, path int").repartition(4)
     blocks = chat.prefix_blocks(frame)
-    found = {r.conv_id: r for r in chat.read_blocks(blocks).collect()}
+    every = chat.read_blocks(blocks).collect()
+    # Rows without an id are conversations of one turn.
+    assert sorted([(t["role"], t["text"]) for t in r.turns] for r in every if r.conv_id is None) == [[("assistant", "y")], [("user", "x")]]
+    found = {r.conv_id: r for r in every if r.conv_id is not None}
     expected = {}
-    for c, t, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+    for c, t, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
         expected.setdefault(c, []).append((role or "", text or ""))
+    assert len(every) == len(expected) + 2
     assert {c: [(t["role"], t["text"]) for t in r.turns] for c, r in found.items()} == expected
     for c, turns in expected.items():
         assert found[c].loss == [t for role, t in turns if role == "assistant"]
@@ -157,12 +293,26 @@ def test_conversations_come_back_and_share_their_turns(spark):
             nodes = [block.nodes[n] for n in conversation.nodes]
             for depth, node in enumerate(nodes):
                 assert node.position == sum(n.length for n in nodes[:depth])
-                assert [(a.start, a.end) for a in node.attend] == [(n.start, n.start + n.length) for n in nodes[:depth]]
+                ancestors = [i for n in nodes[:depth] for i in range(n.start, n.start + n.length)]
+                assert [i for a in node.attend for i in range(a.start, a.end)] == ancestors
+                assert all(a.end < b.start for a, b in zip(node.attend, node.attend[1:]))
+                if node.loss_start is not None:
+                    masked = block.text[node.loss_start : node.loss_start + node.loss_length]
+                    assert block.text[node.start : node.start + node.length].endswith(masked + chat.END)
     small = chat.prefix_blocks(frame, block_chars=200)
-    assert small.count() > blocks.count() and chat.read_blocks(small).count() == len(expected)
+    assert small.count() > blocks.count() and chat.read_blocks(small).count() == len(every)
     assert chat.read_blocks(chat.prefix_blocks(frame.limit(0))).count() == 0
 
 
+def test_very_long_conversations_and_many_rows_without_an_id(spark):
+    turns = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, null, if(id % 3 = 1, 1L, 2L)) AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role",
+        "if(id < 30000, 'shared', concat('text ', id)) AS text",
+    )
+    sizes = sorted((r.conv_id or 0, len(r.turns)) for r in chat.read_blocks(chat.prefix_blocks(turns)).collect())
+    assert sizes == [(0, 1)] * 20_000 + [(1, 20_000), (2, 20_000)]
+
+
 def test_chat_tokens(spark):
     frame = spark.createDataFrame([(1, 0, "user", "hello"), (1, 1, "assistant", "there"), (2, 0, "user", "hello")], "conv_id long, turn int, role string, text string")
     (block,) = chat.prefix_blocks(frame.coalesce(1), encode=lambda text: [ord(c) for c in text]).collect()

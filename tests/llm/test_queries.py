@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -9,13 +10,14 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edge import edited, prose
 from test_operators import checked_pieces, whole
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from reviewmill.llm import packing, pseudonyms
+from reviewmill.llm import packing, pseudonyms, quality
 from reviewmill.llm import queries as llm_queries
 
 QUERIES = llm_queries.QUERIES
@@ -178,3 +180,47 @@ def test_op11_shards(spark, sf_dir):
     assert len(loads) == 8 and loads.max() - loads.min() < 0.01 * loads.mean()
     for _, part in found.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
+
+
+def test_op5_weights_and_places(spark, sf_dir):
+    """Models counted text by text, weights summed in plain Python, and the sample as the head of a sorted list."""
+    settings = quality.Settings()
+    found = QUERIES["op5_quality"](spark, sf_dir).toPandas().set_index("doc_id")
+    docs, labels = read(sf_dir, "documents"), read(sf_dir, "labels")
+    good = set(labels[(labels.quality == 1) & (labels.toxic.fillna(0) != 1)].doc_id)
+    grams = {}
+    for doc_id, text in zip(docs.doc_id, docs.text):
+        grams[doc_id] = [tuple(pair) for _, _, slot, _ in quality._ngrams(pa.array([text]), settings.slots) for pair in slot.T.tolist()]
+    every, target = Counter(), Counter()
+    for doc_id, pairs in grams.items():
+        every.update(s for pair in pairs for s in pair)
+        if doc_id in good:
+            target.update(s for pair in pairs for s in pair)
+    # The rate at which half of all n-grams, by count, have a smaller share of target texts.
+    shares, half, upto = sorted((target[s] / n, n) for s, n in every.items()), sum(every.values()) / 2, 0
+    for rate, n in shares:
+        upto += n
+        if upto >= half:
+            break
+
+    def ratio(slot):
+        n, t = every[slot], target[slot]
+        expected, spread = n * rate, settings.deviations * math.sqrt(t + 1)
+        if t < expected:
+            value = min(math.log((t + spread) / expected), 0)
+        else:
+            value = max(math.log(max(t - spread, 1e-12) / expected), 0)
+        return 0.0 if abs(value) < math.log(settings.least_ratio) else value
+
+    weights = {}
+    for doc_id, pairs in grams.items():
+        total = 0.0
+        for pair in pairs:
+            a, b = ratio(pair[0]), ratio(pair[1])
+            if a * b > 0:
+                total += a if abs(a) < abs(b) else b
+        weights[doc_id] = min(total, 0.0)
+    assert found.log_weight.to_dict() == pytest.approx(weights, rel=1e-4, abs=1e-4)
+    k = round(sum(math.exp(w) for w in found.log_weight))
+    last = sorted(found.sampling_key, reverse=True)[k - 1]
+    assert ((found.sampling_key >= last) == found.kept).all()

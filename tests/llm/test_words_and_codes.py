@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from reviewmill.llm import chat, huffman, tokens, words
+from reviewmill.llm import chat, huffman, language_model, tokens, words
 from reviewmill.llm.elias_fano import EliasFano, Level
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="abAB09 .,\n\té中", max_size=40)), max_size=12)
@@ -73,7 +73,17 @@ def test_huffman_lengths_are_the_best_within_the_limit():
     # Without a limit in reach it is Huffman's code: 1, 2, 3, ... bits.
     assert sorted(huffman.code_lengths(np.array(fibonacci[:10]))) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 9]
     with pytest.raises(ValueError):
-        huffman.code_lengths(np.ones((1 << 16) + 1, dtype=np.int64))
+        huffman.code_lengths(np.ones((1 << 16) + 1, dtype=np.int64), 16)
+
+
+def test_more_ids_than_16_bits_tell_apart():
+    ids = np.random.default_rng(4).integers(0, 200_000, 300_000)
+    ids[:250_000] %= 70_000
+    lengths = huffman.code_lengths(np.bincount(ids))
+    assert 16 < lengths.max() <= huffman.length_limit(int((lengths > 0).sum()))
+    payload, checkpoints = huffman.encode(ids, lengths, huffman.canonical_codes(lengths), 256)
+    (back,) = huffman.decode([payload], [len(ids)], [checkpoints], huffman.decoding_table(lengths), 256)
+    assert (back == ids).all()
 
 
 @settings(max_examples=60, deadline=None)
@@ -84,7 +94,7 @@ def test_elias_fano_and_trie_level(values, others):
     assert (coded.decode() == keys).all()
     wide = EliasFano.encode(keys << np.uint64(14), 62)
     assert (wide.decode() == keys << np.uint64(14)).all()
-    level = Level.from_buffer(np.frombuffer(Level.build(keys, np.zeros(len(keys), np.uint8), 24).to_bytes(), dtype=np.uint8))
+    level = Level.from_buffer(np.frombuffer(Level.build(keys, np.zeros(len(keys), np.uint8), 24, 40).to_bytes(), dtype=np.uint8))
     asked = np.concatenate([keys, np.array(others, dtype=np.uint64)])
     expected = [int(np.searchsorted(keys, a)) if a in keys else -1 for a in asked]
     assert coded.find(asked).tolist() == expected == level.find(asked).tolist()
@@ -93,20 +103,22 @@ def test_elias_fano_and_trie_level(values, others):
 def test_a_context_with_very_many_successors():
     draw = np.random.default_rng(2)
     keys = np.unique(np.concatenate([(7 << 24) + draw.integers(0, 1 << 24, 60_000), draw.integers(0, 1 << 48, 5_000)]).astype(np.uint64))
-    level = Level.build(keys, np.zeros(len(keys), np.uint8), 24)
+    level = Level.build(keys, np.zeros(len(keys), np.uint8), 24, 40)
     assert (level.find(keys) == np.arange(len(keys))).all()
     others = ((7 << 24) + draw.integers(0, 1 << 24, 60_000)).astype(np.uint64)
     assert ((level.find(others) >= 0) == np.isin(others, keys)).all()
 
 
 @pytest.mark.parametrize("name, split", [("byte_bpe_50k.json", tokens.split_before_space), ("word_bpe_49k.json", tokens.split_at_space)])
-def test_parts_give_the_ids_of_the_whole(name, split):
+@pytest.mark.parametrize("plain", [False, True])
+def test_parts_give_the_ids_of_the_whole(name, split, plain):
+    """The library's ids, special strings included; or with these as ordinary text."""
     from tokenizers import Tokenizer
 
-    encoder = tokens.Encoder(public_tokenizers.path(name), split)
+    encoder = tokens.Encoder(public_tokenizers.path(name), split, plain)
     whole = Tokenizer.from_file(public_tokenizers.path(name))
-    whole.encode_special_tokens = True
-    pieces = st.sampled_from(list("abcXYZ .,!?  \n\t0189éèßüÉªºµÿñ_-@#<|>ΣİſK中́\x1c\x85 ") + ["'s", "'ll", " the", " and.", "<|endoftext|>", "🙂"])
+    whole.encode_special_tokens = plain
+    pieces = st.sampled_from(list("abcXYZ .,!?  \n\t0189éèßüÉªºµÿñ_-@#<|>ΣİſK中́\x1c\x85 ") + ["'s", "'ll", " the", " and.", "<|endoftext|>", "<|startoftext|>", "<|endof", "🙂", "\xa0", "\u2003", "  ", " \n"])
 
     @settings(max_examples=300, deadline=None)
     @given(st.lists(st.lists(pieces, max_size=40).map("".join), max_size=5))
@@ -121,3 +133,34 @@ def test_parts_give_the_ids_of_the_whole(name, split):
 @given(st.lists(st.tuples(st.text(alphabet="a<|\\turnextd>\n", max_size=12), st.text(alphabet="a<|\\turnextd>\n", max_size=30)), max_size=4))
 def test_turns_are_read_back(turns):
     assert chat.parsed("".join(chat.rendered(r, t) for r, t in turns)) == turns
+
+
+def sent(chunk: int, keys: list[int], counts: list[int]) -> dict:
+    numbers = np.array(keys, dtype=np.uint64)
+    return {
+        "shard": 0,
+        "chunk": chunk,
+        "keys": EliasFano.encode(numbers, 62).to_bytes(),
+        "counts": language_model._packed(np.array(counts), "<u8"),
+        "asked": language_model._packed_bits(np.ones(len(keys), dtype=bool)),
+        "context": None,
+        "lower": None,
+    }
+
+
+def test_counts_beyond_32_bits_and_words_of_one_chunk():
+    rows = [sent(1, [5, 9, 12], [3_000_000_000, 1, 0]), sent(2, [5, 11, 12], [3_000_000_000, 7, 0])]
+    table = pa.Table.from_pylist(rows, schema=language_model.SENT)
+    first, second, total = language_model._answer(1, language_model.Settings())(table).to_pylist()
+    assert language_model._unpacked(first["counts"], "<u8").tolist() == [6_000_000_000, 1, 0]
+    assert language_model._unpacked(second["counts"], "<u8").tolist() == [6_000_000_000, 7, 0]
+    assert [language_model._unpacked_bits(a["alone"], 3).tolist() for a in (first, second)] == [[False, True, False]] * 2
+    assert (total["n"], total["v"]) == (6_000_000_008, 3)
+
+
+def test_contexts_with_equal_first_bits_stay_apart():
+    context, word = 0xABCDEF << 16, 77
+    keys = np.array([((context | c) << 24) | word for c in (1, 2, 3)], dtype=np.uint64)
+    level = Level.build(keys, np.zeros(3, np.uint8), language_model.WORD_BITS, language_model.CONTEXT_BITS)
+    assert level.find(keys).tolist() == [0, 1, 2]
+    assert level.find(np.array([((context | 4) << 24) | word], dtype=np.uint64)).tolist() == [-1]
