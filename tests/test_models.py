@@ -36,6 +36,15 @@ def test_predictions_cover_known_items(trained):
     assert recommend.evaluate_als(model, test).first().predictions == known.count()
 
 
+def test_unknown_pairs_are_asked_for_and_not_scored(spark, trained):
+    model = trained[3]
+    known = models.part(trained[2], "train").select("customer_id", "item_id", "star_rating").limit(5)
+    unknown = spark.createDataFrame([(-7, 0, 3.0), (1, 1 << 30, 3.0)], "customer_id long, item_id int, star_rating float")
+    row = recommend.evaluate_als(model, known.unionByName(unknown)).first()
+    assert (row.predictions, row.asked) == (5, 7)
+    assert model.getColdStartStrategy() == "drop"
+
+
 def test_same_seed_same_model(trained):
     _, _, splits, model = trained
     again = recommend.train_als(models.part(splits, "train"), max_iter=15, reg=0.1, rank=15)
@@ -169,27 +178,25 @@ def test_grid_search_reports_every_combination(trained):
     assert all(r.mae > 0 and r.predictions > 0 for r in rows)
 
 
-@pytest.mark.parametrize(
-    "name",
-    [
-        "als_evaluate",
-        "join_recs_products",
-        "text_features",
-        "text_classifier_train",
-        "text_classifier_score",
-        "train_history",
-        "ts_arima_order_search",
-        "ts_arima_auto",
-        "ts_sarima_rolling",
-        "ts_long_horizon",
-        "ts_rf_fit",
-    ],
-)
-def test_query_gives_rows(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
+def test_errors_of_the_recipes(spark, sf_dir):
+    rows = QUERIES["als_evaluate_errors"](spark, sf_dir).collect()
+    assert {(r.recipe, r.split) for r in rows} == {("random", "test"), ("masked", "test"), ("leave last", "test"), ("leave last", "validation")}
+    assert all(0 < r.mae <= r.rmse < 4 and 0 < r.predictions <= r.asked for r in rows)
+
+
+def test_losses_fall(spark, sf_dir):
+    losses = [r.loss for r in QUERIES["train_losses"](spark, sf_dir).orderBy("round").collect()]
+    assert len(losses) > 2 and losses == sorted(losses, reverse=True)
+
+
+def test_wide_search_rolls_with_the_order_found(spark, sf_dir):
+    rows = QUERIES["ts_arima_auto_rolling"](spark, sf_dir)
+    found = rows.groupBy("series_id").agg(F.count("*").alias("days"), F.count_distinct("p", "d", "q").alias("orders"))
+    assert {(r.days, r.orders) for r in found.collect()} == {(30, 1)}
+    assert rows.select("p", "d", "q").distinct().count() > 1
 
 
 def test_text_classifier_is_scored_on_each_part(spark, sf_dir):
-    rows = {r.split: r.accuracy for r in QUERIES["text_classifier_eval"](spark, sf_dir).collect()}
+    rows = {r.split: r.accuracy for r in QUERIES["text_classifier_accuracy"](spark, sf_dir).collect()}
     assert set(rows) == {"train", "validation", "test"}
     assert rows["train"] > 0.6

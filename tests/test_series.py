@@ -327,3 +327,31 @@ def test_known_unscaled_windows(spark):
         (2.0, 10.0, "test"),
         (3.0, 11.0, "test"),
     ]
+
+
+def test_folds_after_a_share_leave_no_series_out(spark):
+    rows = frame(spark, {"long": np.arange(100.0), "short": np.arange(3.0), "one": np.arange(1.0)})
+    folded = panel.backtest_folds(rows, 0.75, 10)
+    folds = {s: [r.fold for r in folded.filter(F.col("series_id") == s).orderBy("ds").collect()] for s in ("long", "short", "one")}
+    assert folds["long"] == [None] * 75 + [0] * 10 + [1] * 10 + [2] * 5
+    assert folds["short"] == [None, None, 0] and folds["one"] == [None]
+    naive = forecast.backtest_naive(rows, 0.75, 10)
+    assert naive.groupBy("series_id").count().count() == 2 and naive.filter("predicted is null").count() == 0
+    # A series with too few days for the lags keeps its days, without a prediction.
+    forest = forecast.backtest_rf(rows, 0.75, 10, lags=7, trees=2, depth=3)
+    assert {(r.series_id, r.predicted is None) for r in forest.collect()} == {("long", False), ("short", True)}
+    fits = arima.arima_backtest(rows, (0, 1, 0), 0.75, 10)
+    assert {r.series_id: r["count"] for r in fits.groupBy("series_id").count().collect()} == {"long": 25, "short": 1}
+    with pytest.raises(ValueError):
+        panel.backtest_folds(rows, 1.5)
+
+
+def test_tuned_forest_is_the_winner_of_the_search(panel_):
+    weekly = panel_.filter("series_id = 'weekly' and ds < '2001-01-01'").cache()
+    grid = {"lags": [2, 7], "trees": [3], "depth": [2, 5]}
+    found = forecast.tuned_forest(weekly, 20, 0.8, grid)
+    train = panel.split_last_n(weekly, 20).filter("split = 'train'").drop("split")
+    errors = sorted((r.rmse, r.lags, r.trees, r.depth) for r in forecast.grid_search_rf(train, 0.8, 20, grid).collect())
+    rows = found.collect()
+    assert len(rows) == 20 and {(r.lags, r.trees, r.depth) for r in rows} == {errors[0][1:]}
+    assert all(r.predicted is not None for r in rows)

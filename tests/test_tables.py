@@ -142,3 +142,11 @@ def test_approximate_distinct_counts_are_near(spark, sf_dir):
     rows = reviews(spark, sf_dir)
     exact, near = profiling.distinct_counts(rows).first(), profiling.distinct_counts(rows, approximate=True).first()
     assert near.customers == pytest.approx(exact.customers, rel=0.15)
+
+
+def test_rows_without_a_prediction_are_asked_for(spark):
+    rows = spark.createDataFrame([(1.0, 2.0), (3.0, None), (5.0, float("nan")), (None, 4.0)], "y double, p double")
+    row = metrics.regression_metrics(rows, "y", "p").first()
+    assert (row.rmse, row.mae, row.predictions, row.asked) == (1.0, 1.0, 1, 3)
+    none = metrics.regression_metrics(rows.filter("p is null"), "y", "p").first()
+    assert (none.rmse, none.predictions, none.asked) == (None, 0, 1)
