@@ -198,7 +198,7 @@ def kpss(panel: DataFrame, lags: int | None = None, value: str = VALUE, keys: tu
         s1 = vector_sum(F.transform(F.col("_few"), lambda g, i: g * (i + 1)))
         ratio = F.try_divide(s1, s0)
         width = F.lit(1.1447) * F.pow(ratio * ratio, F.lit(1.0 / 3.0)) * F.pow(n, F.lit(1.0 / 3.0))
-        sums = sums.withColumn("lags", F.least(F.floor(width).cast("int"), F.col("n") - 1))
+        sums = sums.withColumn("lags", F.floor(F.least(width, (F.col("n") - 1).cast("double"))).cast("int"))
     lag = F.col("lags")
     numbers = F.when(lag > 0, F.sequence(F.lit(1), lag)).otherwise(F.array().cast("array<int>"))
     weighted = F.transform(numbers, lambda i: (1 - i / (lag + 1)) * _lag_product(F.col("_c"), i))
