@@ -117,6 +117,34 @@ def test_top_items_equal_brute_force(spark, kind):
         assert sum(r.scored for r in found if r.id != 500) < 0.5 * 120 * 700
 
 
+def test_top_items_are_decided_in_double_precision(spark):
+    """Scores that single precision cannot tell apart, over several blocks of items, with large and tiny users."""
+    rng = np.random.default_rng(8)
+    items = {i: [float(x) for x in 1 + rng.integers(0, 40, 5) * 2.0**-22] for i in range(2500)}
+    users = {i: [float(x) for x in rng.uniform(0.9, 1.1, 5) * 10.0 ** rng.integers(-3, 4)] for i in range(300)}
+    users |= {900: [1e-30] * 5, 901: [1e30] * 5}
+    found = recommend.top_items(factors(spark, users), factors(spark, items), 10, group_users=100).collect()
+    best = best_items(users, items, 10)
+    assert len(found) == len(users)
+    for row in found:
+        # Sums of equal value up to the last bit of a double may come in another order than here.
+        expected = [float(rating) for _, rating in best[row.id]]
+        assert np.allclose([p.rating for p in row.recommendations], expected, rtol=1e-6)
+        matrix = np.array([items[p.item_id] for p in row.recommendations], dtype=np.float32).astype(float)
+        scores = matrix @ np.array(users[row.id], dtype=np.float32).astype(float)
+        every = np.array([items[i] for i in sorted(items)], dtype=np.float32).astype(float) @ np.array(users[row.id], dtype=np.float32).astype(float)
+        assert np.allclose(scores, -np.sort(-every)[:10], rtol=1e-13)
+
+
+def test_items_travel_in_blocks(spark):
+    """A group of users is sent a row for each 1024 items, not one for each item."""
+    placed = spark.range(3000).selectExpr("id AS place", "id + 7 AS item", "double(5000 - id) AS length", "array(float(id), float(1)) AS features")
+    rows = recommend._blocks(placed.repartition(5)).orderBy("block").collect()
+    assert [(r.items, r.length) for r in rows] == [(1024, 5000.0), (1024, 3976.0), (952, 2952.0)]
+    assert [i for r in rows for i in r.ids] == list(range(7, 3007))
+    assert [f for r in rows for f in r.features][::2] == [float(i) for i in range(3000)]
+
+
 def test_top_items_of_few_or_no_items(spark):
     users = factors(spark, {1: [1.0, 0.0], 2: [0.0, 0.0]})
     few = recommend.top_items(users, factors(spark, {8: [2.0, 1.0], 9: [3.0, 1.0]}), 5).collect()
