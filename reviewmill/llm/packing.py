@@ -71,6 +71,8 @@ class Packer:
         """Fill sequences until at most ``keep`` pieces wait; with 0 all are packed."""
         need = np.array([self._need(p) for p in self.waiting], dtype=np.float64).reshape(-1, 3)
         alive = np.ones(len(need), dtype=bool)
+        # Demands as shares of the limits, and one array for each limit, as the loop below runs once per piece.
+        shares, (size, segments, loss) = need / self.caps, need.T.copy()
         while True:
             left = int(alive.sum())
             if left == 0 or (keep and left <= keep):
@@ -83,8 +85,8 @@ class Packer:
             weight /= max(weight.sum(), 1e-300)
             offset = 0
             while free[0] >= 1 and free[1] >= 1:
-                score = np.where(alive, (need / self.caps) @ (weight * free / self.caps), -1.0)
-                fits = np.where((need <= free).all(axis=1), score, -1.0)
+                score = np.where(alive, shares @ (weight * free / self.caps), -1.0)
+                fits = np.where((size <= free[0]) & (segments <= free[1]) & (loss <= free[2]), score, -1.0)
                 best = int(np.argmax(fits))
                 if fits[best] < 0:
                     best = int(np.argmax(score))
@@ -99,7 +101,8 @@ class Packer:
                 offset += to - start
                 if to < end:
                     self.waiting[best] = (example, to, end)
-                    need[best] = self._need(self.waiting[best])
+                    need[best] = size[best], segments[best], loss[best] = self._need(self.waiting[best])
+                    shares[best] = need[best] / self.caps
                 else:
                     alive[best] = False
             self.sequence += 1

@@ -32,10 +32,11 @@ def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 def write_named_tsv(df: DataFrame, path: str, name: str) -> None:
     """One tab-separated file per value of column ``name``, which is the file's name; quotes stay as they are.
 
-    A task writes each file whole. The driver then renames the files, as many as there are names.
+    A name with more rows than a partition should have (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) is
+    written by several tasks, with a number before the name of each further file. The driver then renames the files.
     """
     spark, parts = df.sparkSession, f"{path}/_parts"
-    df.repartition(name).write.partitionBy(name).csv(parts, sep="\t", header=True, quote="", escape="")
+    df.hint("rebalance", name).write.partitionBy(name).csv(parts, sep="\t", header=True, quote="", escape="")
     to_path = spark._jvm.org.apache.hadoop.fs.Path
     system = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for folder in system.listStatus(to_path(parts)):
