@@ -54,6 +54,26 @@ def test_number_equals_window(skewed, ranges, descending):
     assert rows(actual, "customer_id", "review_id", "index") == rows(expected, "customer_id", "review_id", "index")
 
 
+def test_number_comes_with_the_count_of_the_key(skewed):
+    expected = numbering.with_key_count(numbering.numbered(skewed, ["customer_id"], ["product_id", "review_id"]), ["customer_id"])
+    actual = numbering.numbered(skewed, ["customer_id"], ["product_id", "review_id"], count_name="number_of_products")
+    columns = ["customer_id", "review_id", "index", "number_of_products"]
+    assert rows(actual, *columns) == rows(expected, *columns)
+
+
+def test_nested_masks_join_the_rows_once(skewed):
+    """Both masks are laid over customers and products; the rows meet the outcome in one join."""
+    split = splitting.split_mask_nested(skewed, ranges=RANGES)
+    assert split.columns == [*skewed.columns, "split"]
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InMemoryRelation") == 1
+    first = splitting.split_mask(skewed, fraction=splitting.MASK_FRACTION, ranges=RANGES)
+    rest = first.filter("split = 'train'").select(*skewed.columns)
+    second = splitting.split_mask(rest, fraction=splitting.MASK_FRACTION, masked="validation", ranges=RANGES)
+    expected = rows(first.filter("split = 'test'"), "review_id", "split") + rows(second, "review_id", "split")
+    assert rows(split, "review_id", "split") == sorted(expected, key=repr)
+
+
 def test_item_codes_are_dense_and_by_frequency(skewed):
     expected = skewed.groupBy("product_id").agg(F.count("*").alias("n"))
     order = Window.orderBy(F.col("n").desc(), "product_id")

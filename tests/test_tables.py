@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions import columns as fn
 from reviewmill.operators import cleaning, metrics, profiling, sampling, splitting
 from reviewmill.plans import panel
-from reviewmill.sources import readers
+from reviewmill.sources import readers, writers
 from reviewmill.sources.fixture import reviews
 
 TEXT = ", ".join(f"{c} string" for c in readers.REVIEW_COLUMNS)
@@ -150,3 +150,17 @@ def test_rows_without_a_prediction_are_asked_for(spark):
     assert (row.rmse, row.mae, row.predictions, row.asked) == (1.0, 1.0, 1, 3)
     none = metrics.regression_metrics(rows.filter("p is null"), "y", "p").first()
     assert (none.rmse, none.predictions, none.asked) == (None, 0, 1)
+
+
+def test_a_large_name_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("id", "repeat(md5(string(id)), 4) AS filler", "if(id % 50 = 0, 'b.tsv', 'a.tsv') AS file")
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "100k")
+    try:
+        writers.write_named_tsv(rows, str(tmp_path / "named"), "file")
+    finally:
+        spark.conf.set(setting, before)
+    names = [p.name for p in (tmp_path / "named").iterdir() if p.name.endswith(".tsv")]
+    assert {"a.tsv", "b.tsv"} <= set(names) and sum(n.endswith("a.tsv") for n in names) > 1
+    assert spark.read.csv(str(tmp_path / "named"), sep="\t", header=True).count() == 20_000
