@@ -8,10 +8,12 @@
 3. Classes that agree in a band are candidates: each against the most central class of its bucket, the
    one that has most company over all bands.
 4. Candidates are verified by the weighted Jaccard similarity of their whole texts.
-5. Buckets that still hold several components are worked off further: small ones pair by pair across
-   components; in crowded ones two members can only be similar if they differ from the leader
-   in the same shingles, so members are bucketed anew by a signature of those differences. This keeps
-   the work in proportion to the number of classes where thousands of half-similar texts meet.
+5. Buckets that still hold several components are worked off further, without losing a pair: small ones pair by
+   pair across components. The members of crowded ones are listed under their rarest shingles, as many as a
+   text cannot differ in from a similar one (prefix filter): similar texts meet in a list for certain. Where
+   thousands of half-similar texts meet, such lists are short, as what the texts share is frequent.
+   Each list is compared with its most central class first, and all that then still is in several
+   components pair by pair.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.llm import words
@@ -30,12 +32,12 @@ from reviewmill.session import cut_lineage
 
 # Rows of the table that the random variates of the sampling come from, chosen by bits of the shingle.
 VARIATES = 1 << 15
-# A bucket of up to this many classes is worked off pair by pair, a larger one by differences.
+# A bucket of up to this many classes is worked off pair by pair, a larger one by lists of rare shingles.
 SMALL_BUCKET = 16
-# Bands of two hashes over what a text and its leader do not share. Similar texts that are unlike their
-# leader share a third of that at least: they meet with probability 0.99 or more. Less is shared where one of
-# the two is very like the leader, and the other just not like it enough.
-DIFFERENCE_BANDS = 40
+# A longer list is worked off in cells of pairs of slices, each of about this many classes.
+SLICE_CLASSES = 256
+# Sums of weights in another order may differ by rounding.
+ROUNDING = 1e-6
 
 
 @dataclass(frozen=True)
@@ -177,13 +179,33 @@ def _signatures(settings: Settings, idf_table):
     return sign
 
 
-def _difference_bands(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Bands of the smallest hashes of each row's keys; keys are ordered by row."""
-    out = np.zeros((n, DIFFERENCE_BANDS), dtype=np.uint64)
-    present, starts = np.unique(rows, return_index=True)
-    for j in range(2 * DIFFERENCE_BANDS if len(keys) else 0):
-        out[present, j // 2] = words.mix(out[present, j // 2] + np.minimum.reduceat(words.seeded(keys, j), starts))
-    return out.view(np.int64)
+def _rarest(settings: Settings, idf_table):
+    """Per text the shingles of which a similar text has one at least: the rarest, up to where what is left weighs too little.
+
+    Shingles of all texts are in one order, by falling weight. If two texts have no shingle of their beginnings
+    in common, then what they share is in the rest of one of them, and weighs less than the threshold of all of it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = idf_table.value
+        for batch in batches:
+            for begin, n, keys, rows, counts in words.shingle_sets(batch.column(1), settings.shingle):
+                rarity = idf[(keys % np.uint64(settings.slots)).astype(np.int64)].astype(np.float64)
+                order = np.lexsort((words.seeded(keys, 11), -rarity, rows))
+                keys, row, weight = keys[order], rows[order], (counts * rarity)[order]
+                total = np.bincount(row, weights=weight, minlength=n)
+                before = np.cumsum(weight) - weight
+                present, starts = np.unique(row, return_index=True)
+                first = np.zeros(n)
+                first[present] = before[starts]
+                rest = total[row] - (before - first[row])
+                kept = rest >= settings.threshold * (1 - ROUNDING) * total[row]
+                row = row[kept]
+                ids = batch.column(0).slice(begin, n).take(pa.array(row))
+                columns = [ids, pa.array(total[row]), pa.array(rest[kept]), pa.array(keys[kept].view(np.int64))]
+                yield pa.record_batch(columns, names=["rep", "weight", "rest", "key"])
+
+    return run
 
 
 def _verify(settings: Settings, idf_table):
@@ -193,7 +215,7 @@ def _verify(settings: Settings, idf_table):
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 n = part.num_rows
-                sets = [(k, r + b, c) for i in (3, 4) for b, _, k, r, c in words.shingle_sets(part.column(i), settings.shingle)]
+                sets = [(k, r + b, c) for i in (2, 3) for b, _, k, r, c in words.shingle_sets(part.column(i), settings.shingle)]
                 key, row, count = (np.concatenate(x) for x in zip(*sets))
                 weight = count * idf[(key % np.uint64(settings.slots)).astype(np.int64)].astype(np.float64)
                 packed = (row.astype(np.uint64) << np.uint64(48)) | key
@@ -203,32 +225,18 @@ def _verify(settings: Settings, idf_table):
                 shared = np.bincount(row[1:][both], weights=np.minimum(weight[1:], weight[:-1])[both], minlength=n)
                 total = np.bincount(row, weights=weight, minlength=n)
                 similarity = shared / np.maximum(total - shared, 1e-300)
-                linked = similarity >= settings.threshold - 1e-9
-                # What only one of the two has, or has more often.
-                same = both & (weight[1:] == weight[:-1])
-                alone = np.ones(len(packed), dtype=bool)
-                alone[1:] &= ~same
-                alone[:-1] &= ~same
-                wanted = part.column(2).to_numpy(zero_copy_only=False)
-                alone &= wanted[row]
-                bands = _difference_bands(packed[alone] & np.uint64((1 << 48) - 1), row[alone], n)
-                sizes = np.where(wanted, DIFFERENCE_BANDS, 0)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(bands[wanted].ravel())
-                )
-                keep = pa.array(np.flatnonzero(linked | wanted))
-                columns = [part.column(0), part.column(1), pa.array(linked), lists]
-                yield pa.record_batch([c.take(keep) for c in columns], names=["a", "b", "linked", "difference"])
+                linked = pa.array(np.flatnonzero(similarity >= settings.threshold - 1e-9))
+                yield pa.record_batch([part.column(0).take(linked), part.column(1).take(linked)], names=["a", "b"])
 
     return verify
 
 
 def verified(pairs: DataFrame, texts: DataFrame, settings: Settings, idf_table) -> DataFrame:
-    """Which of ``pairs(a, b, crowded)`` are linked; a crowded pair, linked or not, has bands of its difference."""
+    """Those of ``pairs(a, b)`` that are similar."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "crowded", "text_a", "text_b")
-    return both.mapInArrow(_verify(settings, idf_table), "a long, b long, linked boolean, difference array<long>")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(_verify(settings, idf_table), "a long, b long")
 
 
 def _labelled(rows: DataFrame, components: DataFrame) -> DataFrame:
@@ -238,19 +246,57 @@ def _labelled(rows: DataFrame, components: DataFrame) -> DataFrame:
 def _stars(entries: DataFrame) -> DataFrame:
     """Each member of a bucket with the most central one; ``entries(rep, key, company)``."""
     central = F.max_by("rep", F.struct("company", -F.col("rep"))).alias("leader")
-    buckets = entries.groupBy("key").agg(central, F.count("*").alias("n")).filter("n > 1")
+    buckets = entries.groupBy("key").agg(central, F.count("*").alias("n")).filter("n > 1").drop("n")
     pairs = entries.join(buckets, "key").filter("rep <> leader")
-    ordered = pairs.select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b"), "leader", "n")
-    return ordered.groupBy("a", "b").agg((F.max("n") > SMALL_BUCKET).alias("crowded"), F.min("leader").alias("leader"))
+    return pairs.select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
+
+
+def _mixed(entries: DataFrame) -> DataFrame:
+    """Buckets of ``entries(key, component)`` that hold several components, with their size."""
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return sizes.filter("low < high").select("key", "n")
 
 
-def _across(entries: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs of different components in small buckets: at most ``SMALL_BUCKET - 1`` for each entry."""
-    rows = _labelled(entries.select("rep", "key"), components)
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = rows.join(sizes.filter(f"low < high AND n <= {SMALL_BUCKET}").select("key"), "key")
-    other = mixed.select("key", F.col("rep").alias("b"), F.col("component").alias("other"))
-    return mixed.join(other, "key").filter("rep < b AND component <> other").select(F.col("rep").alias("a"), "b").distinct()
+def _across(entries: DataFrame) -> DataFrame:
+    """Pairs of different components in the same bucket; ``entries(rep, key, component)``."""
+    other = entries.select("key", F.col("rep").alias("b"), F.col("component").alias("other"))
+    return entries.join(other, "key").filter("rep < b AND component <> other").select(F.col("rep").alias("a"), "b").distinct()
+
+
+def _possible(threshold: float) -> Column:
+    """Whether two classes can be similar that have a rare shingle in common, and none before it.
+
+    They share at most what is left of either from that shingle on, ``rest`` and ``rest_b``. A pair that fails
+    at a later shingle of both is judged at the first one, too.
+    """
+    needed = (F.col("weight") + F.col("weight_b")) * (threshold / (1 + threshold) * (1 - ROUNDING))
+    return F.least("rest", "rest_b") >= needed
+
+
+def _stars_of_lists(lists: DataFrame, threshold: float) -> DataFrame:
+    """Each member of a list with the one that weighs most, where they can be similar."""
+    heaviest = F.max_by(F.struct("rep", "weight", "rest"), F.struct("weight", -F.col("rep"))).alias("_l")
+    leaders = lists.groupBy("key").agg(heaviest)
+    leaders = leaders.select("key", F.col("_l.rep").alias("leader"), F.col("_l.weight").alias("weight_b"), F.col("_l.rest").alias("rest_b"))
+    pairs = lists.join(leaders, "key").filter((F.col("rep") != F.col("leader")) & _possible(threshold))
+    return pairs.select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
+
+
+def _pairs_of_lists(lists: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different components in lists of any length that can be similar; ``lists(rep, weight, rest, key, component, n)``.
+
+    A list is cut into slices, and each pair of slices is a cell of its own, so no task has a whole long list to
+    work off.
+    """
+    slices = F.ceil(F.col("n") / SLICE_CLASSES).cast("int")
+    placed = lists.withColumn("slices", slices).withColumn("at", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int"))
+    cells = placed.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    cells = cells.select("key", F.least("at", "to").alias("x"), F.greatest("at", "to").alias("y"), "rep", "weight", "rest", "component")
+    renamed = [F.col(c).alias(f"{c}_b") for c in ("weight", "rest", "component")]
+    other = cells.select("key", "x", "y", F.col("rep").alias("b"), *renamed)
+    apart = (F.col("rep") < F.col("b")) & (F.col("component") != F.col("component_b"))
+    pairs = cells.join(other, ["key", "x", "y"]).filter(apart & _possible(threshold))
+    return pairs.select(F.col("rep").alias("a"), "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -276,31 +322,44 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "rep", F.xxhash64("band", "value").alias("key")
     )
     sizes = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = entries.join(sizes, "key")
-    company = shared.groupBy("rep").agg(F.sum("n").alias("company"))
-    shared = cut_lineage(shared.join(company, "rep").select("rep", "key", "company"), "buckets")
-    stars = cut_lineage(_stars(shared), "pairs")
-    tested = cut_lineage(verified(stars, docs, settings, idf_table), "verified")
-    links = tested.filter("linked").select("a", "b")
+    # One row per class with its at most ``bands`` buckets.
+    shared = entries.join(sizes, "key").groupBy("rep").agg(F.sum("n").alias("company"), F.collect_list("key").alias("keys"))
+    shared = cut_lineage(shared, "buckets")
+    tested = cut_lineage(_stars(shared.select("rep", "company", F.explode("keys").alias("key"))), "pairs")
+    links = cut_lineage(verified(tested, docs, settings, idf_table), "verified")
     components = cut_lineage(connected_components(links), "components")
-    # Members of crowded buckets by what they do not share with their leader. A member that is linked to it has
-    # a part in this, as another one may be similar to that member and not to the leader.
-    apart = tested.filter("size(difference) > 0").join(stars.select("a", "b", "leader"), ["a", "b"])
-    apart = apart.withColumn("rep", F.when(F.col("leader") == F.col("a"), F.col("b")).otherwise(F.col("a")))
-    differing = apart.select("rep", "leader", F.posexplode("difference").alias("band", "value")).select(
-        "rep", F.xxhash64("leader", "band", "value").alias("key"), F.lit(0).alias("company")
-    )
-    differing = cut_lineage(differing, "differences")
-    rest = _across(shared, components).union(_across(differing, components)).union(_stars(differing).select("a", "b"))
-    rest = rest.distinct().join(stars, ["a", "b"], "left_anti").withColumn("crowded", F.lit(False))
-    # Pairs that hang together by now need no test.
-    for side in ("a", "b"):
-        known = components.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}"))
-        rest = rest.join(known, side, "left").withColumn(f"component_{side}", F.coalesce(f"component_{side}", side))
-    rest = cut_lineage(rest.filter("component_a <> component_b").select("a", "b", "crowded"), "pairs")
-    if not rest.isEmpty():
-        more = verified(rest, docs, settings, idf_table).filter("linked").select("a", "b")
-        components = cut_lineage(connected_components(links.union(more)), "components")
+
+    def linked_further(pairs: DataFrame) -> DataFrame:
+        """The components after a test of the pairs that are new."""
+        nonlocal tested, links
+        new = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if new.isEmpty():
+            return components
+        found = cut_lineage(verified(new, docs, settings, idf_table), "verified")
+        tested = tested.union(new)
+        if found.isEmpty():
+            return components
+        links = links.union(found)
+        return cut_lineage(connected_components(links), "components")
+
+    members = _labelled(shared, components).select("rep", "component", F.explode("keys").alias("key"))
+    members = cut_lineage(members.join(_mixed(members), "key"), "mixed")
+    pairs = _across(members.filter(f"n <= {SMALL_BUCKET}"))
+    crowded = members.filter(f"n > {SMALL_BUCKET}").select("rep").distinct()
+    if crowded.isEmpty():
+        components = linked_further(pairs)
+    else:
+        chosen = docs.select(F.col("doc_id").alias("rep"), "text").join(crowded, "rep", "left_semi")
+        lists = chosen.mapInArrow(_rarest(settings, idf_table), "rep long, weight double, rest double, key long")
+        lists = cut_lineage(lists, "lists")
+
+        def mixed() -> DataFrame:
+            """Lists of several components."""
+            named = lists.join(_labelled(crowded, components), "rep")
+            return cut_lineage(named.join(_mixed(named), "key"), "mixed")
+
+        components = linked_further(pairs.union(_stars_of_lists(mixed(), settings.threshold)).distinct())
+        components = linked_further(_pairs_of_lists(mixed(), settings.threshold))
     by_class = _labelled(classes.select("print_a", "print_b", "rep"), components).select("print_a", "print_b", "component")
     found = usable.select("doc_id", "print_a", "print_b").join(by_class, ["print_a", "print_b"])
     left_over = signed.filter("empty OR doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))

@@ -6,8 +6,9 @@ import random
 
 import pytest
 from edge import documents, prose
+from pyspark.sql import functions as F
 
-from reviewmill.llm import decontaminate, language_model, pseudonyms
+from reviewmill.llm import decontaminate, language_model, near_dup, pseudonyms
 
 # 6
 
@@ -22,6 +23,33 @@ def test_long_passage_with_spread_insertions(spark):
     assert sorted((r.doc_id, r.item_id, r.edits) for r in found) == [(shift, 1, 450) for shift in (0, 150, 300, 450, 600)]
 
 
+# 8
+
+
+def test_a_member_just_below_the_leader_keeps_its_link_to_another_member(spark):
+    """Texts with one edit are like the base; one with three more is like that member only, in the crowded bucket of the base."""
+    base, rows, draw = prose(21, 200).split(" "), [(0, prose(21, 200))], random.Random(8)
+    for i in range(120):
+        places = draw.sample(range(5, 195, 6), 4)
+        for extra in (0, 1):
+            text = list(base)
+            for p in places[: 1 + 3 * extra]:
+                text[p] = f"edit{i}at{p}"
+            rows.append((2 * i + 1 + extra, " ".join(text)))
+    found = {r.doc_id: r.class_id for r in near_dup.near_duplicates(documents(spark, rows)).collect()}
+    assert {i for i, c in found.items() if c != 0} == set()
+
+
+def test_long_lists_are_compared_in_cells_without_losing_a_pair(spark):
+    lists = [(i, 100.0, 95.0 if i % 3 else 85.0, key, i % 2, n) for key, n in ((1, 700), (2, 20)) for i in range(n)]
+    frame = spark.createDataFrame(lists, "rep long, weight double, rest double, key long, component long, n long")
+    near = [i for i in range(700) if i % 3]
+    expected = sum(1 for i in near for j in near if i < j and i % 2 != j % 2)
+    pairs = near_dup._pairs_of_lists(frame, 0.8)
+    assert pairs.count() == expected
+    assert pairs.agg(F.min(F.col("b") - F.col("a"))).first()[0] == 1
+
+
 # 9
 
 
