@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from edge import documents, prose
 from pyspark.sql import functions as F
@@ -92,3 +93,18 @@ def test_pair_of_one_training_text_in_a_held_out_text_of_another_chunk(spark):
 
     whole, cut = score(1 << 20, 1), score(100, 4)
     assert cut == {i: pytest.approx(s, rel=0.003) for i, s in whole.items()}
+
+
+@pytest.mark.parametrize("highest", [1, 1000, 1 << 40, (1 << 62) + 5])
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_distinct_numbers_and_order_of_keys(n, highest):
+    draw = np.random.default_rng(n)
+    codes = draw.choice(draw.integers(0, highest, 700), n)
+    for one, two in zip(language_model._distinct(codes), np.unique(codes, return_index=True, return_inverse=True), strict=True):
+        assert one.tolist() == two.tolist()
+    for shards in (1, 40, 100_000):
+        row = {"words": b"", "ids": b"", "sizes": [], "held": []}
+        chunk = language_model.Chunk(row, language_model.Settings(), shards, (0, 0))
+        keys = codes.astype(np.uint64)
+        shard, order = chunk._order(keys, keys)
+        assert order.tolist() == np.lexsort((keys, shard)).tolist()
