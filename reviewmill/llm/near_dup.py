@@ -12,8 +12,8 @@
    pair across components. The members of crowded ones are listed under their rarest shingles, as many as a
    text cannot differ in from a similar one (prefix filter): similar texts meet in a list for certain. Where
    thousands of half-similar texts meet, such lists are short, as what the texts share is frequent.
-   Each list is compared with its most central class first, and all that then still is in several
-   components pair by pair.
+   Each list of several components is compared pair by pair across them, without those that can have no partner in it.
+6. Links found in step 5 join components, so only the links between components are followed again.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from reviewmill.session import cut_lineage
 VARIATES = 1 << 15
 # A bucket of up to this many classes is worked off pair by pair, a larger one by lists of rare shingles.
 SMALL_BUCKET = 16
-# A longer list is worked off in cells of pairs of slices, each of about this many classes.
-SLICE_CLASSES = 256
+# A longer list is worked off in cells of pairs of slices.
+WHOLE_LIST = 1024
 # Sums of weights in another order may differ by rounding.
 ROUNDING = 1e-6
 
@@ -243,6 +243,20 @@ def _labelled(rows: DataFrame, components: DataFrame) -> DataFrame:
     return rows.join(components, rows.rep == components.node, "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
 
 
+def _between(links: DataFrame, components: DataFrame) -> DataFrame:
+    """``links(a, b)`` as links between the components of their ends."""
+    for end in ("a", "b"):
+        links = links.join(components.select(F.col("node").alias(end), F.col("component").alias("_c")), end, "left")
+        links = links.withColumn(end, F.coalesce("_c", end)).select("a", "b")
+    return links
+
+
+def _united(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the ``component`` that theirs becomes by ``links(a, b)`` between components."""
+    wider = connected_components(links).select(F.col("node").alias("component"), F.col("component").alias("_wider"))
+    return rows.join(wider, "component", "left").withColumn("component", F.coalesce("_wider", "component")).drop("_wider")
+
+
 def _stars(entries: DataFrame) -> DataFrame:
     """Each member of a bucket with the most central one; ``entries(rep, key, company)``."""
     central = F.max_by("rep", F.struct("company", -F.col("rep"))).alias("leader")
@@ -273,25 +287,41 @@ def _possible(threshold: float) -> Column:
     return F.least("rest", "rest_b") >= needed
 
 
-def _stars_of_lists(lists: DataFrame, threshold: float) -> DataFrame:
-    """Each member of a list with the one that weighs most, where they can be similar."""
-    heaviest = F.max_by(F.struct("rep", "weight", "rest"), F.struct("weight", -F.col("rep"))).alias("_l")
-    leaders = lists.groupBy("key").agg(heaviest)
-    leaders = leaders.select("key", F.col("_l.rep").alias("leader"), F.col("_l.weight").alias("weight_b"), F.col("_l.rest").alias("rest_b"))
-    pairs = lists.join(leaders, "key").filter((F.col("rep") != F.col("leader")) & _possible(threshold))
-    return pairs.select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
+def _compared(lists: DataFrame, threshold: float) -> DataFrame:
+    """Those entries of lists of several components that may have a partner in the list, with ``n`` entries of the list.
 
+    Of two similar texts the lighter one has at least as much left as two of its weight need (``leading``). So an entry
+    has no partner where it cannot be similar to the lightest of these.
+    """
+    needed = threshold / (1 + threshold) * (1 - ROUNDING)
+    marked = lists.withColumn("leading", F.col("rest") >= (F.col("weight") + F.col("weight")) * needed)
+    sizes = marked.groupBy("key").agg(
+        F.count("*").alias("n"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min(F.when(F.col("leading"), F.col("weight"))).alias("lightest"),
+    )
+    both = marked.join(sizes.filter("low < high AND lightest IS NOT NULL").select("key", "n", "lightest"), "key")
+    return both.filter(F.col("rest") >= (F.col("weight") + F.col("lightest")) * needed).drop("lightest", "leading")
 
-def _pairs_of_lists(lists: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of different components in lists of any length that can be similar; ``lists(rep, weight, rest, key, component, n)``.
 
-    A list is cut into slices, and each pair of slices is a cell of its own, so no task has a whole long list to
-    work off.
+def _cells(lists: DataFrame) -> DataFrame:
+    """The entries of each list in cells ``x, y`` of pairs of slices: any two entries meet in a cell.
+
+    The number of slices grows with the square root of the list, so an entry is sent no more than that many times.
     """
-    slices = F.ceil(F.col("n") / SLICE_CLASSES).cast("int")
+    slices = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("n") / WHOLE_LIST))).cast("int")
     placed = lists.withColumn("slices", slices).withColumn("at", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int"))
     cells = placed.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    cells = cells.select("key", F.least("at", "to").alias("x"), F.greatest("at", "to").alias("y"), "rep", "weight", "rest", "component")
+    return cells.select("key", F.least("at", "to").alias("x"), F.greatest("at", "to").alias("y"), "rep", "weight", "rest", "component")
+
+
+def _pairs_of_lists(lists: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different components in lists of any length that can be similar; ``lists(rep, weight, rest, key, component, n)``.
+
+    A long list is worked off cell by cell, so no task has all of it.
+    """
+    cells = _cells(lists)
     renamed = [F.col(c).alias(f"{c}_b") for c in ("weight", "rest", "component")]
     other = cells.select("key", "x", "y", F.col("rep").alias("b"), *renamed)
     apart = (F.col("rep") < F.col("b")) & (F.col("component") != F.col("component_b"))
@@ -329,38 +359,22 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = cut_lineage(verified(tested, docs, settings, idf_table), "verified")
     components = cut_lineage(connected_components(links), "components")
 
-    def linked_further(pairs: DataFrame) -> DataFrame:
-        """The components after a test of the pairs that are new."""
-        nonlocal tested, links
-        new = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
-            return components
-        found = cut_lineage(verified(new, docs, settings, idf_table), "verified")
-        tested = tested.union(new)
-        if found.isEmpty():
-            return components
-        links = links.union(found)
-        return cut_lineage(connected_components(links), "components")
-
     members = _labelled(shared, components).select("rep", "component", F.explode("keys").alias("key"))
     members = cut_lineage(members.join(_mixed(members), "key"), "mixed")
     pairs = _across(members.filter(f"n <= {SMALL_BUCKET}"))
-    crowded = members.filter(f"n > {SMALL_BUCKET}").select("rep").distinct()
-    if crowded.isEmpty():
-        components = linked_further(pairs)
-    else:
+    crowded = members.filter(f"n > {SMALL_BUCKET}").select("rep", "component").distinct()
+    if not crowded.isEmpty():
         chosen = docs.select(F.col("doc_id").alias("rep"), "text").join(crowded, "rep", "left_semi")
         lists = chosen.mapInArrow(_rarest(settings, idf_table), "rep long, weight double, rest double, key long")
-        lists = cut_lineage(lists, "lists")
-
-        def mixed() -> DataFrame:
-            """Lists of several components."""
-            named = lists.join(_labelled(crowded, components), "rep")
-            return cut_lineage(named.join(_mixed(named), "key"), "mixed")
-
-        components = linked_further(pairs.union(_stars_of_lists(mixed(), settings.threshold)).distinct())
-        components = linked_further(_pairs_of_lists(mixed(), settings.threshold))
-    by_class = _labelled(classes.select("print_a", "print_b", "rep"), components).select("print_a", "print_b", "component")
+        lists = cut_lineage(lists, "lists").join(crowded, "rep")
+        compared = cut_lineage(_compared(lists, settings.threshold), "compared")
+        pairs = pairs.union(_pairs_of_lists(compared, settings.threshold)).distinct()
+    by_class = _labelled(classes.select("print_a", "print_b", "rep"), components)
+    new = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    if not new.isEmpty():
+        found = cut_lineage(verified(new, docs, settings, idf_table), "verified")
+        by_class = _united(by_class, _between(found, components))
+    by_class = by_class.select("print_a", "print_b", "component")
     found = usable.select("doc_id", "print_a", "print_b").join(by_class, ["print_a", "print_b"])
     left_over = signed.filter("empty OR doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
     result = found.select("doc_id", F.col("component").alias("class_id")).union(left_over)

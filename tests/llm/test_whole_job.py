@@ -51,6 +51,34 @@ def test_long_lists_are_compared_in_cells_without_losing_a_pair(spark):
     assert pairs.agg(F.min(F.col("b") - F.col("a"))).first()[0] == 1
 
 
+def test_entries_of_long_lists_are_sent_a_few_times_only(spark):
+    """A list of 9000 entries made 36 rows of each when its slices had 256."""
+    entries = spark.range(9000).select(F.col("id").alias("rep"), *[F.lit(x).alias(c) for c, x in (("weight", 1.0), ("rest", 1.0), ("key", 7), ("component", 1), ("n", 9000))])
+    cells = near_dup._cells(entries)
+    assert cells.count() <= 3 * 9000
+    wanted = cells.filter("rep < 60").select("rep", "x", "y")
+    met = wanted.alias("l").join(wanted.alias("r"), ["x", "y"]).filter("l.rep < r.rep").select("l.rep", "r.rep").distinct()
+    assert met.count() == 60 * 59 // 2
+
+
+def test_entries_without_a_partner_leave_a_list_and_no_pair_does(spark):
+    draw = random.Random(9)
+    rows = []
+    for i in range(240):
+        weight = draw.uniform(80, 130)
+        rows.append((i, weight, weight * draw.uniform(0.8, 1.0), i % 3, i % 7))
+    # Nobody in this list has enough left.
+    rows += [(1000 + i, 100.0, 85.0, 9, i) for i in range(40)]
+    lists = spark.createDataFrame(rows, "rep long, weight double, rest double, key long, component long")
+    compared = near_dup._compared(lists, 0.8)
+    assert compared.filter("key = 9").count() == 0 and compared.count() < 240
+    expected = {
+        (a[0], b[0]) for a in rows for b in rows
+        if a[0] < b[0] and a[3] == b[3] and a[4] != b[4] and min(a[2], b[2]) >= (a[1] + b[1]) * 0.8 / 1.8 * (1 - near_dup.ROUNDING)
+    }
+    assert {tuple(r) for r in near_dup._pairs_of_lists(compared, 0.8).collect()} == expected and len(expected) > 100
+
+
 # 9
 
 
