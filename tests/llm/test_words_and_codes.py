@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -148,6 +149,14 @@ def sent(chunk: int, keys: list[int], counts: list[int]) -> dict:
     }
 
 
+@pytest.mark.parametrize(("values", "dtype", "planes"), [([], "<u8", 1), ([0, 7, 255], "<u8", 1), ([256, 1], "<u8", 2), ([1 << 63, 5], "<u8", 8), ([65535, 3], "<u2", 2)])
+def test_only_planes_in_use_are_packed(values, dtype, planes):
+    """All eight planes of small counts were packed."""
+    packed = language_model._packed(np.array(values, dtype=dtype), dtype)
+    assert language_model._unpacked(packed, dtype).tolist() == values
+    assert len(zlib.decompress(packed[1:])) == planes * len(values)
+
+
 def test_counts_beyond_32_bits_and_words_of_one_chunk():
     rows = [sent(1, [5, 9, 12], [3_000_000_000, 1, 0]), sent(2, [5, 11, 12], [3_000_000_000, 7, 0])]
     table = pa.Table.from_pylist(rows, schema=language_model.SENT)
