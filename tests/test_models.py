@@ -145,6 +145,14 @@ def test_items_travel_in_blocks(spark):
     assert [f for r in rows for f in r.features][::2] == [float(i) for i in range(3000)]
 
 
+def test_few_users_are_dealt_to_many_groups():
+    """Up to 20,000 users were one group, whose pairs one core scored."""
+    assert recommend._groups(16_000, recommend.GROUP_USERS) == 24 and recommend._groups(1_400, recommend.GROUP_USERS) == 3
+    assert recommend._groups(1, recommend.GROUP_USERS) == 1
+    # Many users as before.
+    assert [recommend._groups(n, recommend.GROUP_USERS) for n in (900_000, 960_000, 5_400_000, 20_000_000)] == [45, 48, 48, 100]
+
+
 def test_top_items_of_few_or_no_items(spark):
     users = factors(spark, {1: [1.0, 0.0], 2: [0.0, 0.0]})
     few = recommend.top_items(users, factors(spark, {8: [2.0, 1.0], 9: [3.0, 1.0]}), 5).collect()
