@@ -16,6 +16,8 @@ from reviewmill.session import cut_lineage
 
 # For the registered queries; in use, the key is a secret.
 PSEUDONYM_KEY = b"documented key of the example"
+# What the tokenizer keeps in a Python worker that all stages share: the defaults take about 200 MB more for each core.
+PACKING_MEMORY = {"cache_parts": 100_000, "slice_bytes": 1 << 20}
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all texts in sequences of 1024 tokens, with their checksums."""
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, **PACKING_MEMORY)
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 

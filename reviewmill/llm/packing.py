@@ -109,9 +109,9 @@ class Packer:
         self.waiting = [p for p, a in zip(self.waiting, alive, strict=True) if a]
 
 
-def _pack(path: str, split, end_id: int | None, limits: Limits, prompts: bool):
+def _pack(path: str, split, end_id: int | None, limits: Limits, prompts: bool, cache_parts: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path, split)
+        encode = tokens.encoder(path, split, cache_parts)
         width = encode.dtype.itemsize
         end = b"" if end_id is None else np.array([end_id], dtype=encode.dtype).tobytes()
         packer = Packer(limits, TaskContext.get().partitionId() << 33)
@@ -127,7 +127,7 @@ def _pack(path: str, split, end_id: int | None, limits: Limits, prompts: bool):
             return pa.record_batch(arrays, names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
-            for part in tokens.slices(batch, 1):
+            for part in tokens.slices(batch, 1, slice_bytes):
                 prompt = part.column(2).to_pylist() if prompts else [0] * part.num_rows
                 found = []
                 for doc_id, ids, p in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), prompt, strict=True):
@@ -148,6 +148,8 @@ def pack(
     end_id: int | None = None,
     limits: Limits = Limits(),
     prompt_tokens: str | None = None,
+    cache_parts: int = tokens.CACHE_PARTS,
+    slice_bytes: int = tokens.SLICE_BYTES,
 ) -> DataFrame:
     """Pieces of all texts of ``docs(doc_id, text)`` with their place in a sequence.
 
@@ -156,7 +158,9 @@ def pack(
     how many ids at the beginning of a text bear no loss; by default all ids do. A null text is
     an empty one; without an end id it has no piece. Ids of sequences follow from the part of the table a
     task reads, so a repeated task gives the same rows. An example whose loss-bearing tokens are above their
-    limit is cut as one that is too long.
+    limit is cut as one that is too long. ``cache_parts`` and ``slice_bytes`` bound the memory of a Python worker
+    (see :mod:`reviewmill.llm.tokens`) and do not change the rows.
     """
     columns = ["doc_id", "text"] + ([prompt_tokens] if prompt_tokens else [])
-    return docs.select(*columns).mapInArrow(_pack(tokenizer, split, end_id, limits, prompt_tokens is not None), SCHEMA)
+    run = _pack(tokenizer, split, end_id, limits, prompt_tokens is not None, cache_parts, slice_bytes)
+    return docs.select(*columns).mapInArrow(run, SCHEMA)

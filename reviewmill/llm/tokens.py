@@ -61,10 +61,10 @@ class Encoder:
 
     The words of a batch are split and made distinct in Arrow, only distinct ones are looked up or tokenized, and
     the ids of all words are gathered by one take. Strings of special tokens become these tokens, as in
-    the library; with ``plain_specials`` they are ordinary text.
+    the library; with ``plain_specials`` they are ordinary text. Fewer ``cache_parts`` take less memory and more time.
     """
 
-    def __init__(self, path: str, split=split_before_space, plain_specials: bool = False):
+    def __init__(self, path: str, split=split_before_space, plain_specials: bool = False, cache_parts: int = CACHE_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -72,7 +72,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = plain_specials
         specials = [] if plain_specials else [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = "|".join(re.escape(s) for s in specials)
-        self.split = split
+        self.split, self.cache_parts = split, cache_parts
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.spaced = split is split_before_space
@@ -105,7 +105,7 @@ class Encoder:
 
     def _ids_of(self, parts: list[str]) -> list[bytes]:
         """The ids of distinct parts."""
-        if len(self.cache) > CACHE_PARTS:
+        if len(self.cache) > self.cache_parts:
             self.cache, self.older = {}, self.cache
         cache, older, tails, tokenize = self.cache, self.older, self.tails, self.model.tokenize
         found = [cache.get(part) for part in parts]
@@ -196,11 +196,11 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, split=split_before_space) -> Encoder:
+def encoder(path: str, split=split_before_space, cache_parts: int = CACHE_PARTS) -> Encoder:
     """The encoder of this Python worker for a tokenizer file."""
-    key = (path, split.__name__)
+    key = (path, split.__name__, cache_parts)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, split)
+        _encoders[key] = Encoder(path, split, cache_parts=cache_parts)
     return _encoders[key]
 
 

@@ -12,7 +12,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from reviewmill.llm import chat, huffman, language_model, tokens, words
+import corpus_pipeline
+from reviewmill.llm import chat, huffman, language_model, packing, tokens, words
 from reviewmill.llm.elias_fano import EliasFano, Level
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="abAB09 .,\n\té中", max_size=40)), max_size=12)
@@ -173,3 +174,45 @@ def test_contexts_with_equal_first_bits_stay_apart():
     level = Level.build(keys, np.zeros(3, np.uint8), language_model.WORD_BITS, language_model.CONTEXT_BITS)
     assert level.find(keys).tolist() == [0, 1, 2]
     assert level.find(np.array([((context | 4) << 24) | word], dtype=np.uint64)).tolist() == [-1]
+
+
+def test_packing_of_the_pipeline_keeps_few_parts_in_a_worker(monkeypatch):
+    """A worker kept up to a million parts (and those of a slice of 4 MB), beside the memory of the other stages."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(500)]
+    batch = pa.record_batch([pa.array(range(500), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    monkeypatch.setattr(packing, "TaskContext", type("One", (), {"get": lambda: type("Task", (), {"partitionId": lambda: 0})}))
+    monkeypatch.setattr(tokens, "_encoders", {})
+    asked = {}
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            asked["run"] = run
+            return self
+
+        def withColumn(self, name, column):
+            return self
+
+    monkeypatch.setattr(corpus_pipeline.F, "crc32", lambda name: None)
+    corpus_pipeline.packed(None, Docs(), "")
+    most = 0
+    for _ in asked["run"](iter([batch])):
+        (encoder,) = tokens._encoders.values()
+        most = max(most, len(encoder.cache) + len(encoder.older))
+    assert 0 < most <= 400_000
+
+
+def test_small_caches_and_slices_give_the_same_pieces(monkeypatch):
+    texts = [" ".join(f"word{(i * j) % 97}, {j}" for j in range(40)) for i in range(60)] + ["", None, "a  b <|endoftext|> \u00e9t\u00e9"]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    monkeypatch.setattr(packing, "TaskContext", type("One", (), {"get": lambda: type("Task", (), {"partitionId": lambda: 0})}))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+
+    def pieces(cache_parts, slice_bytes):
+        monkeypatch.setattr(tokens, "_encoders", {})
+        run = packing._pack(path, tokens.split_before_space, 0, packing.Limits(), False, cache_parts, slice_bytes)
+        return [row for out in run(iter([batch])) for row in out.to_pylist()]
+
+    assert pieces(5, 500) == pieces(tokens.CACHE_PARTS, tokens.SLICE_BYTES)
