@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from reviewmill.checks import models
 from reviewmill.operators import cleaning, dictionaries, recommend
+from reviewmill.session import shared_folder
 from reviewmill.sources.fixture import reviews
 from reviewmill.sources.readers import REVIEW_COLUMNS, read_reviews
 
@@ -214,6 +217,27 @@ def test_grid_search_reports_every_combination(trained):
     assert all(r.mae > 0 and r.predictions > 0 for r in rows)
 
 
+def test_trained_factors_are_read_from_a_file(spark, trained, tmp_path):
+    """A model held on to what its training kept on disks: shuffled ratings and the factors of up to five rounds."""
+    train = models.part(trained[2], "train")
+    model = recommend.train_als(train, max_iter=2, rank=3, folder=str(tmp_path / "factors"))
+    assert all(str(tmp_path / "factors") in f for x in (model.userFactors, model.itemFactors) for f in x.inputFiles())
+    assert model.userFactors.count() == train.select("customer_id").distinct().count()
+    assert (model.rank, model.getColdStartStrategy(), model.getUserCol()) == (3, "drop", "customer_id")
+    assert recommend.CHECKPOINT_ROUNDS == 1
+
+
+def test_search_deletes_the_factors_of_its_fits(spark, trained):
+    splits, before = trained[2], set(os.listdir(shared_folder(spark)))
+    rows = recommend.grid_search_als(models.part(splits, "train"), models.part(splits, "test"), GRID).collect()
+    assert len(rows) == 2 and not [x for x in set(os.listdir(shared_folder(spark))) - before if x.startswith(("fit", "factors"))]
+
+
+def test_large_fits_of_a_search_run_one_by_one():
+    """Four fits at a time held four times the files, however many ratings there were."""
+    assert [recommend.fits_at_a_time(n, 4) for n in (0, 280_000, 12_000_000, 17_000_000, 136_000_000)] == [4, 4, 2, 1, 1]
+
+
 def test_errors_of_the_recipes(spark, sf_dir):
     rows = QUERIES["als_evaluate_errors"](spark, sf_dir).collect()
     assert {(r.recipe, r.split) for r in rows} == {("random", "test"), ("masked", "test"), ("leave last", "test"), ("leave last", "validation")}
