@@ -238,6 +238,12 @@ def test_large_fits_of_a_search_run_one_by_one():
     assert [recommend.fits_at_a_time(n, 4) for n in (0, 280_000, 12_000_000, 17_000_000, 136_000_000)] == [4, 4, 2, 1, 1]
 
 
+def test_each_recipe_is_scored_before_the_next(spark, sf_dir):
+    """Three models with the files of their training stayed until all were scored in one go."""
+    files = models.recipes(spark, sf_dir).inputFiles()
+    assert files and all("/errors-" in f for f in files)
+
+
 def test_errors_of_the_recipes(spark, sf_dir):
     rows = QUERIES["als_evaluate_errors"](spark, sf_dir).collect()
     assert {(r.recipe, r.split) for r in rows} == {("random", "test"), ("masked", "test"), ("leave last", "test"), ("leave last", "validation")}
