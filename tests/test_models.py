@@ -238,6 +238,14 @@ def test_large_fits_of_a_search_run_one_by_one():
     assert [recommend.fits_at_a_time(n, 4) for n in (0, 280_000, 12_000_000, 17_000_000, 136_000_000)] == [4, 4, 2, 1, 1]
 
 
+def test_blocks_of_a_training_hold_five_million_ratings(spark, trained, monkeypatch):
+    """Ten blocks whatever the number of ratings were more than a task's memory takes."""
+    assert [recommend.training_blocks(n) for n in (0, 280_000, 17_000_000, 50_000_001, 136_000_000)] == [10, 10, 10, 11, 28]
+    train = models.part(trained[2], "train").select("customer_id", "item_id", "star_rating")
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", -(-train.count() // 13))
+    assert len(recommend.train_als(train, max_iter=1, rank=2).itemFactors.inputFiles()) == 13
+
+
 def test_each_recipe_is_scored_before_the_next(spark, sf_dir):
     """Three models with the files of their training stayed until all were scored in one go."""
     files = models.recipes(spark, sf_dir).inputFiles()
