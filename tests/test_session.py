@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
-from reviewmill.session import cut_lineage, scratch_path, shared_folder
+from reviewmill.session import cut_lineage, scratch_path, shared_folder, tidy_disks
 
 
 class Context:
@@ -48,3 +52,22 @@ def test_written_rows_come_back(spark):
     written = cut_lineage(spark.range(100))
     assert written.count() == 100 and written.columns == ["id"]
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_shuffle_files_of_finished_steps_go(spark):
+    """They stayed until the driver's memory happened to be tidied up twice."""
+    tidy_disks(spark)
+    folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return [f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")]
+
+    before = set(shuffled())
+    written = cut_lineage(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    assert set(shuffled()) - before
+    tidy_disks(spark)
+    for _ in range(50):
+        if not set(shuffled()) - before:
+            break
+        time.sleep(0.1)
+    assert not set(shuffled()) - before and written.count() == 100
