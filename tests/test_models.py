@@ -227,7 +227,15 @@ def test_trained_factors_are_read_from_a_file(spark, trained, tmp_path):
     assert recommend.CHECKPOINT_ROUNDS == 1
 
 
-def test_search_deletes_the_factors_of_its_fits(spark, trained):
+def test_large_trainings_are_read_from_a_file(trained, monkeypatch):
+    train = models.part(trained[2], "train")
+    assert not recommend.train_als(train, max_iter=1, rank=2).itemFactors.inputFiles()
+    monkeypatch.setattr(recommend, "SMALL_RATINGS", train.count())
+    assert recommend.train_als(train, max_iter=1, rank=2).itemFactors.inputFiles()
+
+
+def test_search_deletes_the_factors_of_its_fits(spark, trained, monkeypatch):
+    monkeypatch.setattr(recommend, "SMALL_RATINGS", 0)
     splits, before = trained[2], set(os.listdir(shared_folder(spark)))
     rows = recommend.grid_search_als(models.part(splits, "train"), models.part(splits, "test"), GRID).collect()
     assert len(rows) == 2 and not [x for x in set(os.listdir(shared_folder(spark))) - before if x.startswith(("fit", "factors"))]
@@ -238,12 +246,12 @@ def test_large_fits_of_a_search_run_one_by_one():
     assert [recommend.fits_at_a_time(n, 4) for n in (0, 280_000, 12_000_000, 17_000_000, 136_000_000)] == [4, 4, 2, 1, 1]
 
 
-def test_blocks_of_a_training_hold_five_million_ratings(spark, trained, monkeypatch):
+def test_blocks_of_a_training_hold_five_million_ratings(trained, monkeypatch, tmp_path):
     """Ten blocks whatever the number of ratings were more than a task's memory takes."""
     assert [recommend.training_blocks(n) for n in (0, 280_000, 17_000_000, 50_000_001, 136_000_000)] == [10, 10, 10, 11, 28]
     train = models.part(trained[2], "train").select("customer_id", "item_id", "star_rating")
     monkeypatch.setattr(recommend, "BLOCK_RATINGS", -(-train.count() // 13))
-    assert len(recommend.train_als(train, max_iter=1, rank=2).itemFactors.inputFiles()) == 13
+    assert len(recommend.train_als(train, max_iter=1, rank=2, folder=str(tmp_path / "factors")).itemFactors.inputFiles()) == 13
 
 
 def test_each_recipe_is_scored_before_the_next(spark, sf_dir):
